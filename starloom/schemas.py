@@ -125,7 +125,7 @@ def conform(
     columns = []
     for field in schema.fields:
         value = F.col(field.name) if field.name in present else F.lit(None)
-        value = value.cast(field.dataType)
+        value = value.try_cast(field.dataType)
         if field.name in defaults:
             value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
         columns.append(value.alias(field.name))
