@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from starloom.operators.joins import as_lookup
+
 
 def snapshot_changes(
     previous: DataFrame, current: DataFrame, key: str, attributes: Sequence[str]
@@ -68,4 +70,5 @@ def keys_with_many_values(df: DataFrame, key: str, attribute: str) -> DataFrame:
 
 def multi_value_history(df: DataFrame, key: str, attribute: str) -> DataFrame:
     """All versions of the keys whose attribute took more than one value."""
-    return df.join(keys_with_many_values(df, key, attribute), key, "left_semi")
+    many = as_lookup(keys_with_many_values(df, key, attribute), "changed-keys")
+    return df.join(many, key, "left_semi")

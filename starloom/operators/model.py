@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import codes, dates, numbers, text
+from starloom.operators.joins import as_lookup
 from starloom.operators.keys import assign_keys, keep_last
 from starloom.schemas import DEFAULTS, GOLD, MONEY, conform
 
@@ -65,11 +66,6 @@ def dim_address(address: DataFrame, order_by: Sequence[str], start: int = 0) ->
     return conform(assign_keys(latest, "Address_SK", order_by, start), GOLD["dim_address"])
 
 
-def first_versions(dim: DataFrame, natural: str, key: str) -> DataFrame:
-    """Natural key -> surrogate key of its first version."""
-    return dim.where(F.col(natural).isNotNull()).groupBy(natural).agg(F.min(key).alias(key))
-
-
 def fact_rows(
     transactions: DataFrame, customers: DataFrame, policies: DataFrame, addresses: DataFrame
 ) -> DataFrame:
@@ -96,9 +92,8 @@ def fact_rows(
         .groupBy("Customer_ID")
         .agg(F.min("Customer_SK").alias("Customer_SK"), F.min("Address_SK").alias("Address_SK"))
     )
-    joined = transactions.join(by_policy, "Policy_Id", "left").join(
-        by_customer, "Customer_ID", "left"
-    )
+    joined = transactions.join(as_lookup(by_policy, "policy-keys"), "Policy_Id", "left")
+    joined = joined.join(as_lookup(by_customer, "customer-keys"), "Customer_ID", "left")
     return with_late_fee(joined).drop("Due_Dt")
 
 
