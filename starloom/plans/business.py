@@ -143,8 +143,8 @@ def full_view(dim_customer: DataFrame, dim_policy: DataFrame, dim_address: DataF
     )
     addresses = dim_address.select("Customer_ID", "Country", "State", "City", "Postal_Code")
     customers, policies = suffix_overlap(customers, policies, ["Customer_ID"], ("", "_pol"))
-    owned = left_to_many(as_lookup(customers, "first-versions"), policies, "Customer_ID")
-    return owned.join(addresses, "Customer_ID", "left").orderBy(
+    located = customers.join(addresses, "Customer_ID", "left")
+    return left_to_many(as_lookup(located, "located-customers"), policies, "Customer_ID").orderBy(
         F.asc_nulls_last("Region"), F.asc_nulls_last("Customer_ID"),
         F.asc_nulls_last("Policy_Id"),
     )

@@ -57,7 +57,8 @@ def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     except AnalysisException as error:
         if not _not_found(error):
             raise
-        return empty(spark, BRONZE[table].add(ORDINAL, _ORDINAL_TYPE))
+        declared = [*BRONZE[table].fields, T.StructField(ORDINAL, _ORDINAL_TYPE)]
+        return empty(spark, T.StructType(declared))
 
 
 def read_batch(
