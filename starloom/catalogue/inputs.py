@@ -108,7 +108,8 @@ SELECT
   CAST(CAST(o_orderdate AS DATE) + 30 AS STRING) AS Next_Premium_Dt,
   CASE WHEN l_partkey % 53 = 1 THEN 'NaT' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END
     AS Actual_Premium_Paid_Dt,
-  {_region('o_custkey')} AS Region
+  {_region('o_custkey')} AS Region,
+  l_orderkey AS line_no
 FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey""",
 }
 
@@ -165,7 +166,7 @@ FROM {{orders}} o""",
     "dim_address": """
 SELECT
   CAST(c_custkey + 1 AS BIGINT) AS Address_SK,
-  c_custkey AS Customer_ID,
+  CASE WHEN c_custkey % 17 <> 3 THEN c_custkey END AS Customer_ID,
   n_name AS Country,
   r_name AS Region,
   'State ' || CAST(c_custkey % 50 AS STRING) AS State,
@@ -173,8 +174,7 @@ SELECT
   substr('00000' || CAST(c_custkey % 100000 AS STRING), -5) AS Postal_Code
 FROM {customer} c
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-JOIN {region} r ON n.n_regionkey = r.r_regionkey
-WHERE c_custkey % 17 <> 3""",
+JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
     "payments": """
 SELECT
   l_orderkey AS Policy_Id,
@@ -187,6 +187,26 @@ SELECT
   CASE o_custkey % 5 WHEN 0 THEN 'EAST' WHEN 1 THEN 'WEST' WHEN 2 THEN 'NORTH' WHEN 3 THEN 'SOUTH'
        END AS Region
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey""",
+    # Line items as versions of their order's policy.
+    "policy_versions": """
+SELECT
+  l_orderkey AS Policy_Id,
+  o_custkey AS Customer_ID,
+  l_returnflag AS Policy_Type_Id,
+  CASE l_returnflag WHEN 'A' THEN 'Auto' WHEN 'N' THEN 'Term' ELSE 'Home' END AS Policy_Type,
+  l_returnflag || ' Policy ' || CAST(l_orderkey AS STRING) AS Policy_Name
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey""",
+    # The next snapshot: annual policies are absent, some others changed or lost their type.
+    "next_policies": f"""
+SELECT
+  o_orderkey AS Policy_Id,
+  o_custkey AS Customer_ID,
+  CASE WHEN o_orderkey % 35 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'PT009'
+       ELSE 'PT00' || substr(o_orderpriority, 1, 1) END AS Policy_Type_Id,
+  CASE WHEN o_orderkey % 35 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'Travel'
+       ELSE {_POLICY_TYPE} END AS Policy_Type,
+  'Renewed ' || CAST(o_orderkey AS STRING) AS Policy_Name
+FROM {{orders}} o WHERE o_orderstatus <> 'P'""",
     # Payments with the keys of the customer's first version, the policy and the address.
     "fact_transactions": """
 SELECT
@@ -213,7 +233,8 @@ def _select(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw table, all text, with ``line_no`` (its place in the file) where rows have one."""
+    """A raw table, all text, with ``line_no``: its place in the file (of transactions:
+    the order it belongs to)."""
     return _select(spark, sf_dir, RAW[name])
 
 

@@ -79,5 +79,6 @@ def strict_name(*parts: Column) -> Column:
 
 def display(c: Column, numeric: bool) -> Column:
     """Report text: thousands separators for numbers, a dash for missing values."""
-    shown = F.format_number(c, "#,##0.###") if numeric else F.when(c != "", c)
+    pattern = F.lit("#,##0.###")
+    shown = F.call_function("format_number", c, pattern) if numeric else F.when(c != "", c)
     return F.coalesce(shown, F.lit("—"))

@@ -10,8 +10,9 @@ from starloom.functions.numbers import half_even
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A query result as CSV with header, dates as yyyy-MM-dd."""
+    """A query result as CSV with header, dates as yyyy-MM-dd, texts kept as they are."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
