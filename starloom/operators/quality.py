@@ -144,16 +144,6 @@ def rules_for(table: str, strict: bool = False) -> list[Rule]:
     raise ValueError(f"no rules for table {table!r}")
 
 
-@dataclass(frozen=True)
-class Checked:
-    """``rows``: survivors. ``report``: one row (table, status, issues, rows_in, rows_out).
-    ``counts``: one row per rule (table, rule_no, rule, column, n_rows)."""
-
-    rows: DataFrame
-    report: DataFrame
-    counts: DataFrame
-
-
 def _steps(rules: Sequence[tuple[int, Rule]]) -> list[list[tuple[int, Rule]]]:
     """Cut a rule list where a column is rewritten after it was tested."""
     steps: list[list[tuple[int, Rule]]] = [[]]
@@ -202,9 +192,7 @@ def _stages(
     return stages
 
 
-def _verdict(
-    table: str, rules: Sequence[tuple[int, Rule]], stages: Sequence[DataFrame]
-) -> DataFrame:
+def _verdict(rules: Sequence[tuple[int, Rule]], stages: Sequence[DataFrame]) -> DataFrame:
     """One row: rows in, rows out and the number of rows each rule dropped."""
     tallies = [
         stage.groupBy(_FAILED).agg(F.count("*").alias("n")).withColumn("stage", F.lit(i))
@@ -229,39 +217,57 @@ def _verdict(
         total(stage == 0).alias("rows_in"),
         total((stage == len(stages) - 1) & passed).alias("rows_out"),
         *dropped,
-    ).select(F.lit(table).alias("table"), "*")
-
-
-def _report(verdict: DataFrame, absent: Sequence[str], rules: Sequence[tuple[int, Rule]]) -> DataFrame:
-    found = [F.lit(f"Missing columns: {list(absent)}")] if absent else []
-    for number, rule in rules:
-        n = F.col(f"rule_{number}")
-        if rule.message:
-            head, tail = rule.message.split("{n}")
-            found.append(F.when(n > 0, F.concat(F.lit(head), n.cast("string"), F.lit(tail))))
-    issues = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
-    passed = F.size(issues) == 0
-    return verdict.select(
-        "table",
-        F.when(passed, "passed").otherwise("issues").alias("status"),
-        F.when(passed, F.array(F.lit(ALL_PASSED))).otherwise(issues).alias("issues"),
-        "rows_in",
-        "rows_out",
     )
 
 
-def _counts(verdict: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
-    entries = [
-        F.struct(
-            F.lit(number).alias("rule_no"),
-            F.lit(rule.name).alias("rule"),
-            F.lit(rule.column).alias("column"),
-            F.col(f"rule_{number}").alias("n_rows"),
+@dataclass(frozen=True)
+class Checked:
+    """The outcome of a table's rules; nothing runs until one of the frames is used."""
+
+    table: str
+    absent: tuple[str, ...]
+    rules: tuple[tuple[int, Rule], ...]
+    stages: tuple[DataFrame, ...]
+
+    @property
+    def rows(self) -> DataFrame:
+        """The surviving rows, with the columns the rules coerced."""
+        return self.stages[-1].where(F.col(_FAILED).isNull()).drop(_FAILED)
+
+    @property
+    def report(self) -> DataFrame:
+        """One row: table, status, issues, rows_in, rows_out."""
+        found = [F.lit(f"Missing columns: {list(self.absent)}")] if self.absent else []
+        for number, rule in self.rules:
+            n = F.col(f"rule_{number}")
+            if rule.message:
+                head, tail = rule.message.split("{n}")
+                found.append(F.when(n > 0, F.concat(F.lit(head), n.cast("string"), F.lit(tail))))
+        issues = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        passed = F.size(issues) == 0
+        return _verdict(self.rules, self.stages).select(
+            F.lit(self.table).alias("table"),
+            F.when(passed, "passed").otherwise("issues").alias("status"),
+            F.when(passed, F.array(F.lit(ALL_PASSED))).otherwise(issues).alias("issues"),
+            "rows_in",
+            "rows_out",
         )
-        for number, rule in rules
-        if rule.unique or rule.bad is not None
-    ]
-    return verdict.select("table", F.inline(F.array(*entries)))
+
+    @property
+    def counts(self) -> DataFrame:
+        """One row per dropping rule: table, rule_no, rule, column, n_rows."""
+        entries = [
+            F.struct(
+                F.lit(number).alias("rule_no"),
+                F.lit(rule.name).alias("rule"),
+                F.lit(rule.column).alias("column"),
+                F.col(f"rule_{number}").alias("n_rows"),
+            )
+            for number, rule in self.rules
+            if rule.unique or rule.bad is not None
+        ]
+        verdict = _verdict(self.rules, self.stages)
+        return verdict.select(F.lit(self.table).alias("table"), F.inline(F.array(*entries)))
 
 
 def validate(
@@ -283,9 +289,7 @@ def validate(
         if not missing_columns(df, (rule.column, *rule.needs))
     ]
     stages = _stages(df, numbered, order_by)
-    rows = stages[-1].where(F.col(_FAILED).isNull()).drop(_FAILED)
-    verdict = _verdict(table, numbered, stages)
-    return Checked(rows, _report(verdict, absent, numbered), _counts(verdict, numbered))
+    return Checked(table, tuple(absent), tuple(numbered), tuple(stages))
 
 
 def validate_all(raw: Mapping[str, DataFrame], order_by: Sequence[str], strict: bool = False) -> dict[str, Checked]:

@@ -8,7 +8,8 @@ increment. Surrogate keys go on from the largest key of the earlier batches.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,14 +19,14 @@ from starloom.operators.joins import keep_keys
 from starloom.operators.quality import combined_report, validate_all
 from starloom.operators.standardize import standardize_all
 from starloom.schemas import DEFAULTS, GOLD, SILVER, conform
+from starloom.session import together
 from starloom.sources.raw import ORDINAL, read_batch
 from starloom.sources.warehouse import BATCH, Warehouse
 
 
 def land(warehouse: Warehouse, raw: Mapping[str, DataFrame], batch_id: int) -> dict[str, DataFrame]:
     """Write the raw rows once, with their place in the file, and read them from there."""
-    for table, df in raw.items():
-        warehouse.write(df, "bronze", table, batch_id)
+    together(*[partial(warehouse.write, df, "bronze", t, batch_id) for t, df in raw.items()])
     return {table: warehouse.read_batch("bronze", table, batch_id) for table in raw}
 
 
@@ -35,11 +36,13 @@ def clean(
     """Validate and standardize; write silver and the validation report."""
     checked = validate_all(bronze, [ORDINAL], strict)
     silver = standardize_all({table: result.rows for table, result in checked.items()})
-    for table, df in silver.items():
-        if table == "transactions":  # written in file order: the fact is numbered from this
-            df = keys.place(df, [ORDINAL])
-        warehouse.write(df, "silver", table, batch_id)
-    warehouse.write(combined_report(checked).coalesce(1), "gold", "validation_report", batch_id)
+    # Written in file order: the fact is numbered from this.
+    silver["transactions"] = keys.place(silver["transactions"], [ORDINAL])
+    report = combined_report(checked).coalesce(1)
+    together(
+        *[partial(warehouse.write, df, "silver", t, batch_id) for t, df in silver.items()],
+        partial(warehouse.write, report, "gold", "validation_report", batch_id),
+    )
     return {table: warehouse.read_batch("silver", table, batch_id) for table in silver}
 
 
@@ -51,7 +54,9 @@ def _up_to(warehouse: Warehouse, table: str, batch_id: int) -> DataFrame:
     return warehouse.gold(table).where(F.col(BATCH) <= batch_id)
 
 
-def _extend(warehouse: Warehouse, table: str, key: str, batch_id: int, build) -> None:
+def _extend(
+    warehouse: Warehouse, batch_id: int, table: str, key: str, build: Callable[[int], DataFrame]
+) -> None:
     """Write a batch of a keyed table; ``build`` gets the largest earlier key."""
     rows = build(keys.max_key(_before(warehouse, table, batch_id), key))
     own = warehouse.gold(table).where(F.col(BATCH) == batch_id)
@@ -75,14 +80,15 @@ def transform(
     Keys and due dates are looked up in all dimension rows up to this batch, or in this
     batch's rows only with ``same_batch_only``.
     """
-    order = [ORDINAL]
-    _extend(warehouse, "dim_customer", "Customer_SK", batch_id,
-            lambda start: model.dim_customer(silver["customers"], order, start))
-    _extend(warehouse, "dim_policy", "Policy_SK", batch_id,
-            lambda start: model.dim_policy(silver["policies"], order, start))
-    _extend(warehouse, "dim_address", "Address_SK", batch_id,
-            lambda start: model.dim_address(silver["address"], order, start))
-
+    extend = partial(_extend, warehouse, batch_id)
+    together(
+        partial(extend, "dim_customer", "Customer_SK",
+                lambda start: model.dim_customer(silver["customers"], [ORDINAL], start)),
+        partial(extend, "dim_policy", "Policy_SK",
+                lambda start: model.dim_policy(silver["policies"], [ORDINAL], start)),
+        partial(extend, "dim_address", "Address_SK",
+                lambda start: model.dim_address(silver["address"], [ORDINAL], start)),
+    )
     known = {t: _up_to(warehouse, t, batch_id) for t in ("dim_customer", "dim_policy", "dim_address")}
     if same_batch_only:
         known = {t: df.where(F.col(BATCH) == batch_id) for t, df in known.items()}
@@ -94,15 +100,22 @@ def transform(
         )
         return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
 
-    _extend(warehouse, "fact_transactions", "Transaction_SK", batch_id, fact)
+    policies = policy_changes(warehouse, silver["policies"], batch_id)
+    together(
+        partial(extend, "fact_transactions", "Transaction_SK", fact),
+        partial(warehouse.write, policies, "gold", "policy_changes", batch_id),
+        lambda: warehouse.write(
+            marital_changes(warehouse, silver["customers"], batch_id), "gold", "marital_changes", batch_id
+        ),
+    )
+
 
-    changes = policy_changes(warehouse, silver["policies"], batch_id)
-    warehouse.write(changes, "gold", "policy_changes", batch_id)
-    arrived = silver["customers"].select("Customer_ID")
+def marital_changes(warehouse: Warehouse, customers: DataFrame, batch_id: int) -> DataFrame:
+    """All versions of a batch's customers that have had several marital statuses."""
+    arrived = customers.select("Customer_ID")
     versions = keep_keys(_up_to(warehouse, "dim_customer", batch_id), arrived, "Customer_ID")
-    marital = multi_value_history(versions, "Customer_ID", "Marital_Status")
-    warehouse.write(
-        conform(marital, GOLD["marital_changes"]), "gold", "marital_changes", batch_id
+    return conform(
+        multi_value_history(versions, "Customer_ID", "Marital_Status"), GOLD["marital_changes"]
     )
 
 

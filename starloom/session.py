@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +66,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable[[], None]) -> None:
+    """Run independent Spark actions side by side, so small ones fill the gaps of big ones.
+
+    All of them finish before the first error, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+    for job in running:
+        job.result()
