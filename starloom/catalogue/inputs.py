@@ -208,8 +208,10 @@ SELECT
   'Renewed ' || CAST(o_orderkey AS STRING) AS Policy_Name
 FROM {{orders}} o WHERE o_orderstatus <> 'P'""",
     # Payments with the keys of the customer's first version, the policy and the address.
+    # Their own key repeats where a line number does.
     "fact_transactions": """
 SELECT
+  CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS Transaction_SK,
   l_orderkey AS Policy_Id,
   o_custkey AS Customer_ID,
   CAST(2 * o_custkey + 1 AS BIGINT) AS Customer_SK,

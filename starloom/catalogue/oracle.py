@@ -546,7 +546,7 @@ ORACLE["q_load_warehouse"] = f"""{_ctes('dim_customer', 'dim_policy', 'dim_addre
 SELECT 'dim_customer' AS "table", count(*) AS rows_in, count(*) AS inserted, CAST(0 AS BIGINT) AS ignored FROM dim_customer
 UNION ALL SELECT 'dim_policy', count(*), count(*), 0 FROM dim_policy
 UNION ALL SELECT 'dim_address', count(*), count(*), 0 FROM dim_address
-UNION ALL SELECT 'fact_transactions', count(*), count(DISTINCT Policy_SK), count(*) - count(DISTINCT Policy_SK)
+UNION ALL SELECT 'fact_transactions', count(*), count(DISTINCT Transaction_SK), count(*) - count(DISTINCT Transaction_SK)
 FROM fact_transactions"""
 
 _FIRST_COLUMNS = {

@@ -433,17 +433,10 @@ def upsert_latest(spark, sf):
     )
 
 
-def _star_with_fact_key(spark, sf):
-    tables = {t: star(spark, sf, t) for t in ("dim_customer", "dim_policy", "dim_address")}
-    fact = star(spark, sf, "fact_transactions")
-    # Several payments share this key on purpose: the first one is inserted, the rest ignored.
-    tables["fact_transactions"] = fact.withColumn("Transaction_SK", F.col("Policy_SK"))
-    return tables
-
-
 @query
 def load_warehouse(spark, sf):
-    return wh.load_warehouse(spark, staging_path(spark, "warehouse"), _star_with_fact_key(spark, sf))
+    tables = {t: star(spark, sf, t) for t in ("dim_customer", "dim_policy", "dim_address", "fact_transactions")}
+    return wh.load_warehouse(spark, staging_path(spark, "warehouse"), tables)
 
 
 @query

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from starloom.operators.columns import key_first
 from starloom.session import stage
 
-_POSITION = "_position"
+ORDINAL = "_ordinal"  # struct (file, block, row): a row's place in its source file
+POSITION = "_position"
 _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row within the partition
 
 
@@ -33,11 +34,17 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
     return _first_by(df, keys, [F.col(c).desc() for c in order_by])
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Record where each row comes out: the rows of one scanned file block stay together
+    and in order as long as nothing above the scan shuffles."""
+    return df.withColumn(POSITION, F.monotonically_increasing_id())
+
+
 def place(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     """Sort globally and record each row's place. Write the result before numbering it:
     the sort samples its ranges, so a second evaluation may cut them elsewhere."""
     order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]
-    return df.orderBy(*order).withColumn(_POSITION, F.monotonically_increasing_id())
+    return with_position(df.orderBy(*order))
 
 
 def number(placed: DataFrame, key: str, start: int = 0) -> DataFrame:
@@ -46,8 +53,8 @@ def number(placed: DataFrame, key: str, start: int = 0) -> DataFrame:
     Rows are not moved: each range only needs the number of rows in earlier ranges.
     That offset table has one row per sort partition, which bounds the broadcast.
     """
-    part = F.shiftright(F.col(_POSITION), _ROW_BITS)
-    row = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    part = F.shiftright(F.col(POSITION), _ROW_BITS)
+    row = F.col(POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(part.alias("_part"))
@@ -56,7 +63,38 @@ def number(placed: DataFrame, key: str, start: int = 0) -> DataFrame:
     )
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     numbered = numbered.withColumn(key, F.lit(start) + F.col("_offset") + row + 1)
-    return key_first(numbered.drop("_part", "_offset", _POSITION), key)
+    return key_first(numbered.drop("_part", "_offset", POSITION), key)
+
+
+def number_in_file_order(rows: DataFrame, key: str, start: int = 0) -> DataFrame:
+    """Dense keys in file order without moving the rows.
+
+    ``rows`` is a *written* frame with the source ordinal and a position taken right above
+    the file scan (:func:`with_position`). A block's rows then have consecutive positions,
+    so a row's number is its distance from the block's first position plus the rows of
+    the blocks before. That is checked; rows that did get shuffled are sorted instead.
+    The numbers do not depend on how the files were cut into blocks or tasks.
+    """
+    blocks = stage(
+        rows.groupBy(
+            F.col(f"{ORDINAL}.file").alias("_file"), F.col(f"{ORDINAL}.block").alias("_block")
+        ).agg(
+            F.count("*").alias("_n"),
+            F.min(POSITION).alias("_low"),
+            F.max(POSITION).alias("_high"),
+        ),
+        "blocks",
+    )
+    if not blocks.where("_high - _low + 1 <> _n").isEmpty():
+        return assign_keys(rows.drop(POSITION), key, [ORDINAL], start)
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_low")
+    shifts = blocks.select("_file", "_block", shift.alias("_shift"))
+    here = (F.col(f"{ORDINAL}.file") == F.col("_file")) & (F.col(f"{ORDINAL}.block") == F.col("_block"))
+    numbered = rows.join(shifts, here).withColumn(
+        key, F.lit(start) + F.col("_shift") + F.col(POSITION) + 1
+    )
+    return key_first(numbered.drop("_file", "_block", "_shift", POSITION), key)
 
 
 def assign_keys(

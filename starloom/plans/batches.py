@@ -20,14 +20,20 @@ from starloom.operators.quality import combined_report, validate_all
 from starloom.operators.standardize import standardize_all
 from starloom.schemas import DEFAULTS, GOLD, SILVER, conform
 from starloom.session import together
-from starloom.sources.raw import ORDINAL, read_batch
+from starloom.operators.keys import ORDINAL
+from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import BATCH, Warehouse
 
 
 def land(warehouse: Warehouse, raw: Mapping[str, DataFrame], batch_id: int) -> dict[str, DataFrame]:
-    """Write the raw rows once, with their place in the file, and read them from there."""
-    together(*[partial(warehouse.write, df, "bronze", t, batch_id) for t, df in raw.items()])
-    return {table: warehouse.read_batch("bronze", table, batch_id) for table in raw}
+    """Write raw rows once, with their place in the file, and read them from there.
+
+    Only for the tables with a uniqueness rule, which are read several times. Transactions
+    are by far the largest and have none; they go from the file straight to silver.
+    """
+    landed = {t: df for t, df in raw.items() if t != "transactions"}
+    together(*[partial(warehouse.write, df, "bronze", t, batch_id) for t, df in landed.items()])
+    return {t: warehouse.read_batch("bronze", t, batch_id) if t in landed else raw[t] for t in raw}
 
 
 def clean(
@@ -36,8 +42,7 @@ def clean(
     """Validate and standardize; write silver and the validation report."""
     checked = validate_all(bronze, [ORDINAL], strict)
     silver = standardize_all({table: result.rows for table, result in checked.items()})
-    # Written in file order: the fact is numbered from this.
-    silver["transactions"] = keys.place(silver["transactions"], [ORDINAL])
+    silver["transactions"] = keys.with_position(silver["transactions"])
     report = combined_report(checked).coalesce(1)
     together(
         *[partial(warehouse.write, df, "silver", t, batch_id) for t, df in silver.items()],
@@ -94,7 +99,7 @@ def transform(
         known = {t: df.where(F.col(BATCH) == batch_id) for t, df in known.items()}
 
     def fact(start: int) -> DataFrame:
-        numbered = keys.number(silver["transactions"], "Transaction_SK", start)
+        numbered = keys.number_in_file_order(silver["transactions"], "Transaction_SK", start)
         rows = model.fact_rows(
             numbered, known["dim_customer"], known["dim_policy"], known["dim_address"]
         )

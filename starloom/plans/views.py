@@ -120,16 +120,17 @@ ORDER BY Customer_ID, Start_Dt_Marital_Status
 """
 
 # customer LEFT JOIN fact, written as the inner join plus the customers without a
-# transaction: a left join cannot split a customer with very many transactions.
+# transaction: a left join cannot split a customer with very many transactions. The sort
+# ends on the transaction key so that such a customer's rows can go to several ranges.
 ALL_REGIONS_FULL = """
 WITH paired AS (
   SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
-         c.Region, f.Policy_SK, f.Address_SK, f.Is_Late, f.Late_Fee
+         c.Region, f.Transaction_SK, f.Policy_SK, f.Address_SK, f.Is_Late, f.Late_Fee
   FROM dim_customer c JOIN fact_transactions f ON c.Customer_SK = f.Customer_SK
   UNION ALL
   SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
-         c.Region, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BOOLEAN),
-         CAST(NULL AS DECIMAL(15,2))
+         c.Region, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(NULL AS BOOLEAN), CAST(NULL AS DECIMAL(15,2))
   FROM dim_customer c
   LEFT ANTI JOIN (SELECT DISTINCT Customer_SK FROM fact_transactions) f
     ON c.Customer_SK = f.Customer_SK
@@ -141,7 +142,7 @@ SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.G
 FROM paired c
 LEFT JOIN dim_policy  p ON c.Policy_SK  = p.Policy_SK
 LEFT JOIN dim_address a ON c.Address_SK = a.Address_SK
-ORDER BY c.Region, c.Customer_ID
+ORDER BY c.Region, c.Customer_ID, c.Transaction_SK
 """
 
 

@@ -73,7 +73,7 @@ def together(*jobs: Callable[[], None]) -> None:
 
     All of them finish before the first error, if any, is raised.
     """
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
         running = [pool.submit(job) for job in jobs]
     for job in running:
         job.result()

@@ -6,9 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators.columns import null_tokens_all, select_present
+from starloom.operators.keys import ORDINAL
 from starloom.schemas import BRONZE, TABLES
 
-ORDINAL = "_ordinal"
 _ORDINAL_TYPE = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("block", T.LongType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
 from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, conform
+from starloom.session import together
 from starloom.sources.raw import empty
 
 BATCH = "batch_id"
@@ -85,16 +87,15 @@ def insert_if_absent(
     ).withColumn("ignored", F.col("rows_in") - F.col("inserted"))
 
 
-def load_warehouse(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame]
-) -> DataFrame:
-    """Insert-if-absent of a whole star schema, dimensions before the fact."""
-    results = [
-        insert_if_absent(spark, f"{root.rstrip('/')}/{t}", tables[t], t, [PRIMARY_KEYS[t]])
-        for t in LOAD_ORDER
-        if t in tables
-    ]
-    loaded = results[0]
-    for result in results[1:]:
-        loaded = loaded.unionByName(result)
-    return loaded
+def load_warehouse(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Insert-if-absent of a whole star schema: the dimensions, then the fact."""
+    results: dict[str, DataFrame] = {}
+
+    def load(table: str) -> None:
+        path, key = f"{root.rstrip('/')}/{table}", PRIMARY_KEYS[table]
+        results[table] = insert_if_absent(spark, path, tables[table], table, [key, *tables[table].columns])
+
+    present = [t for t in LOAD_ORDER if t in tables]
+    together(*[partial(load, t) for t in present if t.startswith("dim_")])
+    together(*[partial(load, t) for t in present if not t.startswith("dim_")])
+    return reduce(DataFrame.unionByName, [results[t] for t in present])
