@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-# Tried in this order; the first format that fits the whole text wins.
-DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy", "yyyy-M-d H:m:s")
+# Texts in year-month-day order with dashes (a time may follow) are cast; these shapes
+# are parsed otherwise. The shape test keeps junk away from the parser, where every miss
+# costs an exception.
+DATE_SHAPES = {
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{4}/\d{1,2}/\d{1,2}$": "yyyy/M/d",
+    r"^\d{8}$": "yyyyMMdd",
+    r"^\d{1,2}-[A-Za-z]{3}-\d{4}$": "d-MMM-yyyy",
+}
 
 
-def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text to DATE; a text that fits none of the formats becomes NULL."""
+def parse_date(c: Column, shapes: Mapping[str, str] = DATE_SHAPES) -> Column:
+    """Text to DATE; a text of no known shape, or no real date, becomes NULL."""
     text = F.trim(c)
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    iso_date = F.when(F.contains(text, F.lit("-")), text.try_cast("date"))
+    others = [F.when(text.rlike(shape), F.try_to_date(text, f)) for shape, f in shapes.items()]
+    return F.coalesce(iso_date, *others)
 
 
 def iso(c: Column) -> Column:

@@ -158,19 +158,28 @@ def _steps(rules: Sequence[tuple[int, Rule]]) -> list[list[tuple[int, Rule]]]:
     return steps
 
 
+def _evaluated_once(c: Column) -> Column:
+    """``c`` in a form the optimizer will not copy into a filter below its projection.
+
+    A filter on a computed column is pushed down by writing the whole computation into
+    the filter, and the column is then computed a second time above it. Naming the
+    partition makes the projection non-deterministic, which keeps the filter above.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def _tag(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
     """Add ``_failed``: the number of the first row rule a row fails, or NULL."""
-    df = df.withColumn(_FAILED, F.lit(None).cast("int"))
+    failed: list[Column] = []
     for step in _steps(rules):
         coerced = {r.column: r.coerce(F.col(r.column)) for _, r in step if r.coerce is not None}
-        tests = [
-            F.when(r.bad(F.col(r.column)), F.lit(n)) for n, r in step if r.bad is not None
-        ]
+        failed += [F.when(r.bad(F.col(r.column)), F.lit(n)) for n, r in step if r.bad is not None]
         if coerced:
             df = df.withColumns(coerced)
-        if tests:
-            df = df.withColumn(_FAILED, F.coalesce(F.col(_FAILED), *tests))
-    return df
+        if failed:
+            df = df.withColumn(_FAILED, _evaluated_once(F.coalesce(*failed)))
+            failed = [F.col(_FAILED)]
+    return df if failed else df.withColumn(_FAILED, F.lit(None).cast("int"))
 
 
 def _stages(

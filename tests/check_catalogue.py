@@ -54,7 +54,7 @@ def difference(con: duckdb.DuckDBPyConnection, frame, text: str) -> str | None:
 
 def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
     spark = build_session(master="local[8]", **{
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, failed = connect(sf_dir), driver.oracle_sql(), 0
