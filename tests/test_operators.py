@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators import (
+    aggregates, changes, columns, constraints, filters, joins, keys, merge, paging,
+)
+from starloom.session import stage
+
+
+def test_keep_first_and_last(spark, rows):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 3, "c"), (None, 4, "d")], "k int, o int, v string")
+    assert rows(keys.keep_first(df, ["k"], ["o"])) == [(None, 3, "c"), (1, 1, "a")]
+    assert rows(keys.keep_last(df, ["k"], ["o"])) == [(None, 4, "d"), (1, 2, "b")]
+
+
+def test_dedup_limits_rows_below_the_shuffle(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 3)
+    plan = keys.keep_first(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_surrogate_keys_do_not_depend_on_partitioning(spark, partitions):
+    data = [(i % 5 if i % 3 else None, i) for i in range(200)]
+    random.Random(1).shuffle(data)
+    df = spark.createDataFrame(data, "a int, b int").repartition(partitions)
+    got = keys.assign_keys(df, "sk", ["a", "b"], start=10).orderBy("sk").collect()
+    order = sorted(data, key=lambda t: (t[0] is None, t[0] or 0, t[1]))
+    assert [(r["sk"], r["a"], r["b"]) for r in got] == [(11 + i, *t) for i, t in enumerate(order)]
+    assert keys.max_key(spark.createDataFrame([], "sk bigint"), "sk") == 0
+
+
+def test_file_order_numbers_fall_back_when_rows_were_moved(spark):
+    data = [(("f", 0 if i < 50 else 99, i), i) for i in range(100) if i % 7]
+    df = spark.createDataFrame(data, "_ordinal struct<file: string, block: bigint, row: bigint>, v int")
+    for frame in (df.coalesce(1).sortWithinPartitions("_ordinal"), df.repartition(5)):
+        got = keys.number_in_file_order(stage(keys.with_position(frame), "rows"), "sk", 3)
+        assert [r["sk"] for r in got.orderBy("v").collect()] == list(range(4, 4 + len(data)))
+
+
+def test_snapshot_changes_are_null_safe(spark, rows):
+    previous = spark.createDataFrame([(1, "A"), (2, None), (3, None), (4, "B"), (9, "Z")], "id int, t string")
+    current = spark.createDataFrame([(1, "C"), (2, "A"), (3, None), (4, "B"), (8, "Y")], "id int, t string")
+    got = changes.snapshot_changes(previous, current, "id", ["t"])
+    assert rows(got.select("id", "Current_t", "Previous_t")) == [(1, "C", "A"), (2, "A", None)]
+
+
+def test_history_changes_follow_the_previous_batch_of_the_key(spark, rows):
+    data = [(1, 0, 1, "A"), (1, 1, 2, "D"), (1, 1, 3, "B"), (1, 3, 4, "A"), (2, 0, 5, "X"), (2, 2, 6, "X")]
+    df = spark.createDataFrame(data, "id int, batch int, o int, t string")
+    got = changes.history_changes(df, "id", "batch", "o", ["t"])
+    assert rows(got) == [(1, 1, 0, "B", "A"), (1, 3, 1, "A", "B")]
+
+
+def test_multi_value_history(spark, rows):
+    data = [(1, "M", 1), (1, "D", 2), (2, "M", 1), (2, "M", 2), (3, "M", 1), (3, None, 2)]
+    df = spark.createDataFrame(data, "id int, s string, v int")
+    assert rows(changes.multi_value_history(df, "id", "s")) == [(1, "D", 2), (1, "M", 1)]
+
+
+def test_left_to_many_equals_a_left_join(spark, rows):
+    one = stage(spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, n string"), "one")
+    many = spark.createDataFrame([(1, 10), (1, 11), (3, 12)], "id int, m int")
+    assert rows(joins.left_to_many(one, many, "id")) == rows(one.join(many, "id", "left"))
+
+
+def test_constraints(spark, rows):
+    child = spark.createDataFrame([(1, 7), (1, 8), (5, 7), (None, 9)], "fk int, v int")
+    parent = spark.createDataFrame([(1,), (2,)], "pk int")
+    assert rows(constraints.orphan_keys(child, "fk", parent, "pk")) == [(5, 1)]
+    assert rows(constraints.null_out_orphans(child, {"fk": (parent, "pk")})) == [(None, 7), (None, 9), (1, 7), (1, 8)]
+    assert rows(constraints.repeated_keys(child.where("fk IS NOT NULL"), ["fk"])) == [(1, 2)]
+    assert rows(constraints.null_counts(child, ["fk", "v"])) == [("fk", 1), ("v", 0)]
+
+
+def test_merges(spark, rows):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e"), (None, "f")], "k int, v string")
+    assert rows(merge.insert_if_absent(old, new, "k", ["v"])) == [(1, "a"), (2, "b"), (3, "d")]
+    assert rows(merge.upsert_latest(old, new.where("k IS NOT NULL"), ["k"], ["v"])) == [(1, "a"), (2, "c"), (3, "e")]
+    wide = merge.append_aligned(old.withColumn("x", F.lit(1)), new.withColumn("y", F.lit(2)))
+    assert wide.columns == ["k", "v", "x", "y"] and wide.count() == 6
+
+
+def test_pages_are_the_same_both_ways(spark, monkeypatch):
+    df = spark.range(100).withColumn("v", F.col("id") % 10)
+    order = [F.desc("v"), "id"]
+    shallow = [tuple(r) for r in paging.page(df, order, 2, 20).collect()]
+    monkeypatch.setattr(paging, "TOP_K_ROWS", 5)
+    deep = sorted((tuple(r) for r in paging.page(df, order, 2, 20).collect()), key=lambda t: (-t[1], t[0]))
+    assert shallow == deep and len(deep) == 20
+
+
+def test_search_looks_at_every_column(spark, rows):
+    df = spark.createDataFrame([("Abc", 12, None), ("x", 3, dt.date(2012, 1, 1)), (None, None, None)], "a string, b int, d date")
+    assert rows(filters.search(df, "aB").select("a")) == [("Abc",)]
+    assert filters.search(df, "2012-01").count() == 1 and filters.search(df, "12").count() == 2
+
+
+def test_sample_depends_on_the_key_only(spark):
+    df = spark.range(5000)
+    a = {r["id"] for r in filters.hash_sample(df.repartition(3), "id", 10).collect()}
+    b = {r["id"] for r in filters.hash_sample(df.repartition(11), "id", 10).collect()}
+    assert a == b and 350 < len(a) < 650
+    assert a != {r["id"] for r in filters.hash_sample(df, "id", 10, seed=1).collect()}
+
+
+def test_aggregates(spark, rows):
+    df = spark.createDataFrame([(1, 5), (1, None), (2, None), (None, 9)], "k int, v int")
+    assert rows(aggregates.totals(df, ["k"], "v")) == [(1, 5), (2, 0)]
+    counts = aggregates.frequencies(df, "k")
+    assert [tuple(r) for r in counts.collect()] == [(1, 2), (2, 1)]
+    assert rows(aggregates.share_of_max(counts)) == [(1, 2, 100), (2, 1, 50)]
+    assert rows(aggregates.inventory({"t": df})) == [("t", 4, "k, v")]
+
+
+def test_column_helpers(spark):
+    df = spark.createDataFrame([(1, " a ", float("nan"))], "k int, s string, f double")
+    assert columns.select_present(df, ["s", "gone", "k"]).columns == ["s", "k"]
+    assert columns.key_first(df, "f").columns == ["f", "k", "s"]
+    assert columns.strip_all(df).first()["s"] == "a"
+    assert columns.load_values_all(df).first()["f"] is None
+    left, right = columns.suffix_overlap(df, df, ["k"], ("_l", "_r"))
+    assert left.columns == ["k", "s_l", "f_l"] and right.columns == ["k", "s_r", "f_r"]
+
+
+def test_brute_force_sample_of_every_key(spark):
+    """keep_last over random rows with one key holding a third of them."""
+    rng = random.Random(2)
+    data = [(0 if i % 3 == 0 else rng.randrange(50), rng.random(), i) for i in range(3000)]
+    best = defaultdict(lambda: (-1.0, -1))
+    for k, v, i in data:
+        best[k] = max(best[k], (v, i))
+    got = keys.keep_last(spark.createDataFrame(data, "k int, v double, i int").repartition(6), ["k"], ["v", "i"])
+    assert {(r["k"], r["v"], r["i"]) for r in got.collect()} == {(k, *v) for k, v in best.items()}
