@@ -60,16 +60,21 @@ def _up_to(warehouse: Warehouse, table: str, batch_id: int) -> DataFrame:
 
 
 def _extend(
-    warehouse: Warehouse, batch_id: int, table: str, key: str, build: Callable[[int], DataFrame]
+    warehouse: Warehouse,
+    batch_id: int,
+    reload: bool,
+    table: str,
+    key: str,
+    build: Callable[[int], DataFrame],
 ) -> None:
     """Write a batch of a keyed table; ``build`` gets the largest earlier key."""
     rows = build(keys.max_key(_before(warehouse, table, batch_id), key))
     own = warehouse.gold(table).where(F.col(BATCH) == batch_id)
     later = warehouse.gold(table).where(F.col(BATCH) > batch_id)
-    if not later.isEmpty() and own.count() != rows.count():
+    if not reload and not later.isEmpty() and own.count() != rows.count():
         raise ValueError(
-            f"{table}: batch {batch_id} changed its number of rows; load the later batches "
-            "into a fresh warehouse, or their keys would collide"
+            f"{table}: batch {batch_id} changed its number of rows, so the keys of later "
+            "batches must move; load it and all later batches with reload=True"
         )
     warehouse.write(rows, "gold", table, batch_id)
 
@@ -79,13 +84,14 @@ def transform(
     silver: Mapping[str, DataFrame],
     batch_id: int,
     same_batch_only: bool = False,
+    reload: bool = False,
 ) -> None:
     """Extend dimensions, fact and change tables by one batch.
 
     Keys and due dates are looked up in all dimension rows up to this batch, or in this
     batch's rows only with ``same_batch_only``.
     """
-    extend = partial(_extend, warehouse, batch_id)
+    extend = partial(_extend, warehouse, batch_id, reload)
     together(
         partial(extend, "dim_customer", "Customer_SK",
                 lambda start: model.dim_customer(silver["customers"], [ORDINAL], start)),
@@ -142,13 +148,18 @@ def load_batch(
     batch_id: int,
     strict: bool = False,
     same_batch_only: bool = False,
+    reload: bool = False,
 ) -> bool:
-    """Load one batch; False when all its tables are empty and it was skipped."""
+    """Load one batch; False when all its tables are empty and it was skipped.
+
+    A batch may be loaded again at any time. If its number of rows changed, that and every
+    later batch has to be loaded with ``reload``, because their keys move.
+    """
     if all(df.isEmpty() for df in raw.values()):
         return False
     bronze = land(warehouse, raw, batch_id)
     silver = clean(warehouse, bronze, batch_id, strict)
-    transform(warehouse, silver, batch_id, same_batch_only)
+    transform(warehouse, silver, batch_id, same_batch_only, reload)
     return True
 
 
