@@ -263,14 +263,16 @@ SELECT "table", CAST(rule_no AS BIGINT) AS rule_no, rule, "column", n_rows FROM
 
 _SIZES = {"customers": ("c0", "c7"), "policies": ("p0", "p8"), "address": ("a0", "a4"), "transactions": ("t0", "t5")}
 
-ORACLE["q_validation_report"] = f"""{_counted()},
+_REPORT = f"""{_counted()},
 sizes AS ({' UNION ALL '.join(
     f"SELECT '{t}' AS tab, (SELECT count(*) FROM {a}) AS rows_in, (SELECT count(*) FROM {b}) AS rows_out"
     for t, (a, b) in _SIZES.items())}),
 found AS (
   SELECT "table" AS tab, head || CAST(n_rows AS VARCHAR) || tail AS issue, rule_no,
          row_number() OVER (PARTITION BY "table" ORDER BY rule_no) AS pos
-  FROM counted WHERE n_rows > 0)
+  FROM counted WHERE n_rows > 0)"""
+
+ORACLE["q_validation_report"] = f"""{_REPORT}
 SELECT s.tab AS "table",
        CASE WHEN count(f.issue) = 0 THEN 'passed' ELSE 'issues' END AS status,
        s.rows_in, s.rows_out,
@@ -278,6 +280,14 @@ SELECT s.tab AS "table",
 FROM sizes s LEFT JOIN found f ON f.tab = s.tab
 GROUP BY s.tab, s.rows_in, s.rows_out"""
 
+ORACLE["q_report_json"] = f"""{_REPORT},
+entries AS (
+  SELECT s.tab, '{{"table":"' || s.tab || '","issues":['
+         || coalesce(string_agg('"' || f.issue || '"', ',' ORDER BY f.pos), '"All checks passed."')
+         || '],"rows_in":' || CAST(s.rows_in AS VARCHAR) || ',"rows_out":' || CAST(s.rows_out AS VARCHAR) || '}}' AS entry
+  FROM sizes s LEFT JOIN found f ON f.tab = s.tab GROUP BY s.tab, s.rows_in, s.rows_out)
+SELECT CAST(0 AS BIGINT) AS batch_id, '[' || string_agg(entry, ',' ORDER BY tab) || ']' AS report FROM entries"""
+
 ORACLE["q_required_columns"] = f"""{_STEPS}
 SELECT 'customers' AS "table", (SELECT count(*) FROM c0) AS rows_in, (SELECT count(*) FROM c6) AS rows_out,
        'Missing columns: [''Gender'', ''DOB'']' AS first_issue"""

@@ -297,6 +297,12 @@ def validation_report(spark, sf):
     return quality.report_summary(report)
 
 
+@query
+def report_json(spark, sf):
+    report = quality.combined_report({t: checked(spark, sf, t) for t in TABLES})
+    return extracts.report_json(report.withColumn("batch_id", F.lit(0)))
+
+
 @query
 def rule_counts(spark, sf):
     parts = [checked(spark, sf, t).counts for t in TABLES]

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _NAME = "concat(c.Customer_Title, ' ', c.Customer_First_Name, ' ', c.Customer_Last_Name)"
 
-# Versions of one policy collapse to its distinct type states first: the pairs that
-# follow are pairs of states (a policy has few), and version_pairs says how many pairs
-# of versions each stands for. Pairing the versions themselves would grow with the
-# square of a policy's history.
+# Versions of one policy collapse to its distinct type states before they are paired, and
+# version_pairs says how many pairs of versions a row stands for. The previous side has
+# one state per type the policy ever had, a handful of codes; pairing the versions
+# themselves would grow with the square of a policy's history.
 POLICY_CHANGES = f"""
 WITH states AS (
   SELECT Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, Policy_Name,
@@ -24,6 +24,11 @@ WITH states AS (
   FROM dim_policy
   GROUP BY Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, Policy_Name
 ),
+earlier AS (
+  SELECT Policy_Id, Policy_Type_Id, Policy_Type, Policy_Name, sum(versions) AS versions
+  FROM states
+  GROUP BY Policy_Id, Policy_Type_Id, Policy_Type, Policy_Name
+),
 active AS (
   SELECT c.Customer_ID, {_NAME} AS Customer_Name
   FROM dim_customer c
@@ -40,7 +45,7 @@ SELECT curr.Customer_ID,
        prev.Policy_Name    AS Previous_Policy_Name,
        curr.versions * prev.versions AS version_pairs
 FROM states curr
-JOIN states prev
+JOIN earlier prev
   ON curr.Policy_Id = prev.Policy_Id AND curr.Policy_Type_Id <> prev.Policy_Type_Id
 LEFT JOIN active a ON a.Customer_ID = curr.Customer_ID
 """

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staging")),
         },
     )

@@ -183,3 +183,31 @@ def test_hot_policy_and_customer_are_split_in_the_fact_joins(spark):
     expected = sum((7 if i % 3 == 0 else i % 500) + 1 for i in range(20000))
     assert row == (20000, expected, expected, expected, 20000)
     assert plan.count("SortMergeJoin(skew=true)") >= 2, plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    tables = {}
+    for name, df in star(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    plan = plan_of(business.total_by_region_term_year(tables["dim_policy"], tables["dim_customer"]))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "Policy_SK" in line)
+    assert "GreaterThanOrEqual(Policy_Start_Dt,2012-01-01)" in scan and "EqualTo(Policy_Term,Quarterly)" in scan
+    assert "Policy_Type_Desc" not in scan and "Premium_Amt" not in scan
+    plan = plan_of(business.total_by_customer(tables["fact_transactions"], tables["dim_customer"]))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "Total_Policy_Amt" in line)
+    assert "ReadSchema: struct<Customer_ID:bigint,Total_Policy_Amt:decimal(15,2)>" in scan
+
+
+def test_no_plan_pairs_rows_without_a_key(spark):
+    t = star(spark)
+    views.register(spark, t)
+    frames = [*business.run_all(t, t["dim_policy"], t["dim_policy"]).values(),
+              *[spark.sql(text) for text in views.view_texts().values()]]
+    for df in frames:
+        plan = plan_of(df)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
