@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -22,17 +22,24 @@ NULL_TOKENS = (
 LOAD_NULL_TOKENS = ("", "nan", "NaT", "None")
 
 
+def sql_text(value: object) -> str:
+    """A text or number as a SQL literal. Long literal lists go to Spark as one SQL text:
+    building them one Column at a time costs a call into the JVM per entry."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends.
 
     Plain spaces go first, which is cheap; the slower trim by character set only sees the
     few texts that still begin or end with another kind of white space.
     """
-    spaced = F.trim(c)
-    other = F.contains(F.lit(WHITESPACE), F.left(spaced, F.lit(1))) | F.contains(
-        F.lit(WHITESPACE), F.right(spaced, F.lit(1))
-    )
-    return F.when(other, F.btrim(spaced, F.lit(WHITESPACE))).otherwise(spaced)
+    spaced, white = F.trim(c), F.lit(WHITESPACE)
+    first, last = F.substring(spaced, 1, 1), F.substring(spaced, -1, 1)
+    other = F.contains(white, first) | F.contains(white, last)
+    return F.when(other, F.btrim(spaced, white)).otherwise(spaced)
 
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
@@ -50,13 +57,10 @@ def title_case(c: Column) -> Column:
     return F.when(c.rlike(f"[^{_CASED}]"), cut).otherwise(F.initcap(c))
 
 
-def null_if_in(c: Column, tokens: Iterable[str]) -> Column:
-    return F.when(~c.isin(*tokens), c)
-
-
-def null_token(c: Column) -> Column:
+def null_token(column: str) -> Column:
     """Missing-value texts of a CSV field become NULL; the text is not stripped first."""
-    return null_if_in(c, NULL_TOKENS)
+    tokens = ", ".join(map(sql_text, NULL_TOKENS))
+    return F.expr(f"CASE WHEN `{column}` NOT IN ({tokens}) THEN `{column}` END")
 
 
 def load_value(c: Column) -> Column:
@@ -66,15 +70,14 @@ def load_value(c: Column) -> Column:
 
 def lookup(c: Column, mapping: Mapping[str, object], default: object = None) -> Column:
     """Dictionary lookup with an optional default for everything not found."""
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    found = F.try_element_at(table, c)
+    entries = ", ".join(sql_text(x) for pair in mapping.items() for x in pair)
+    found = F.try_element_at(F.expr(f"map({entries})"), c)
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def canonical(c: Column, mapping: Mapping[str, str]) -> Column:
-    """Alias -> canonical text; an unknown text stays (stripped), NULL stays NULL."""
-    clean = strip(c)
-    return F.coalesce(lookup(F.lower(clean), mapping), clean)
+    """Alias -> canonical text for a stripped text; an unknown one stays, NULL stays NULL."""
+    return F.coalesce(lookup(F.lower(c), mapping), c)
 
 
 def joined_name(*parts: Column) -> Column:

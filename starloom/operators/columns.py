@@ -33,7 +33,7 @@ def strip_all(df: DataFrame) -> DataFrame:
 
 def null_tokens_all(df: DataFrame) -> DataFrame:
     """Missing-value texts to NULL in every text column, as a CSV read does."""
-    return df.withColumns({c: text.null_token(F.col(c)) for c in string_columns(df)})
+    return df.withColumns({c: text.null_token(c) for c in string_columns(df)})
 
 
 def load_values_all(df: DataFrame) -> DataFrame:

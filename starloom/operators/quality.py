@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.functions import dates, numbers
+from starloom.functions import dates, numbers, text
 from starloom.operators.columns import missing_columns
 from starloom.operators.keys import keep_first
 
@@ -209,24 +209,20 @@ def _verdict(rules: Sequence[tuple[int, Rule]], stages: Sequence[DataFrame]) ->
     ]
     tally = reduce(DataFrame.unionByName, tallies)
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    def total(condition: str) -> str:
+        return f"coalesce(sum(n) FILTER (WHERE {condition}), 0)"
 
-    stage, passed = F.col("stage"), F.col(_FAILED).isNull()
-    repeats = iter(range(len(stages) - 1))
-    dropped = []
+    last, passed = len(stages) - 1, f"{_FAILED} IS NULL"
+    repeats = iter(range(last))
+    measures = {"rows_in": total("stage = 0"), "rows_out": total(f"stage = {last} AND {passed}")}
     for number, rule in rules:
         if rule.unique:
             i = next(repeats)
-            n = total((stage == i) & passed) - total(stage == i + 1)
+            n = f"{total(f'stage = {i} AND {passed}')} - {total(f'stage = {i + 1}')}"
         else:
-            n = total(F.col(_FAILED) == number)
-        dropped.append(n.alias(f"rule_{number}"))
-    return tally.agg(
-        total(stage == 0).alias("rows_in"),
-        total((stage == len(stages) - 1) & passed).alias("rows_out"),
-        *dropped,
-    )
+            n = total(f"{_FAILED} = {number}")
+        measures[f"rule_{number}"] = n
+    return tally.agg(*[F.expr(n).alias(name) for name, n in measures.items()])
 
 
 @dataclass(frozen=True)
@@ -246,13 +242,12 @@ class Checked:
     @property
     def report(self) -> DataFrame:
         """One row: table, status, issues, rows_in, rows_out."""
-        found = [F.lit(f"Missing columns: {list(self.absent)}")] if self.absent else []
+        found = [text.sql_text(f"Missing columns: {list(self.absent)}")] if self.absent else []
         for number, rule in self.rules:
-            n = F.col(f"rule_{number}")
             if rule.message:
-                head, tail = rule.message.split("{n}")
-                found.append(F.when(n > 0, F.concat(F.lit(head), n.cast("string"), F.lit(tail))))
-        issues = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+                head, tail = map(text.sql_text, rule.message.split("{n}"))
+                found.append(f"CASE WHEN rule_{number} > 0 THEN concat({head}, rule_{number}, {tail}) END")
+        issues = F.expr(f"array_compact(CAST(array({', '.join(found)}) AS array<string>))")
         passed = F.size(issues) == 0
         return _verdict(self.rules, self.stages).select(
             F.lit(self.table).alias("table"),
@@ -265,18 +260,13 @@ class Checked:
     @property
     def counts(self) -> DataFrame:
         """One row per dropping rule: table, rule_no, rule, column, n_rows."""
-        entries = [
-            F.struct(
-                F.lit(number).alias("rule_no"),
-                F.lit(rule.name).alias("rule"),
-                F.lit(rule.column).alias("column"),
-                F.col(f"rule_{number}").alias("n_rows"),
-            )
+        entries = ", ".join(
+            f"struct({number} AS rule_no, '{rule.name}' AS rule, '{rule.column}' AS column, rule_{number} AS n_rows)"
             for number, rule in self.rules
             if rule.unique or rule.bad is not None
-        ]
+        )
         verdict = _verdict(self.rules, self.stages)
-        return verdict.select(F.lit(self.table).alias("table"), F.inline(F.array(*entries)))
+        return verdict.select(F.lit(self.table).alias("table"), F.expr(f"inline(array({entries}))"))
 
 
 def validate(

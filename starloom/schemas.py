@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 MONEY = T.DecimalType(15, 2)
 
@@ -124,9 +124,9 @@ def conform(
     present = set(df.columns)
     columns = []
     for field in schema.fields:
-        value = F.col(field.name) if field.name in present else F.lit(None)
-        value = value.try_cast(field.dataType)
+        kind = field.dataType.simpleString()
+        value = f"TRY_CAST({f'`{field.name}`' if field.name in present else 'NULL'} AS {kind})"
         if field.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            value = f"coalesce({value}, CAST({defaults[field.name]} AS {kind}))"
+        columns.append(f"{value} AS `{field.name}`")
+    return df.selectExpr(*columns)

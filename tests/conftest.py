@@ -20,6 +20,10 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.maxMetadataStringLength": "2000",
+            # Tiny inputs: compiling each plan would take longer than running it. The catalogue
+            # check runs the same operators with code generation on.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staging")),
         },
     )
