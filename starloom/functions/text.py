@@ -33,13 +33,13 @@ def sql_text(value: object) -> str:
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends.
 
-    Plain spaces go first, which is cheap; the slower trim by character set only sees the
-    few texts that still begin or end with another kind of white space.
+    Plain spaces go first, which is cheap; the slower trim by character set only sees
+    texts that begin or end with a control or non-ASCII character.
     """
-    spaced, white = F.trim(c), F.lit(WHITESPACE)
+    spaced = F.trim(c)
     first, last = F.substring(spaced, 1, 1), F.substring(spaced, -1, 1)
-    other = F.contains(white, first) | F.contains(white, last)
-    return F.when(other, F.btrim(spaced, white)).otherwise(spaced)
+    special = (first <= " ") | (first >= "\x80") | (last <= " ") | (last >= "\x80")
+    return F.when(special, F.btrim(spaced, F.lit(WHITESPACE))).otherwise(spaced)
 
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
