@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from starloom.functions import text
+from starloom.functions import numbers, text
 
 
 def select_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def load_values_all(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.StringType):
             fixes[field.name] = text.load_value(F.col(field.name))
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            fixes[field.name] = F.when(~F.isnan(field.name), F.col(field.name))
+            fixes[field.name] = numbers.nan_to_null(F.col(field.name))
     return df.withColumns(fixes) if fixes else df
 
 

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.operators import keys, model
 from starloom.operators.changes import multi_value_history, snapshot_changes
 from starloom.operators.joins import keep_keys
+from starloom.operators.keys import ORDINAL
 from starloom.operators.quality import combined_report, validate_all
 from starloom.operators.standardize import standardize_all
-from starloom.schemas import DEFAULTS, GOLD, SILVER, conform
+from starloom.schemas import DEFAULTS, GOLD, conform
 from starloom.session import together
-from starloom.operators.keys import ORDINAL
 from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import BATCH, Warehouse
 
@@ -177,7 +177,3 @@ def load_batches(
         for batch_id in sorted(batch_ids)
         if load_batch(warehouse, read_batch(spark, source_root, batch_id), batch_id, **options)
     ]
-
-
-def silver_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {table: warehouse.read("silver", table, schema) for table, schema in SILVER.items()}

@@ -114,7 +114,7 @@ def total_by_region_term_year(
 def marital_changes(dim_customer: DataFrame) -> DataFrame:
     """All versions of customers with more than one marital status."""
     versions = dim_customer.select(
-        "Customer_ID", "Customer_Title", "Customer_First_Name", "Customer_Last_Name",
+        "Customer_SK", "Customer_ID", "Customer_Title", "Customer_First_Name", "Customer_Last_Name",
         "Customer_Segment", "Marital_Status", "Effective_Start_Dt", "Effective_End_Dt",
     )
     return (
@@ -123,7 +123,8 @@ def marital_changes(dim_customer: DataFrame) -> DataFrame:
             "Effective_Start_Dt": "Start_Dt_Marital_Status",
             "Effective_End_Dt": "End_Dt_Marital_Status",
         })
-        .orderBy("Customer_ID", F.asc_nulls_last("Start_Dt_Marital_Status"))
+        .orderBy("Customer_ID", F.asc_nulls_last("Start_Dt_Marital_Status"), "Customer_SK")
+        .drop("Customer_SK")
     )
 
 
