@@ -536,13 +536,16 @@ def write_batch_files(spark: SparkSession, sf: str) -> str:
     """Raw CSV files of three batches: customers and addresses in the first one, policies
     and transactions spread by their order key."""
     root = staging_path(spark, "batches")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in TABLES:
         df = raw(spark, sf, name)
         spread = name in ("policies", "transactions")
         for batch in BATCHES if spread else BATCHES[:1]:
             rows = df.where(F.col("line_no") % len(BATCHES) == batch) if spread else df
-            order = ["line_no"] if name != "transactions" else df.columns
-            extracts.write_csv(rows.orderBy(*order).drop("line_no"), f"{root}/day{batch}_{name}.csv")
+            # Dimension keys follow the file order; the totals below do not depend on the
+            # order of the transactions, so these are only spread over several files.
+            placed = rows.repartition(files) if name == "transactions" else rows.orderBy("line_no")
+            extracts.write_csv(placed.drop("line_no"), f"{root}/day{batch}_{name}.csv")
     return root
 
 
