@@ -80,6 +80,7 @@ def not_before(column: str, earlier: str, message: str) -> Rule:
     )
 
 
+# The columns a raw table must have.
 REQUIRED: dict[str, tuple[str, ...]] = {
     "customers": (
         "Customer_ID", "Customer_First_Name", "Customer_Last_Name", "Customer_Segment",
@@ -97,6 +98,7 @@ REQUIRED: dict[str, tuple[str, ...]] = {
 def rules_for(table: str, strict: bool = False) -> list[Rule]:
     """The rule list of a table. ``strict`` also drops rows with a missing region or an
     unusable policy or payment date, which the default keeps."""
+    # The issue texts are fixed values: reports are read by their wording.
     if table == "customers":
         return [
             *[

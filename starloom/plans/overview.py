@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.operators.aggregates import frequencies, row_counts, share_of_max
 
+# The labels of the key figures.
 KPI_LABELS = {
     "dim_customer": "Total Customers",
     "dim_policy": "Total Policies",

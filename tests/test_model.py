@@ -185,6 +185,33 @@ def test_hot_policy_and_customer_are_split_in_the_fact_joins(spark):
     assert plan.count("SortMergeJoin(skew=true)") >= 2, plan
 
 
+def test_hot_customer_is_split_in_the_full_view_and_the_status_view(spark, tmp_path):
+    """One customer owns a third of the policies and has a third of the customer versions."""
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).cast("bigint")
+    ids = spark.range(12000).repartition(4)
+    policies = conform(ids.select((F.col("id") + 1).alias("Policy_SK"), F.col("id").alias("Policy_Id"), hot.alias("Customer_ID"),
+                                  F.sha2(F.col("id").cast("string"), 256).alias("Policy_Name")), GOLD["dim_policy"])
+    versions = conform(ids.select((F.col("id") + 1).alias("Customer_SK"), hot.alias("Customer_ID"),
+                                  F.concat(F.lit("S"), F.col("id") % 2).alias("Marital_Status"),
+                                  F.sha2(F.col("id").cast("string"), 256).alias("Customer_Title")), GOLD["dim_customer"])
+    addresses = conform(spark.range(900).select(F.col("id").alias("Customer_ID")), GOLD["dim_address"])
+    versions.createOrReplaceTempView("dim_customer")
+    before = {k: spark.conf.get(k, None) for k in hot_conf(spark)}
+    try:
+        for k, v in hot_conf(spark).items():
+            spark.conf.set(k, v)
+        full = business.full_view(versions, policies, addresses)
+        status = spark.sql(views.MARITAL_CHANGES)
+        assert len(full.collect()) == 12000
+        assert len(status.collect()) > 4000
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (full, status)]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plans[0], plans[0]
+    assert "SortMergeJoin(skew=true)" in plans[1], plans[1]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
