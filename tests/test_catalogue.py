@@ -23,11 +23,12 @@ def duck():
 
 
 def test_every_query_has_sql_except_the_sample():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"q_hash_sample"}
+    own = {name for name in driver.queries() if name.startswith("q_")}
+    assert own - set(driver.oracle_sql()) == {"q_hash_sample"}
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.oracle_sql()) - LOADS))
+@pytest.mark.parametrize("name", sorted({name for name in driver.oracle_sql() if name.startswith("q_")} - LOADS))
 def test_query_agrees_with_sql(spark, duck, name):
     assert difference(duck, driver.queries()[name](spark, SF_DIR), driver.oracle_sql()[name]) is None
 
