@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -33,18 +31,13 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(whole(text))
 
 
-def with_lookup(big: DataFrame, lookup: DataFrame, condition: Column | Sequence[str], how: str) -> DataFrame:
-    """Join wide rows to a *written* lookup without sorting the wide rows.
+def with_lookup(big: DataFrame, lookup: DataFrame, condition: Column, how: str) -> DataFrame:
+    """Join wide rows to a narrower table with one row per document, without sorting the wide rows.
 
-    Its known size decides: below the session's broadcast threshold Catalyst broadcasts it;
-    above, both sides are hashed by the key and the wide rows stream past the lookup's part.
+    Both sides are hashed by the key and the wide rows stream past the lookup's part. The lookup
+    grows with the documents, so it is never broadcast, and the plan is the same at every size.
     """
-    state = big.sparkSession._jsparkSession.sessionState()
-    size = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > state.conf().autoBroadcastJoinThreshold():
-        lookup = lookup.hint("shuffle_hash")
-    on = list(condition) if not isinstance(condition, Column) else condition
-    return big.join(lookup, on, how)
+    return big.join(lookup.hint("shuffle_hash"), condition, how)
 
 
 def drop_documents(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

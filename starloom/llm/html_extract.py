@@ -23,7 +23,7 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starloom.llm.common import whole, with_lookup
+from starloom.llm.common import whole
 from starloom.session import stage
 
 VOTES_PER_PAGE = 3
@@ -257,6 +257,8 @@ def main_text(pages: DataFrame, page_html: str = "html", url: str = "url", to: s
     best = Window.partitionBy("_host").orderBy(F.round("votes", 6).desc(), "path")
     ranked = ballot.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PATHS_PER_HOST)
     winners = ranked.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("p"))
+    # Written, so that its size is known: Catalyst broadcasts it below its threshold only, and above
+    # it adaptive execution can split a host with very many pages.
     winners = stage(winners.select("_host", F.col("p.path").alias("_paths")), "host_paths")
-    joined = with_lookup(rows, winners, ["_host"], "left").withColumn("_main", again("_html", "_paths"))
+    joined = rows.join(winners, "_host", "left").withColumn("_main", again("_html", "_paths"))
     return joined.select(*[F.col("_row")[c].alias(c) for c in pages.columns if c != to], F.col("_main").alias(to))
