@@ -8,8 +8,8 @@ pattern gives; documents are then picked by seeded hash order: whole rounds firs
 up to the rest.
 
 What reaches the driver is one row per distinct pattern. The pick never gathers a pattern: a
-histogram over ``BUCKETS`` hash ranges finds the range in which the rest runs out, and only that
-range is ordered. The gap that is left, less than one document, is closed in ``CLOSING`` passes
+histogram over ``BUCKETS`` hash ranges, and another inside one of them, find the range in which the
+rest runs out; only that range is ordered. The gap that is left, less than one document, is closed in ``CLOSING`` passes
 with the largest document that fits and a last one that may come nearer by going past it, so no
 prefix of a text is ever taken.
 
@@ -31,7 +31,7 @@ from starloom.session import stage
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20240229
-BUCKETS = 1 << 14
+BUCKETS = 1 << 10  # hash ranges per pattern and level, two levels
 CLOSING = 4
 
 
@@ -139,18 +139,22 @@ def pick(rows: DataFrame, seed: int = SEED) -> DataFrame:
     rounds = F.when(F.col("whole") > 0, F.floor(F.col("give") / F.col("whole"))).otherwise(F.lit(0)).cast("long")
     order = F.xxhash64(F.lit(seed), "key")
     rows = rows.withColumn("rounds", rounds).withColumn("rest", F.col("give") - F.col("rounds") * F.col("whole"))
-    rows = rows.withColumn("hash", order).withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)))
+    ranges = [F.pmod("hash", F.lit(BUCKETS)), F.pmod(F.shiftright("hash", 32), F.lit(BUCKETS))]
+    rows = rows.withColumn("hash", order).withColumn("range0", ranges[0]).withColumn("range1", ranges[1])
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "mix_rows")
-    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bins = rows.where("rest > 0").groupBy("pattern", "bucket", "rest").agg(F.sum("size").alias("n"))
-    edge = bins.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0))).where("below <= rest and below + n > rest")
-    edge = stage(edge.select(F.col("pattern").alias("_p"), F.col("bucket").alias("edge"), "below"), "mix_edges")
-    rows = rows.join(edge, rows["pattern"] == edge["_p"], "left").drop("_p")
-    inside = rows.where("bucket = edge")
+    inside, clear = rows.where("rest > 0 and size > 0").withColumn("below", F.lit(0).cast("long")), []
+    for level in ("range0", "range1"):
+        before = Window.partitionBy("pattern").orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        bins = inside.groupBy("pattern", level, "rest", "below").agg(F.sum("size").alias("n"))
+        bins = bins.withColumn("sum", F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+        edge = bins.where("sum <= rest and sum + n > rest")
+        edge = stage(edge.select(F.col("pattern").alias("_p"), F.col(level).alias("edge"), F.col("sum").alias("_sum")), "mix_edges")
+        met = inside.join(edge, inside["pattern"] == edge["_p"])
+        clear.append(met.where(F.col(level) < F.col("edge")).select("row"))
+        inside = met.where(F.col(level) == F.col("edge")).withColumn("below", F.col("_sum")).drop("_p", "edge", "_sum")
     along = Window.partitionBy("pattern").orderBy("hash", "row").rowsBetween(Window.unboundedPreceding, 0)
-    first = inside.withColumn("sum", F.col("below") + F.sum("size").over(along)).where("sum <= rest and size > 0")
-    first = first.select("row")
-    picked = stage(rows.where("bucket < edge and size > 0").select("row").unionByName(first), "mix_picked")
+    first = inside.withColumn("sum", F.col("below") + F.sum("size").over(along)).where("sum <= rest").select("row")
+    picked = stage(clear[0].unionByName(clear[1]).unionByName(first), "mix_picked")
     for last in [False] * CLOSING + [True]:
         # Any document with a use left may close the gap, one per pattern and pass.
         uses = rows.join(picked.groupBy("row").agg(F.count("*").alias("times")), "row", "left").fillna(0, ["times"])
@@ -165,7 +169,7 @@ def pick(rows: DataFrame, seed: int = SEED) -> DataFrame:
             picked = stage(picked.unionByName(more), "mix_picked")
     extra = picked.groupBy("row").agg(F.count("*").alias("times"))
     taken = F.col("size") * (F.col("rounds") + F.coalesce("times", F.lit(0)))
-    return rows.join(extra, "row", "left").withColumn("taken", taken.cast("long")).drop("times", "edge", "below", "bucket", "row")
+    return rows.join(extra, "row", "left").withColumn("taken", taken.cast("long")).drop("times", "range0", "range1", "row")
 
 
 def mix(
