@@ -100,11 +100,11 @@ def branches(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if 1 << (len(jumps) - 1) > n:
             break  # only a cycle is longer than all messages; what has no root is dropped below
         far = hop.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("u"), F.col("depth").alias("d"), F.col("sum").alias("s"))
-        met = hop.join(far, hop["tree"].eqNullSafe(far["t"]) & (hop["up"] == far["n"]), "left")
-        hop = stage(met.select(
-            "tree", "node", F.col("u").alias("up"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-            (F.col("sum") + F.coalesce("s", F.lit(0.0))).alias("sum"),
-        ), "reply_hops")
+        open_ = hop.where("up is not null")  # what has met its root is done
+        met = open_.join(far, open_["tree"].eqNullSafe(far["t"]) & (open_["up"] == far["n"])).select(
+            "tree", "node", F.col("u").alias("up"), (F.col("depth") + F.col("d")).alias("depth"), (F.col("sum") + F.col("s")).alias("sum")
+        )
+        hop = stage(hop.where("up is null").unionByName(met), "reply_hops")
     answered = messages.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     rooted = hop.where("up is null")
     leaves = rooted.join(answered, rooted["tree"].eqNullSafe(answered["t"]) & (rooted["node"] == answered["p"]), "left_anti")
