@@ -23,8 +23,16 @@ def _ctes(*names: str) -> str:
 
 
 def _id(c: str) -> str:
-    n = f"try_cast({c} AS DECIMAL(38,6))"
-    return f"CASE WHEN {n} = floor({n}) THEN try_cast({n} AS BIGINT) END"
+    t = f"trim(CAST({c} AS VARCHAR))"
+    n = f"try_cast({t} AS DECIMAL(38,18))"
+    return (
+        f"CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+[.]?0*') THEN try_cast(split_part({t}, '.', 1) AS BIGINT) "
+        f"WHEN regexp_matches({t}, '[eE]') AND {n} = floor({n}) THEN try_cast({n} AS BIGINT) END"
+    )
+
+
+def _exact(c: str) -> str:
+    return f"CASE WHEN {_amount(c)} IS NOT NULL THEN try_cast({c} AS DECIMAL(38,18)) END"
 
 
 def _amount(c: str) -> str:
@@ -90,7 +98,7 @@ WHERE {_id('Customer_ID')} > 0 AND {_date('DOB')} IS NOT NULL"""
 SELECT * FROM (
   SELECT * REPLACE ({_date('Policy_Start_Dt')} AS Policy_Start_Dt, {_date('Policy_End_Dt')} AS Policy_End_Dt)
   FROM (SELECT * REPLACE ({_id('Policy_Id')} AS Policy_Id, {_id('Customer_ID')} AS Customer_ID,
-                          {_amount('Premium_Amt')} AS Premium_Amt) FROM {source})
+                          {_exact('Premium_Amt')} AS Premium_Amt) FROM {source})
   WHERE Policy_Id IS NOT NULL AND Customer_ID IS NOT NULL AND Premium_Amt > 0
   {_first('Policy_Id', batch)})
 WHERE NOT coalesce(Policy_End_Dt < Policy_Start_Dt, FALSE)"""
@@ -102,7 +110,7 @@ WHERE Customer_ID IS NOT NULL AND Region IS NOT NULL AND Country IS NOT NULL
     return f"""
 SELECT * FROM (
   SELECT * REPLACE ({_id('Policy_Id')} AS Policy_Id, {_id('Customer_ID')} AS Customer_ID,
-                    {_amount('Premium_Amt')} AS Premium_Amt, {_amount('Total_Policy_Amt')} AS Total_Policy_Amt,
+                    {_exact('Premium_Amt')} AS Premium_Amt, {_exact('Total_Policy_Amt')} AS Total_Policy_Amt,
                     {_date('Actual_Premium_Paid_Dt')} AS Actual_Premium_Paid_Dt)
   FROM {source})
 WHERE Policy_Id IS NOT NULL AND Customer_ID IS NOT NULL AND Total_Policy_Amt IS NOT NULL
@@ -199,7 +207,7 @@ c5 AS (SELECT * FROM c4 {_first('Customer_ID')}),
 c6 AS (SELECT * FROM c5 WHERE {_id('Customer_ID')} > 0),
 c7 AS (SELECT * FROM c6 WHERE {_date('DOB')} IS NOT NULL),
 p0 AS (SELECT * REPLACE ({_id('Policy_Id')} AS Policy_Id, {_id('Customer_ID')} AS Customer_ID,
-       {_amount('Premium_Amt')} AS Premium_Amt, {_date('Policy_Start_Dt')} AS Policy_Start_Dt,
+       {_exact('Premium_Amt')} AS Premium_Amt, {_date('Policy_Start_Dt')} AS Policy_Start_Dt,
        {_date('Policy_End_Dt')} AS Policy_End_Dt) FROM ({clean('policies')})),
 p1 AS (SELECT * FROM p0 WHERE Policy_Id IS NOT NULL),
 p2 AS (SELECT * FROM p1 WHERE Customer_ID IS NOT NULL),
@@ -213,7 +221,7 @@ a2 AS (SELECT * FROM a1 WHERE Region IS NOT NULL),
 a3 AS (SELECT * FROM a2 WHERE Country IS NOT NULL),
 a4 AS (SELECT * FROM a3 {_first('Customer_ID')}),
 t0 AS (SELECT * REPLACE ({_id('Policy_Id')} AS Policy_Id, {_id('Customer_ID')} AS Customer_ID,
-       {_amount('Premium_Amt')} AS Premium_Amt, {_amount('Total_Policy_Amt')} AS Total_Policy_Amt)
+       {_exact('Premium_Amt')} AS Premium_Amt, {_exact('Total_Policy_Amt')} AS Total_Policy_Amt)
        FROM ({clean('transactions')})),
 t1 AS (SELECT * FROM t0 WHERE Policy_Id IS NOT NULL),
 t2 AS (SELECT * FROM t1 WHERE Customer_ID IS NOT NULL),
@@ -664,3 +672,7 @@ v AS (SELECT *, lag(Policy_Type_Id) OVER w AS before_id, lag(Policy_Type) OVER w
 SELECT Policy_Id, Customer_ID, Policy_Name, Policy_Type_Id AS Current_Policy_Type_Id, Policy_Type AS Current_Policy_Type,
        before_id AS Previous_Policy_Type_Id, before_type AS Previous_Policy_Type, batch AS batch_id
 FROM v WHERE version > 1 AND Policy_Type_Id IS DISTINCT FROM before_id"""
+
+ORACLE["q_hash_sample"] = f"""{_ctes('dim_policy')}
+SELECT Policy_Id, Policy_Type FROM dim_policy
+WHERE ('0x' || substr(md5('0:' || coalesce(CAST(Policy_Id AS VARCHAR), '')), 1, 8))::BIGINT % 100 < 10"""

@@ -16,6 +16,8 @@ def hash_sample(df: DataFrame, key: str, percent: int, seed: int = 0) -> DataFra
     """About ``percent`` % of the keys, with all their rows.
 
     The choice depends on key and seed only, so it is the same however the rows are
-    partitioned, and a recomputed task picks the same rows again.
+    partitioned, and a recomputed task or another engine picks the same rows again. Rows
+    without a key are one key.
     """
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < percent)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100 < percent)

@@ -8,20 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.operators.keys import assign_keys
 
-# Up to here a page is a top-k; further in, collecting offset + limit rows would not do.
-TOP_K_ROWS = 10_000
-
 
 def top(df: DataFrame, order_by: Sequence[str | Column], n: int) -> DataFrame:
-    return df.orderBy(*order_by).limit(n)
+    """The first ``n`` rows; a named column puts nulls last, as :func:`page` does."""
+    return df.orderBy(*[F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]).limit(n)
 
 
 def page(
     df: DataFrame, order_by: Sequence[str | Column], page_no: int, size: int = 20
 ) -> DataFrame:
-    """Page ``page_no`` (from 0). Deep pages number the sorted rows once and filter."""
+    """Page ``page_no`` (from 0): the sorted rows are numbered once and filtered, at any depth."""
     first = page_no * size
-    if first + size <= TOP_K_ROWS:
-        return df.orderBy(*order_by).offset(first).limit(size)
     numbered = assign_keys(df, "_row", order_by)
     return numbered.where(F.col("_row").between(first + 1, first + size)).drop("_row")

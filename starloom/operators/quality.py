@@ -44,7 +44,7 @@ def numeric_id(column: str, message: str) -> Rule:
 
 
 def numeric_amount(column: str, message: str) -> Rule:
-    return Rule("numeric", column, message, coerce=numbers.to_amount, bad=lambda c: c.isNull())
+    return Rule("numeric", column, message, coerce=numbers.to_exact, bad=lambda c: c.isNull())
 
 
 def positive_id(column: str, message: str) -> Rule:

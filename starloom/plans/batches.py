@@ -59,22 +59,27 @@ def _up_to(warehouse: Warehouse, table: str, batch_id: int) -> DataFrame:
     return warehouse.gold(table).where(F.col(BATCH) <= batch_id)
 
 
+def _differ(one: DataFrame, other: DataFrame) -> bool:
+    """Whether two tables hold different rows, keys included, however often."""
+    return not (one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty())
+
+
 def _extend(
     warehouse: Warehouse,
     batch_id: int,
-    reload: bool,
+    fixed: bool,
     table: str,
     key: str,
     build: Callable[[int], DataFrame],
 ) -> None:
-    """Write a batch of a keyed table; ``build`` gets the largest earlier key."""
+    """Write a batch of a keyed table; ``build`` gets the largest earlier key. ``fixed``: later
+    batches refer to this one, so it may only be written as it is."""
     rows = build(keys.max_key(_before(warehouse, table, batch_id), key))
     own = warehouse.gold(table).where(F.col(BATCH) == batch_id)
-    later = warehouse.gold(table).where(F.col(BATCH) > batch_id)
-    if not reload and not later.isEmpty() and own.count() != rows.count():
+    if fixed and _differ(own.select(*rows.columns), rows):
         raise ValueError(
-            f"{table}: batch {batch_id} changed its number of rows, so the keys of later "
-            "batches must move; load it and all later batches with reload=True"
+            f"{table}: the rows or keys of batch {batch_id} changed, and later batches refer to "
+            "them; load it and all later batches with reload=True"
         )
     warehouse.write(rows, "gold", table, batch_id)
 
@@ -91,7 +96,8 @@ def transform(
     Keys and due dates are looked up in all dimension rows up to this batch, or in this
     batch's rows only with ``same_batch_only``.
     """
-    extend = partial(_extend, warehouse, batch_id, reload)
+    fixed = not reload and any(b > batch_id for b in warehouse.loaded())
+    extend = partial(_extend, warehouse, batch_id, fixed)
     together(
         partial(extend, "dim_customer", "Customer_SK",
                 lambda start: model.dim_customer(silver["customers"], [ORDINAL], start)),
@@ -152,8 +158,8 @@ def load_batch(
 ) -> bool:
     """Load one batch; False when all its tables are empty and it was skipped.
 
-    A batch may be loaded again at any time. If its number of rows changed, that and every
-    later batch has to be loaded with ``reload``, because their keys move.
+    A batch may be loaded again at any time. If its content changed, that and every later
+    batch has to be loaded with ``reload``, because their keys move or what they looked up does.
     """
     if all(df.isEmpty() for df in raw.values()):
         return False
@@ -168,6 +174,7 @@ def load_batches(
     source_root: str,
     warehouse_root: str,
     batch_ids: Iterable[int],
+    multiline: bool = True,
     **options: bool,
 ) -> list[int]:
     """Load batches of raw CSV files in order; returns the ids that held data."""
@@ -175,5 +182,5 @@ def load_batches(
     return [
         batch_id
         for batch_id in sorted(batch_ids)
-        if load_batch(warehouse, read_batch(spark, source_root, batch_id), batch_id, **options)
+        if load_batch(warehouse, read_batch(spark, source_root, batch_id, multiline=multiline), batch_id, **options)
     ]

@@ -32,9 +32,10 @@ def customer_names(dim_customer: DataFrame) -> DataFrame:
 
 
 def policy_changes(
-    previous: DataFrame, current: DataFrame, dim_customer: DataFrame, limit: int | None = 20
+    previous: DataFrame, current: DataFrame, dim_customer: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """Policies whose type differs between two snapshots, with the customer's name."""
+    """Policies whose type differs between two snapshots, with the customer's name; all of them,
+    or the first ``limit`` by policy."""
     fields = ["Policy_Id", "Policy_Type_Id", "Policy_Type", "Policy_Name", "Customer_ID"]
     changed = snapshot_changes(
         select_present(previous, fields), select_present(current, fields), "Policy_Id",

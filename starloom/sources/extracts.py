@@ -30,8 +30,8 @@ def write_report(report: DataFrame, path: str) -> None:
     grouped.write.mode("overwrite").json(path)
 
 
-def json_records(df: DataFrame, order_by: Sequence[str | Column], limit: int = 200) -> DataFrame:
-    """The first ``limit`` rows as JSON records, fractional numbers rounded to 2 digits.
+def json_records(df: DataFrame, order_by: Sequence[str | Column], limit: int | None = None) -> DataFrame:
+    """All rows, or the first ``limit``, as JSON records, fractional numbers rounded to 2 digits.
 
     The order columns stay next to ``record``-named JSON so the extract can be re-sorted.
     """
@@ -40,7 +40,8 @@ def json_records(df: DataFrame, order_by: Sequence[str | Column], limit: int = 2
         for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))
     }
-    rows = df.orderBy(*order_by).limit(limit)
+    rows = df.orderBy(*order_by)
+    rows = rows if limit is None else rows.limit(limit)
     rows = rows.withColumns(fractional) if fractional else rows
     everything = F.struct(*rows.columns)
     return rows.select(F.to_json(everything, {"ignoreNullFields": "false"}).alias("record"))

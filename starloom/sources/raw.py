@@ -50,10 +50,14 @@ def _not_found(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw table with its ordinal; an absent file gives an empty table with the declared columns."""
+def read_raw_table(spark: SparkSession, path: str, table: str, multiline: bool = True) -> DataFrame:
+    """One raw table with its ordinal; an absent file gives an empty table with the declared columns.
+
+    Quoted texts may hold line breaks, so a file is read by one task. Declare ``multiline=False``
+    for sources without such breaks: their files are split.
+    """
     try:
-        return read_csv(spark, path, ordinal=True)
+        return read_csv(spark, path, ordinal=True, multiline=multiline)
     except AnalysisException as error:
         if not _not_found(error):
             raise
@@ -62,11 +66,12 @@ def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_batch(
-    spark: SparkSession, root: str, batch_id: int, template: str = "{root}/day{batch}_{table}.csv"
+    spark: SparkSession, root: str, batch_id: int, template: str = "{root}/day{batch}_{table}.csv",
+    multiline: bool = True,
 ) -> dict[str, DataFrame]:
     """The four raw tables of one batch."""
     return {
-        table: read_raw_table(spark, template.format(root=root, batch=batch_id, table=table), table)
+        table: read_raw_table(spark, template.format(root=root, batch=batch_id, table=table), table, multiline)
         for table in TABLES
     }
 

@@ -6,10 +6,11 @@ from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
+from starloom.operators.keys import ORDINAL, POSITION, with_position
 from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, conform
 from starloom.session import together
 from starloom.sources.raw import empty
@@ -49,6 +50,11 @@ class Warehouse:
         """One batch exactly as written, with helper columns."""
         return self.spark.read.parquet(f"{self.path(layer, table)}/{BATCH}={batch_id}")
 
+    def loaded(self) -> list[int]:
+        """Batches that the warehouse holds, from the report every batch writes; one number each."""
+        rows = self.gold("validation_report").select(BATCH).distinct().collect()
+        return sorted(r[BATCH] for r in rows)
+
     def gold(self, table: str) -> DataFrame:
         return self.read("gold", table, GOLD[table])
 
@@ -61,13 +67,15 @@ class Warehouse:
 
 
 def insert_if_absent(
-    spark: SparkSession, path: str, incoming: DataFrame, table: str, order_by: list[str]
+    spark: SparkSession, path: str, incoming: DataFrame, table: str, order_by: list[str] | None = None
 ) -> DataFrame:
     """Append the rows of ``incoming`` whose primary key the table at ``path`` lacks.
 
     Missing-value texts become NULL, columns get their declared types and defaults. The
-    first row per key wins and a key already there stays as it is, so loading the same
-    rows twice adds nothing. Returns one row: table, rows_in, inserted, ignored.
+    first row per key wins (by ``order_by``; without it by the rows' place in their file where
+    known, else as they come) and a key already there stays as it is, so loading the same
+    rows twice adds nothing. Returns one row: table, rows_in, inserted, ignored, counted
+    while the rows are written.
     """
     key, schema = PRIMARY_KEYS[table], GOLD[table]
     try:
@@ -76,15 +84,19 @@ def insert_if_absent(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         existing = empty(spark, schema)
-    before = existing.count()
-    clean = conform(load_values_all(incoming), schema, DEFAULTS.get(table))
-    merge.new_rows(existing, clean, key, order_by).write.mode("append").parquet(path)
-    after = spark.read.schema(schema).parquet(path).agg(F.count("*").alias("after"))
-    return incoming.agg(F.count("*").alias("rows_in")).select(
-        F.lit(table).alias("table"),
-        "rows_in",
-        (F.lit(after.first()["after"]) - before).alias("inserted"),
-    ).withColumn("ignored", F.col("rows_in") - F.col("inserted"))
+    seen, added = Observation(), Observation()
+    rows, wanted = incoming.observe(seen, F.count(F.lit(1)).alias("n")), schema
+    if order_by is None:
+        rows = rows if ORDINAL in rows.columns else with_position(rows)
+        place = rows.schema[ORDINAL if ORDINAL in rows.columns else POSITION]
+        wanted, order_by = T.StructType([*schema.fields, place]), [place.name]
+    clean = conform(load_values_all(rows), wanted, DEFAULTS.get(table))
+    new = merge.new_rows(existing, clean, key, order_by).select(*schema.names)
+    new.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    rows_in, inserted = seen.get.get("n", 0), added.get.get("n", 0)
+    return spark.createDataFrame(
+        [(table, rows_in, inserted, rows_in - inserted)], "table string, rows_in long, inserted long, ignored long"
+    )
 
 
 def load_warehouse(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -92,8 +104,8 @@ def load_warehouse(spark: SparkSession, root: str, tables: dict[str, DataFrame])
     results: dict[str, DataFrame] = {}
 
     def load(table: str) -> None:
-        path, key = f"{root.rstrip('/')}/{table}", PRIMARY_KEYS[table]
-        results[table] = insert_if_absent(spark, path, tables[table], table, [key, *tables[table].columns])
+        path = f"{root.rstrip('/')}/{table}"
+        results[table] = insert_if_absent(spark, path, tables[table], table)
 
     present = [t for t in LOAD_ORDER if t in tables]
     together(*[partial(load, t) for t in present if t.startswith("dim_")])

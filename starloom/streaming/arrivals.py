@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.plans.batches import load_batch
+from starloom.schemas import TABLES
 from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import Warehouse
 
@@ -17,16 +18,19 @@ def load_arrivals(
     warehouse_root: str,
     checkpoint: str,
     files_per_trigger: int = 1000,
+    multiline: bool = True,
     **options: bool,
 ) -> None:
-    """Load every batch whose transaction files are new since the last call, then stop.
+    """Load every batch with a new file of any of its tables since the last call, then stop.
 
     The stream only watches file names (contents are pruned from its scan). A batch with
-    a new file is loaded from all its files, so a late file or a replayed micro-batch
-    replaces the batch's partition with the complete result.
+    a new file is loaded from all its files. When later batches are there already, they are
+    loaded again after it, in order, because their keys go on from its keys; so the warehouse
+    is the one that an ordered load of all files gives.
     """
     warehouse = Warehouse(spark, warehouse_root)
-    batch = F.regexp_extract("path", r"day(\d+)_transactions\.csv", 1).cast("bigint")
+    name = rf"day(\d+)_(?:{'|'.join(TABLES)})\.csv"
+    batch = F.regexp_extract("path", name, 1).cast("bigint")
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
@@ -34,14 +38,19 @@ def load_arrivals(
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(source_root)
-        .where(F.col("path").rlike(r"day\d+_transactions\.csv"))
+        .where(F.col("path").rlike(name))
         .select(batch.alias("batch_id"))
     )
 
     def load(files: DataFrame, _epoch: int) -> None:
-        # One small number per batch of this trigger; the rows themselves stay in Spark.
-        for row in files.distinct().orderBy("batch_id").toLocalIterator():
-            load_batch(warehouse, read_batch(spark, source_root, row["batch_id"]), row["batch_id"], **options)
+        # One small number per batch; the rows themselves stay in Spark.
+        arrived = {row["batch_id"] for row in files.distinct().collect()}
+        if not arrived:
+            return
+        after = [b for b in warehouse.loaded() if b > min(arrived)]
+        for batch_id in sorted(arrived.union(after)):
+            raw = read_batch(spark, source_root, batch_id, multiline=multiline)
+            load_batch(warehouse, raw, batch_id, **{**options, "reload": True})
 
     query = (
         arrivals.writeStream.foreachBatch(load)

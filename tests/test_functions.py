@@ -51,6 +51,8 @@ def test_ids(spark):
     assert evaluate(spark, numbers.to_id, values) == [
         7, 7, 701, 1000, 12, None, None, -4, None, None, None, None, None,
     ]
+    values = ["701.0000004", "9223372036854775807", "9223372036854775808", "9223372036854775807.0", "1.5e1", "1.55e1", "+8", "5."]
+    assert evaluate(spark, numbers.to_id, values) == [None, 2**63 - 1, None, 2**63 - 1, 15, None, 8, 5]
 
 
 def test_amounts(spark):
@@ -58,6 +60,8 @@ def test_amounts(spark):
     assert evaluate(spark, numbers.to_amount, values) == [
         Decimal("0.00"), Decimal("-1.00"), None, Decimal("1000.00"), None, None, Decimal("12.50"),
     ]
+    exact = evaluate(spark, numbers.to_exact, ["0.004", "-0.004", "1e14", "x", None])
+    assert exact == [Decimal("0.004"), Decimal("-0.004"), None, None, None]
 
 
 def test_half_even(spark):

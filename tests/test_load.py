@@ -194,6 +194,44 @@ def test_arrivals_give_the_same_warehouse(spark, loaded, tmp_path):
     assert content(Warehouse(spark, target)) == content(Warehouse(spark, loaded[1]))
 
 
+def test_a_changed_batch_of_equal_size_is_not_loaded_below_later_ones(spark, tmp_path):
+    batches = {0: {"customers": [customer(1), customer(2)], "policies": [policy(1)]}, 1: {"transactions": [payment(1, 1)]}}
+    (tmp_path / "in").mkdir()
+    source, target = write_sources(tmp_path / "in", batches), str(tmp_path / "w")
+    load_batches(spark, source, target, [0, 1])
+    before = content(Warehouse(spark, target))
+    batches[0]["customers"] = [customer(2), customer(5)]
+    write_sources(tmp_path / "in", batches)
+    with pytest.raises(ValueError, match="dim_customer"):
+        load_batches(spark, source, target, [0])
+    kept = content(Warehouse(spark, target))
+    assert all(kept[t] == before[t] for t in KEYED)
+    load_batches(spark, source, target, [0, 1], reload=True)
+    assert [r["Customer_SK"] for r in Warehouse(spark, target).gold("fact_transactions").collect()] == [None]
+    batches[0]["policies"] = [policy(1, due="2012-06-01")]  # a due date that batch 1 has looked up
+    write_sources(tmp_path / "in", batches)
+    with pytest.raises(ValueError, match="dim_policy"):
+        load_batches(spark, source, target, [0])
+
+
+def test_late_arrivals_and_batches_without_payments(spark, loaded, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    (tmp_path / "in").mkdir()
+    only = {5: {"customers": [customer(77)]}}
+    ordered = str(tmp_path / "ordered")
+    everything = write_sources(tmp_path_of(tmp_path, "all"), {**BATCHES, **only})
+    load_batches(spark, everything, ordered, [0, 1, 3, 5])
+    for part in ({1: BATCHES[1], **only}, {0: BATCHES[0]}, {3: BATCHES[3]}):
+        write_sources(tmp_path / "in", part)
+        load_arrivals(spark, source, target, checkpoint)
+    assert content(Warehouse(spark, target)) == content(Warehouse(spark, ordered))
+
+
+def tmp_path_of(root, name):
+    (root / name).mkdir()
+    return root / name
+
+
 def test_partitioning_does_not_show(spark, loaded, tmp_path):
     changed = {"spark.sql.shuffle.partitions": "7", "spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "0"}
     before = {k: spark.conf.get(k) for k in changed}
@@ -224,6 +262,9 @@ def test_raw_reading(spark, tmp_path):
     assert batch["policies"].isEmpty() and batch["policies"].columns == [*BRONZE["policies"].names, ORDINAL]
     assert BRONZE["policies"].names[-1] == "Region"  # reading leaves the declaration alone
     assert read_raw_table(spark, str(path), "customers").count() == 2
+    path.write_text('Customer_ID,City,Region\n1,"New\nYork, ""NY""",e\n2,Rome,w\n')
+    found = read_raw_table(spark, str(path), "customers").orderBy(ORDINAL).collect()
+    assert [tuple(r)[:3] for r in found] == [("1", 'New\nYork, "NY"', "e"), ("2", "Rome", "w")]
 
 
 def test_results_round_trip_through_csv(spark, tmp_path):
@@ -250,6 +291,14 @@ def test_insert_if_absent(spark, tmp_path):
     assert [(r["Address_SK"], r["Customer_ID"], r["City"]) for r in stored] == [(1, 1, None), (2, 2, "c"), (5, 9, "z")]
 
 
+def test_the_first_row_of_a_key_is_stored(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 9, "z"), (1, 2, "a"), (2, 5, "b"), (2, 1, "c")], "Address_SK bigint, Customer_ID bigint, City string")
+    path = str(tmp_path / "db")
+    assert [tuple(r) for r in load_warehouse(spark, path, {"dim_address": rows.coalesce(1)}).collect()] == [("dim_address", 4, 2, 2)]
+    stored = spark.read.parquet(f"{path}/dim_address").orderBy("Address_SK").collect()
+    assert [(r["Address_SK"], r["Customer_ID"], r["City"]) for r in stored] == [(1, 9, "z"), (2, 5, "b")]
+
+
 def test_load_warehouse_twice(spark, loaded, tmp_path):
     tables = Warehouse(spark, loaded[1]).tables()
     first = load_warehouse(spark, str(tmp_path / "db"), tables).collect()

@@ -88,13 +88,16 @@ def test_merges(spark, rows):
     assert wide.columns == ["k", "v", "x", "y"] and wide.count() == 6
 
 
-def test_pages_are_the_same_both_ways(spark, monkeypatch):
-    df = spark.range(100).withColumn("v", F.col("id") % 10)
-    order = [F.desc("v"), "id"]
-    shallow = [tuple(r) for r in paging.page(df, order, 2, 20).collect()]
-    monkeypatch.setattr(paging, "TOP_K_ROWS", 5)
-    deep = sorted((tuple(r) for r in paging.page(df, order, 2, 20).collect()), key=lambda t: (-t[1], t[0]))
-    assert shallow == deep and len(deep) == 20
+def test_pages_cover_the_order_once(spark):
+    df = spark.range(25).withColumn("v", F.when(F.col("id") % 4 != 0, F.col("id") % 10))
+    for order in (["v", "id"], [F.desc("v"), "id"], [F.asc_nulls_first("v"), "id"]):
+        paged = [tuple(r) for p in range(4) for r in sorted_rows(paging.page(df, order, p, 7), order)]
+        assert paged == [tuple(r) for r in sorted_rows(df, order)]
+    assert [r["v"] for r in paging.top(df, ["v", "id"], 25).collect()][-7:] == [None] * 7
+
+
+def sorted_rows(df, order):
+    return df.orderBy(*[F.asc_nulls_last(c) if isinstance(c, str) else c for c in order]).collect()
 
 
 def test_search_looks_at_every_column(spark, rows):
