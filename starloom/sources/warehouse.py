@@ -6,13 +6,13 @@ from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
 from starloom.operators.keys import ORDINAL, POSITION, with_position
 from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, conform
-from starloom.session import together
+from starloom.session import stage, together
 from starloom.sources.raw import empty
 
 BATCH = "batch_id"
@@ -74,8 +74,7 @@ def insert_if_absent(
     Missing-value texts become NULL, columns get their declared types and defaults. The
     first row per key wins (by ``order_by``; without it by the rows' place in their file where
     known, else as they come) and a key already there stays as it is, so loading the same
-    rows twice adds nothing. Returns one row: table, rows_in, inserted, ignored, counted
-    while the rows are written.
+    rows twice adds nothing. Returns one row: table, rows_in, inserted, ignored.
     """
     key, schema = PRIMARY_KEYS[table], GOLD[table]
     try:
@@ -84,16 +83,16 @@ def insert_if_absent(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         existing = empty(spark, schema)
-    seen, added = Observation(), Observation()
-    rows, wanted = incoming.observe(seen, F.count(F.lit(1)).alias("n")), schema
+    before = existing.count()  # from the files' footers, like the two counts below
+    rows, wanted = incoming, schema
     if order_by is None:
         rows = rows if ORDINAL in rows.columns else with_position(rows)
         place = rows.schema[ORDINAL if ORDINAL in rows.columns else POSITION]
         wanted, order_by = T.StructType([*schema.fields, place]), [place.name]
+    rows = stage(rows, "incoming")  # read twice: counted, and searched for new keys
     clean = conform(load_values_all(rows), wanted, DEFAULTS.get(table))
-    new = merge.new_rows(existing, clean, key, order_by).select(*schema.names)
-    new.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    rows_in, inserted = seen.get.get("n", 0), added.get.get("n", 0)
+    merge.new_rows(existing, clean, key, order_by).select(*schema.names).write.mode("append").parquet(path)
+    rows_in, inserted = rows.count(), spark.read.schema(schema).parquet(path).count() - before
     return spark.createDataFrame(
         [(table, rows_in, inserted, rows_in - inserted)], "table string, rows_in long, inserted long, ignored long"
     )
