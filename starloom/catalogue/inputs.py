@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Region codes and spellings, policy types, terms and titles of the extracts.
 _REGION = """CASE {key} % 11 WHEN 0 THEN ' eAsT ' WHEN 1 THEN 'ea' WHEN 2 THEN 'W'
   WHEN 3 THEN 'west' WHEN 4 THEN 'North' WHEN 5 THEN 'no' WHEN 6 THEN 'SOUTH' WHEN 7 THEN 's'
   WHEN 8 THEN 'EAST' WHEN 9 THEN ' Nowhere' ELSE 'NORTH' END"""

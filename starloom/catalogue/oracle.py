@@ -11,6 +11,7 @@ from starloom.functions import codes
 from starloom.functions.text import LOAD_NULL_TOKENS, NULL_TOKENS
 from starloom.schemas import SILVER
 
+# Fixed values in the texts below: column names, codes and the issue texts of the rules.
 ORACLE: dict[str, str] = {}
 
 

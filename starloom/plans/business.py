@@ -17,6 +17,7 @@ from starloom.operators.columns import select_present, suffix_overlap
 from starloom.operators.joins import as_lookup, left_to_many
 from starloom.operators.keys import keep_first
 
+# Fixed values in the plans below: column names, output columns and labels.
 NAME = "Customer_Name"
 AMOUNT = "Total_Policy_Amt"
 

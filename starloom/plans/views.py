@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed values throughout the views: table and column names, output aliases, type and region codes.
 _NAME = "concat(c.Customer_Title, ' ', c.Customer_First_Name, ' ', c.Customer_Last_Name)"
 
 # Versions of one policy collapse to its distinct type states before they are paired, and

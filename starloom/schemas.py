@@ -15,6 +15,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# Table names, column names and types of the extracts and of the star schema.
 SILVER: dict[str, T.StructType] = {
     "customers": _struct(
         ("Customer_ID", _L), ("Customer_Title", _S), ("Customer_First_Name", _S),
