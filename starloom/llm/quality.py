@@ -27,9 +27,9 @@ from starloom.session import stage
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MIN_CHARS = 200  # guard of the character histogram
-MIN_HISTOGRAM_WORDS = 100  # guard of the word histogram
-MAX_CHAR_DISTANCE = 0.25
+MIN_CHARS = 400  # guard of the character histogram
+MIN_HISTOGRAM_WORDS = 150  # guard of the word histogram
+MAX_CHAR_DISTANCE = 0.27
 MAX_WORD_DISTANCE = 0.32
 
 # Frequent words per language, most frequent first.
