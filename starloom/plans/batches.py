@@ -128,12 +128,17 @@ def transform(
 
 
 def marital_changes(warehouse: Warehouse, customers: DataFrame, batch_id: int) -> DataFrame:
-    """All versions of a batch's customers that have had several marital statuses."""
+    """Versions of a batch's customers with several marital statuses that no earlier batch has told.
+
+    The first change of a customer brings all versions so far, later batches the new ones only.
+    """
     arrived = customers.select("Customer_ID")
     versions = keep_keys(_up_to(warehouse, "dim_customer", batch_id), arrived, "Customer_ID")
-    return conform(
+    history = conform(
         multi_value_history(versions, "Customer_ID", "Marital_Status"), GOLD["marital_changes"]
     )
+    told = keep_keys(_before(warehouse, "marital_changes", batch_id), arrived, "Customer_ID")
+    return history.exceptAll(told.select(*history.columns))
 
 
 def policy_changes(warehouse: Warehouse, policies: DataFrame, batch_id: int) -> DataFrame:

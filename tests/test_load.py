@@ -214,6 +214,16 @@ def test_a_changed_batch_of_equal_size_is_not_loaded_below_later_ones(spark, tmp
         load_batches(spark, source, target, [0])
 
 
+def test_marital_changes_are_told_once(spark, tmp_path):
+    status = ["m", "s", "m", "div"]
+    batches = {b: {"customers": [customer(8, f"20{10 + b}-01-01", marital=s), customer(9, f"20{10 + b}-01-01")]} for b, s in enumerate(status)}
+    (tmp_path / "in").mkdir()
+    load_batches(spark, write_sources(tmp_path / "in", batches), str(tmp_path / "w"), range(4))
+    told = Warehouse(spark, str(tmp_path / "w")).gold("marital_changes").collect()
+    assert sorted((r["batch_id"], r["Customer_ID"], str(r["Effective_Start_Dt"])[:4]) for r in told) == [
+        (1, 8, "2010"), (1, 8, "2011"), (2, 8, "2012"), (3, 8, "2013")]
+
+
 def test_late_arrivals_and_batches_without_payments(spark, loaded, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     (tmp_path / "in").mkdir()
