@@ -378,8 +378,8 @@ ORACLE["q_view_policy_changes"] = f"""{_ctes('dim_customer', 'policy_versions')}
 v AS (SELECT *, row_number() OVER () AS sk FROM policy_versions)
 SELECT curr.Customer_ID, {_VIEW_NAME} AS Customer_Name, curr.Policy_Id,
        curr.Policy_Type_Id AS Current_Policy_Type_Id, curr.Policy_Type AS Current_Policy_Type,
-       curr.Policy_Name AS Current_Policy_Name, prev.Policy_Type_Id AS Previous_Policy_Type_Id,
-       prev.Policy_Type AS Previous_Policy_Type, prev.Policy_Name AS Previous_Policy_Name,
+       min(curr.Policy_Name) AS Current_Policy_Name, prev.Policy_Type_Id AS Previous_Policy_Type_Id,
+       prev.Policy_Type AS Previous_Policy_Type, min(prev.Policy_Name) AS Previous_Policy_Name,
        count(*) AS version_pairs
 FROM v curr JOIN v prev ON curr.Policy_Id = prev.Policy_Id AND curr.sk <> prev.sk
   AND curr.Policy_Type_Id <> prev.Policy_Type_Id

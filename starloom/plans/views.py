@@ -14,21 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 # Fixed values throughout the views: table and column names, output aliases, type and region codes.
 _NAME = "concat(c.Customer_Title, ' ', c.Customer_First_Name, ' ', c.Customer_Last_Name)"
 
-# Versions of one policy collapse to its distinct type states before they are paired, and
-# version_pairs says how many pairs of versions a row stands for. The previous side has
-# one state per type the policy ever had, a handful of codes; pairing the versions
-# themselves would grow with the square of a policy's history.
+# Versions of one policy collapse to its types (per owner on the current side) before they are
+# paired, and version_pairs says how many pairs of versions a row stands for; pairing the
+# versions themselves would grow with the square of a policy's history. A type is a code of a
+# fixed table. The name is free text and no part of the state: the first one in code-point
+# order stands for all. The directed change of each version is plans.batches.policy_changes.
 POLICY_CHANGES = f"""
 WITH states AS (
-  SELECT Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, Policy_Name,
+  SELECT Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, min(Policy_Name) AS Policy_Name,
          count(*) AS versions
   FROM dim_policy
-  GROUP BY Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, Policy_Name
+  GROUP BY Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type
 ),
 earlier AS (
-  SELECT Policy_Id, Policy_Type_Id, Policy_Type, Policy_Name, sum(versions) AS versions
+  SELECT Policy_Id, Policy_Type_Id, Policy_Type, min(Policy_Name) AS Policy_Name,
+         sum(versions) AS versions
   FROM states
-  GROUP BY Policy_Id, Policy_Type_Id, Policy_Type, Policy_Name
+  GROUP BY Policy_Id, Policy_Type_Id, Policy_Type
 ),
 active AS (
   SELECT c.Customer_ID, {_NAME} AS Customer_Name
@@ -104,12 +106,12 @@ GROUP BY Customer_ID, Customer_Name, Policy_Term, Policy_Start_Dt
 ORDER BY Total_Policy_Amt DESC, Customer_ID, Policy_Start_Dt
 """
 
-# Customers with several statuses, as a semi join. It is salted: the grouped side would
-# otherwise keep its partitioning by customer, and a customer with very many versions
-# could not be spread over several tasks.
+# Customers with several statuses, as a semi join. The grouped side would keep its
+# partitioning by customer, and adaptive execution could not split a customer with very many
+# versions; the hint gives up that partitioning, so both sides come out of the join's own shuffle.
 MARITAL_CHANGES = """
 WITH changed AS (
-  SELECT Customer_ID, explode(sequence(0, 15)) AS salt
+  SELECT /*+ REPARTITION */ Customer_ID
   FROM (SELECT Customer_ID FROM dim_customer
         GROUP BY Customer_ID HAVING min(Marital_Status) < max(Marital_Status))
 )
@@ -118,8 +120,7 @@ SELECT c.Customer_ID, c.Customer_Title, c.Customer_First_Name, c.Customer_Last_N
        c.Effective_Start_Dt AS Start_Dt_Marital_Status,
        c.Effective_End_Dt   AS End_Dt_Marital_Status
 FROM dim_customer c
-LEFT SEMI JOIN changed s
-  ON c.Customer_ID = s.Customer_ID AND pmod(xxhash64(c.Customer_SK), 16) = s.salt
+LEFT SEMI JOIN changed s ON c.Customer_ID = s.Customer_ID
 ORDER BY c.Customer_ID, Start_Dt_Marital_Status, c.Customer_SK
 """
 

@@ -212,6 +212,19 @@ def test_hot_customer_is_split_in_the_full_view_and_the_status_view(spark, tmp_p
     assert "SortMergeJoin(skew=true)" in plans[1], plans[1]
 
 
+def test_policy_changes_grow_with_the_history_not_with_its_square(spark):
+    """One policy with 10,000 versions, each with a name of its own."""
+    ids = spark.range(10000)
+    t = star(spark)
+    t["dim_policy"] = conform(ids.select((F.col("id") + 1).alias("Policy_SK"), F.lit(10).alias("Policy_Id"), F.lit(1).alias("Customer_ID"),
+                                         F.concat(F.lit("PT00"), F.col("id") % 5).alias("Policy_Type_Id"),
+                                         F.format_string("name %05d", F.col("id")).alias("Policy_Name")), GOLD["dim_policy"])
+    views.register(spark, t)
+    changes = spark.table("vw_policy_changes").collect()
+    assert len(changes) == 20 and {r["version_pairs"] for r in changes} == {2000 * 2000}
+    assert {(r["Current_Policy_Type_Id"], r["Current_Policy_Name"]) for r in changes} == {(f"PT00{i}", f"name {i:05d}") for i in range(5)}
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
