@@ -73,7 +73,9 @@ def number_in_file_order(rows: DataFrame, key: str, start: int = 0) -> DataFrame
     the file scan (:func:`with_position`). A block's rows then have consecutive positions,
     so a row's number is its distance from the block's first position plus the rows of
     the blocks before. That is checked; rows that did get shuffled are sorted instead.
-    The numbers do not depend on how the files were cut into blocks or tasks.
+    The numbers do not depend on how the files were cut into blocks or tasks. A block is
+    found by two numbers, the hash of its path (checked to be its own) and its start, so that
+    the table of all blocks stays below the broadcast threshold for some 100,000 of them.
     """
     blocks = stage(
         rows.groupBy(
@@ -85,16 +87,21 @@ def number_in_file_order(rows: DataFrame, key: str, start: int = 0) -> DataFrame
         ),
         "blocks",
     )
-    if not blocks.where("_high - _low + 1 <> _n").isEmpty():
+    blocks = blocks.withColumn("_path", F.xxhash64("_file"))
+    broken, n, distinct = blocks.agg(
+        F.count_if(F.expr("_high - _low + 1 <> _n")), F.count("*"),
+        F.count_distinct(F.struct("_path", "_block")),
+    ).first()
+    if broken or n != distinct:
         return assign_keys(rows.drop(POSITION), key, [ORDINAL], start)
     earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_low")
-    shifts = blocks.select("_file", "_block", shift.alias("_shift"))
-    here = (F.col(f"{ORDINAL}.file") == F.col("_file")) & (F.col(f"{ORDINAL}.block") == F.col("_block"))
+    shifts = blocks.select("_path", "_block", shift.alias("_shift"))
+    here = (F.xxhash64(F.col(f"{ORDINAL}.file")) == F.col("_path")) & (F.col(f"{ORDINAL}.block") == F.col("_block"))
     numbered = rows.join(shifts, here).withColumn(
         key, F.lit(start) + F.col("_shift") + F.col(POSITION) + 1
     )
-    return key_first(numbered.drop("_file", "_block", "_shift", POSITION), key)
+    return key_first(numbered.drop("_path", "_block", "_shift", POSITION), key)
 
 
 def assign_keys(

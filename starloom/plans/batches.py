@@ -11,19 +11,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators import keys, model
 from starloom.operators.changes import multi_value_history, snapshot_changes
-from starloom.operators.joins import keep_keys
+from starloom.operators.joins import as_lookup, keep_keys
 from starloom.operators.keys import ORDINAL
 from starloom.operators.quality import combined_report, validate_all
 from starloom.operators.standardize import standardize_all
 from starloom.schemas import DEFAULTS, GOLD, conform
-from starloom.session import together
+from starloom.session import staging, together
 from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import BATCH, Warehouse
 
+LAST_KEY = T.StructType([T.StructField("last_key", T.LongType())])
+
 
 def land(warehouse: Warehouse, raw: Mapping[str, DataFrame], batch_id: int) -> dict[str, DataFrame]:
     """Write raw rows once, with their place in the file, and read them from there.
@@ -67,6 +69,7 @@ def _differ(one: DataFrame, other: DataFrame) -> bool:
 def _extend(
     warehouse: Warehouse,
     batch_id: int,
+    loaded: list[int],
     fixed: bool,
     table: str,
     key: str,
@@ -74,7 +77,8 @@ def _extend(
 ) -> None:
     """Write a batch of a keyed table; ``build`` gets the largest earlier key. ``fixed``: later
     batches refer to this one, so it may only be written as it is."""
-    rows = build(keys.max_key(_before(warehouse, table, batch_id), key))
+    start = _last_key(warehouse, table, key, batch_id, loaded)
+    rows = build(start)
     own = warehouse.gold(table).where(F.col(BATCH) == batch_id)
     if fixed and _differ(own.select(*rows.columns), rows):
         raise ValueError(
@@ -82,6 +86,27 @@ def _extend(
             "them; load it and all later batches with reload=True"
         )
     warehouse.write(rows, "gold", table, batch_id)
+    last = F.coalesce(F.max(key), F.lit(start)).cast("long").alias("last_key")
+    warehouse.write(warehouse.read_batch("gold", table, batch_id).agg(last), "keys", table, batch_id)
+
+
+def _last_key(warehouse: Warehouse, table: str, key: str, batch_id: int, loaded: list[int]) -> int:
+    """Largest key of the earlier batches, from the one row that each of them wrote beside its
+    table; the table itself is only searched when a row is missing.
+
+    The batch's own row from a former load is taken back first: until it is written again,
+    whatever happens, the table counts.
+    """
+    earlier, known = F.col(BATCH) < batch_id, F.col("last_key").isNotNull()
+    told = warehouse.read("keys", table, LAST_KEY)
+    last, n, own = told.agg(
+        F.max(F.when(earlier, F.col("last_key"))), F.count_if(earlier & known), F.count_if(F.col(BATCH) == batch_id)
+    ).first()
+    if own:
+        warehouse.write(warehouse.spark.createDataFrame([], LAST_KEY), "keys", table, batch_id)
+    if n < sum(b < batch_id for b in loaded):
+        return keys.max_key(_before(warehouse, table, batch_id), key)
+    return last or 0
 
 
 def transform(
@@ -96,8 +121,9 @@ def transform(
     Keys and due dates are looked up in all dimension rows up to this batch, or in this
     batch's rows only with ``same_batch_only``.
     """
-    fixed = not reload and any(b > batch_id for b in warehouse.loaded())
-    extend = partial(_extend, warehouse, batch_id, fixed)
+    loaded = warehouse.loaded()
+    fixed = not reload and any(b > batch_id for b in loaded)
+    extend = partial(_extend, warehouse, batch_id, loaded, fixed)
     together(
         partial(extend, "dim_customer", "Customer_SK",
                 lambda start: model.dim_customer(silver["customers"], [ORDINAL], start)),
@@ -110,10 +136,16 @@ def transform(
     if same_batch_only:
         known = {t: df.where(F.col(BATCH) == batch_id) for t, df in known.items()}
 
+    def arrived(table: str, key: str) -> DataFrame:
+        # Only the keys that the batch pays for are looked up; a written list has a known size.
+        ids = silver["transactions"].select(key).where(F.col(key).isNotNull()).distinct()
+        return keep_keys(known[table], as_lookup(ids, "arrived-keys"), key)
+
     def fact(start: int) -> DataFrame:
         numbered = keys.number_in_file_order(silver["transactions"], "Transaction_SK", start)
         rows = model.fact_rows(
-            numbered, known["dim_customer"], known["dim_policy"], known["dim_address"]
+            numbered, arrived("dim_customer", "Customer_ID"), arrived("dim_policy", "Policy_Id"),
+            arrived("dim_address", "Customer_ID"),
         )
         return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
 
@@ -168,9 +200,10 @@ def load_batch(
     """
     if all(df.isEmpty() for df in raw.values()):
         return False
-    bronze = land(warehouse, raw, batch_id)
-    silver = clean(warehouse, bronze, batch_id, strict)
-    transform(warehouse, silver, batch_id, same_batch_only, reload)
+    with staging(warehouse.spark):
+        bronze = land(warehouse, raw, batch_id)
+        silver = clean(warehouse, bronze, batch_id, strict)
+        transform(warehouse, silver, batch_id, same_batch_only, reload)
     return True
 
 

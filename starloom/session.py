@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,27 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+_kept_until_end: ContextVar[list[str] | None] = ContextVar("kept_until_end", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`stage` writes inside the block when the block ends.
+
+    For work that ends with its results written; no frame made inside may be read afterwards.
+    """
+    paths: list[str] = []
+    token = _kept_until_end.set(paths)
+    try:
+        yield
+    finally:
+        _kept_until_end.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(hadoop).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a frame reading the written table.
 
@@ -63,6 +86,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
+    if (paths := _kept_until_end.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -73,6 +98,6 @@ def together(*jobs: Callable[[], None]) -> None:
     All of them finish before the first error, if any, is raised.
     """
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        running = [pool.submit(job) for job in jobs]
+        running = [pool.submit(copy_context().run, job) for job in jobs]
     for job in running:
         job.result()

@@ -6,13 +6,15 @@ import csv
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import ORDINAL
-from starloom.plans.batches import load_batches
+from starloom.plans.batches import LAST_KEY, _last_key, load_batches
 from starloom.schemas import BRONZE, FOREIGN_KEYS, GOLD, PRIMARY_KEYS
+from starloom.session import staging_root
 from starloom.sources import extracts
 from starloom.sources.raw import read_batch, read_columns, read_csv, read_csv_or_empty, read_raw_table
 from starloom.sources.warehouse import Warehouse, insert_if_absent, load_warehouse
@@ -316,3 +318,25 @@ def test_load_warehouse_twice(spark, loaded, tmp_path):
         ("dim_customer", 5, 0), ("dim_policy", 7, 0), ("dim_address", 2, 0), ("fact_transactions", 9, 0)]
     second = load_warehouse(spark, str(tmp_path / "db"), tables).collect()
     assert all(r["inserted"] == 0 for r in second)
+
+
+def test_a_later_batch_reads_its_first_key_from_the_small_table(spark, tmp_path):
+    """The rows beside the tables give the keys; without them the tables are searched."""
+    source, target = write_sources(tmp_path), str(tmp_path / "warehouse")
+    load_batches(spark, source, target, [0, 1])
+    warehouse = Warehouse(spark, target)
+    before = {t: warehouse.gold(t).agg(F.max(PRIMARY_KEYS[t])).first()[0] for t in KEYED}
+    assert {t: _last_key(warehouse, t, PRIMARY_KEYS[t], 2, [0, 1]) for t in KEYED} == before
+    warehouse.write(spark.createDataFrame([], LAST_KEY), "keys", "dim_policy", 1)
+    assert _last_key(warehouse, "dim_policy", PRIMARY_KEYS["dim_policy"], 2, [0, 1]) == before["dim_policy"]
+    load_batches(spark, source, target, [3])
+    keys = sorted(r[0] for r in warehouse.gold("dim_policy").select("Policy_SK").collect())
+    assert keys == list(range(1, len(keys) + 1))
+
+
+def test_a_load_leaves_no_staged_tables(spark, tmp_path):
+    write_sources(tmp_path)
+    folder = Path(staging_root(spark)) / "starloom"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    load_batches(spark, str(tmp_path), str(tmp_path / "warehouse"), [0, 1])
+    assert set(folder.iterdir()) == before
