@@ -1,19 +1,52 @@
 """SQL side of the catalogue: the same answers in DuckDB SQL over the same tables.
 
 Written from the semantics of each operator, without the reshaping the Spark plans use
-for balance (pre-aggregation, merged lookups, inner-plus-anti joins).
+for balance (pre-aggregation, merged lookups, inner-plus-anti joins). Column lists, code
+tables and missing-value texts are written out here a second time, so that a wrong entry on
+the Spark side turns a row red.
 """
 
 from __future__ import annotations
 
 from starloom.catalogue.inputs import RAW, STAR, sql
-from starloom.functions import codes
-from starloom.functions.text import LOAD_NULL_TOKENS, NULL_TOKENS
-from starloom.schemas import SILVER
 
 # Fixed values in the texts below: column names, codes and the issue texts of the rules.
 ORACLE: dict[str, str] = {}
 
+# The texts a CSV reader and the relational loader take as missing.
+NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+LOAD_NULL_TOKENS = ("", "nan", "NaT", "None")
+
+# Columns and types of the cleaned extracts.
+_MONEY = "decimal(15,2)"
+KINDS: dict[str, dict[str, str]] = {
+    "customers": {
+        "Customer_ID": "bigint", "Customer_Title": "string", "Customer_First_Name": "string",
+        "Customer_Last_Name": "string", "Customer_Segment": "string", "Marital_Status": "string",
+        "Gender": "string", "DOB": "date", "Effective_Start_Dt": "date", "Effective_End_Dt": "date",
+        "Region": "string",
+    },
+    "policies": {
+        "Policy_Type_Id": "string", "Policy_Type": "string", "Policy_Type_Desc": "string",
+        "Policy_Id": "bigint", "Policy_Name": "string", "Customer_ID": "bigint", "Premium_Amt": _MONEY,
+        "Policy_Term": "string", "Policy_Start_Dt": "date", "Policy_End_Dt": "date",
+        "Next_Premium_Dt": "date", "Actual_Premium_Paid_Dt": "date", "Total_Policy_Amt": _MONEY,
+        "Premium_Amt_Paid_TillDate": _MONEY, "Region": "string",
+    },
+    "address": {
+        "Customer_ID": "bigint", "Country": "string", "Region": "string", "State": "string",
+        "City": "string", "Postal_Code": "string",
+    },
+    "transactions": {
+        "Policy_Id": "bigint", "Customer_ID": "bigint", "Premium_Amt": _MONEY, "Total_Policy_Amt": _MONEY,
+        "Premium_Amt_Paid_TillDate": _MONEY, "Next_Premium_Dt": "date", "Actual_Premium_Paid_Dt": "date",
+        "Region": "string",
+    },
+}
+
 
 def _list(texts) -> str:
     return ", ".join("'" + t.replace("'", "''") + "'" for t in texts)
@@ -69,7 +102,7 @@ def _fee(premium: str) -> str:
 
 
 def _columns(table: str) -> list[str]:
-    return SILVER[table].names
+    return list(KINDS[table])
 
 
 def clean(table: str) -> str:
@@ -122,11 +155,26 @@ def _text_type(column: str, typed: tuple[str, ...]) -> bool:
     return column not in typed
 
 
+# Aliases, matched on stripped lower case.
+_REGIONS = {
+    "east": "EAST", "e": "EAST", "ea": "EAST", "west": "WEST", "w": "WEST", "we": "WEST",
+    "north": "NORTH", "n": "NORTH", "no": "NORTH", "south": "SOUTH", "s": "SOUTH", "so": "SOUTH",
+}
+_MARITAL_STATUSES = {
+    "single": "Single", "s": "Single", "unmarried": "Single", "married": "Married", "m": "Married", "wed": "Married",
+    "divorced": "Divorced", "d": "Divorced", "div": "Divorced", "widowed": "Widowed", "w": "Widowed", "widow": "Widowed",
+}
+_GENDERS = {"male": "Male", "m": "Male", "female": "Female", "f": "Female"}
+_TERMS = {
+    "monthly": "Monthly", "month": "Monthly", "mo": "Monthly", "quarterly": "Quarterly", "quarter": "Quarterly",
+    "qtr": "Quarterly", "q": "Quarterly", "annual": "Annual", "annually": "Annual", "yearly": "Annual",
+    "year": "Annual", "yr": "Annual",
+}
 _CODES = {
-    "customers": {"Region": codes.REGIONS, "Marital_Status": codes.MARITAL_STATUSES, "Gender": codes.GENDERS},
-    "policies": {"Region": codes.REGIONS, "Policy_Term": codes.TERMS},
-    "address": {"Region": codes.REGIONS},
-    "transactions": {"Region": codes.REGIONS},
+    "customers": {"Region": _REGIONS, "Marital_Status": _MARITAL_STATUSES, "Gender": _GENDERS},
+    "policies": {"Region": _REGIONS, "Policy_Term": _TERMS},
+    "address": {"Region": _REGIONS},
+    "transactions": {"Region": _REGIONS},
 }
 _TITLES = {
     "customers": ("Customer_First_Name", "Customer_Last_Name"),
@@ -139,8 +187,7 @@ _TITLES = {
 def standardized(table: str, source: str) -> str:
     """Typed canonical rows; ``source`` may hold typed and text columns alike."""
     cells = []
-    for f in SILVER[table].fields:
-        c, kind = f.name, f.dataType.simpleString()
+    for c, kind in KINDS[table].items():
         if c in _CODES[table]:
             cell = _canonical(c, _CODES[table][c])
         elif c in _TITLES[table]:
@@ -160,14 +207,13 @@ def standardized(table: str, source: str) -> str:
 def shown(table: str, source: str, extra: str = "") -> str:
     """Silver columns in presented types."""
     cells = []
-    for f in SILVER[table].fields:
-        kind = f.dataType.simpleString()
+    for c, kind in KINDS[table].items():
         if kind == "date":
-            cells.append(f"{_text(f.name)} AS {f.name}")
+            cells.append(f"{_text(c)} AS {c}")
         elif kind.startswith("decimal"):
-            cells.append(f"CAST({f.name} AS DOUBLE) AS {f.name}")
+            cells.append(f"CAST({c} AS DOUBLE) AS {c}")
         else:
-            cells.append(f.name)
+            cells.append(c)
     return f"SELECT {extra}{', '.join(cells)} FROM ({source})"
 
 
@@ -183,7 +229,7 @@ _VALIDATED_TYPED = {
     "transactions": {"Premium_Amt": "money", "Total_Policy_Amt": "money", "Actual_Premium_Paid_Dt": "date"},
 }
 
-for _table in SILVER:
+for _table in KINDS:
     _cells = []
     for _c in _columns(_table):
         _kind = _VALIDATED_TYPED[_table].get(_c)
@@ -194,6 +240,10 @@ for _table in SILVER:
         else:
             _cells.append(_c)
     ORACLE["q_validate_" + _table] = f"SELECT {', '.join(_cells)} FROM ({validated(_table)})"
+    if _table in ("policies", "transactions"):
+        _dates = ("Policy_Start_Dt", "Policy_End_Dt") if _table == "policies" else ("Actual_Premium_Paid_Dt",)
+        _needed = " AND ".join(f"{c} IS NOT NULL" for c in ("Region", *_dates))
+        ORACLE["q_validate_strict_" + _table] = f"SELECT {', '.join(_cells)} FROM ({validated(_table)}) WHERE {_needed}"
     ORACLE["q_standardize_" + _table] = shown(_table, standardized(_table, clean(_table)))
 
 # ---- rule counts, one step at a time ------------------------------------------------
@@ -495,7 +545,7 @@ ORACLE["q_dim_address"] = shown(
 )
 
 ORACLE["q_fact"] = f"""{_ctes('dim_customer', 'dim_policy', 'dim_address')},
-t AS (SELECT *, row_number() OVER (ORDER BY {', '.join(c + ' NULLS LAST' for c in SILVER['transactions'].names)})
+t AS (SELECT *, row_number() OVER (ORDER BY {', '.join(c + ' NULLS LAST' for c in KINDS['transactions'])})
       AS Transaction_SK FROM ({silver('transactions')})),
 c AS (SELECT Customer_ID, min(Customer_SK) AS Customer_SK FROM dim_customer GROUP BY Customer_ID),
 a AS (SELECT Customer_ID, min(Address_SK) AS Address_SK FROM dim_address GROUP BY Customer_ID),
@@ -542,6 +592,16 @@ ORACLE["q_unknown_values"] = " UNION ALL ".join(
     f"WHERE lower(trim({c})) NOT IN ({_list(m)}) GROUP BY trim({c})"
     for c, m in _CODES["customers"].items()
 )
+ORACLE["q_unknown_report"] = f"""
+SELECT * FROM ({ORACLE['q_unknown_values']})
+QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY value) <= 5"""
+ORACLE["q_read_columns"] = f"SELECT Customer_ID, Region FROM ({clean('customers')})"
+ORACLE["q_result_or_empty"] = """
+SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderpriority FROM orders"""
+ORACLE["q_load_text_dates"] = f"""
+SELECT line_no AS Customer_SK, CASE WHEN line_no % 2 = 0 THEN 'FIRST' ELSE Region END AS Region,
+       {', '.join(f"{_text(_date(c))} AS {c}" for c in ('DOB', 'Effective_Start_Dt', 'Effective_End_Dt'))}
+FROM ({clean('customers')})"""
 ORACLE["q_csv_source"] = f"SELECT * REPLACE (CAST(line_no AS VARCHAR) AS line_no) FROM ({clean('customers')})"
 
 # ---- combining and loading ----------------------------------------------------------
@@ -677,3 +737,13 @@ FROM v WHERE version > 1 AND Policy_Type_Id IS DISTINCT FROM before_id"""
 ORACLE["q_hash_sample"] = f"""{_ctes('dim_policy')}
 SELECT Policy_Id, Policy_Type FROM dim_policy
 WHERE ('0x' || substr(md5('0:' || coalesce(CAST(Policy_Id AS VARCHAR), '')), 1, 8))::BIGINT % 100 < 10"""
+
+# The six questions by letter: how many rows each has, and a sum that notices other ones.
+_SIX = {
+    "b": "q_policy_changes", "c": "q_total_by_customer", "d": "q_total_owner_of_type",
+    "e": "q_total_region_term_year", "f": "q_marital_changes", "g": "q_full_view",
+}
+ORACLE["q_run_all"] = " UNION ALL ".join(
+    f"SELECT '{letter}' AS letter, count(*) AS n_rows, CAST(sum(Customer_ID) AS BIGINT) AS customer_ids "
+    f"FROM ({ORACLE[name]}) {letter}" for letter, name in _SIX.items()
+)

@@ -7,6 +7,7 @@ that they compare with the SQL side column by column.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -267,6 +268,19 @@ def fact(spark, sf):
     )
 
 
+@query
+def run_all(spark, sf):
+    names = ("dim_customer", "dim_policy", "dim_address")
+    tables = {**{t: star(spark, sf, t) for t in names}, "fact_transactions": star(spark, sf, "payments")}
+    answers = business.run_all(tables, tables["dim_policy"], star(spark, sf, "next_policies"), YEAR)
+    parts = [
+        df.agg(F.count("*").alias("n_rows"), F.sum("Customer_ID").alias("customer_ids"))
+        .select(F.lit(letter).alias("letter"), "n_rows", "customer_ids")
+        for letter, df in answers.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- data quality -------------------------------------------------------------------
 
 
@@ -286,9 +300,20 @@ def _standardized(name: str) -> None:
     query(run)
 
 
+def _validated_strict(name: str) -> None:
+    def run(spark, sf):
+        found = quality.validate(raw_clean(spark, sf, name), name, LINE, quality.rules_for(name, strict=True))
+        return found.rows.drop("line_no")
+
+    run.__name__ = "validate_strict_" + name
+    query(run)
+
+
 for _name in TABLES:
     _validated(_name)
     _standardized(_name)
+for _name in ("policies", "transactions"):
+    _validated_strict(_name)
 
 
 @query
@@ -390,6 +415,28 @@ def unknown_values(spark, sf):
     ).unionByName(standardize.unknown_values(customers, "Gender", codes.GENDERS))
 
 
+@query
+def unknown_report(spark, sf):
+    return standardize.unknown_report(raw_clean(spark, sf, "customers"), "customers")
+
+
+@query
+def read_columns(spark, sf):
+    path = staging_path(spark, "csv")
+    extracts.write_csv(raw(spark, sf, "customers"), path)
+    return raw_files.read_columns(spark, path, ["Customer_ID", "Region", "Not_There"])
+
+
+@query
+def result_or_empty(spark, sf):
+    """A stored result, and one that was never written."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority")
+    path = staging_path(spark, "result")
+    extracts.write_csv(orders, path)
+    stored = raw_files.read_csv_or_empty(spark, path, orders.schema)
+    return stored.unionByName(raw_files.read_csv_or_empty(spark, path + "-absent", orders.schema))
+
+
 @query
 def csv_source(spark, sf):
     path = staging_path(spark, "csv")
@@ -445,6 +492,18 @@ def load_warehouse(spark, sf):
     return wh.load_warehouse(spark, staging_path(spark, "warehouse"), tables)
 
 
+@query
+def load_text_dates(spark, sf):
+    """Dates that arrive as text are stored as dates; a second load leaves stored rows as they are."""
+    rows = raw_clean(spark, sf, "customers").withColumnRenamed("line_no", "Customer_SK")
+    path = staging_path(spark, "text-dates")
+    first = rows.where("Customer_SK % 2 = 0").withColumn("Region", F.lit("FIRST"))
+    wh.insert_if_absent(spark, path, first, "dim_customer")
+    wh.insert_if_absent(spark, path, rows, "dim_customer")
+    stored = spark.read.parquet(path)
+    return stored.select("Customer_SK", "Region", "DOB", "Effective_Start_Dt", "Effective_End_Dt")
+
+
 @query
 def inventory(spark, sf):
     names = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region", "events")

@@ -154,16 +154,16 @@ def full_view(dim_customer: DataFrame, dim_policy: DataFrame, dim_address: DataF
 
 
 def run_all(
-    tables: Mapping[str, DataFrame], previous_policies: DataFrame, current_policies: DataFrame
+    tables: Mapping[str, DataFrame], previous_policies: DataFrame, current_policies: DataFrame, year: int = 2012
 ) -> dict[str, DataFrame]:
-    """All six questions by letter."""
+    """All six questions by letter; ``year`` is that of question e."""
     customers, policies = tables["dim_customer"], tables["dim_policy"]
     fact = tables["fact_transactions"]
     return {
         "b": policy_changes(previous_policies, current_policies, customers),
         "c": total_by_customer(fact, customers),
         "d": total_of_type_owners(fact, policies, customers),
-        "e": total_by_region_term_year(policies, customers),
+        "e": total_by_region_term_year(policies, customers, year=year),
         "f": marital_changes(customers),
         "g": full_view(customers, policies, tables["dim_address"]),
     }

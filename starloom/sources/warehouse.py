@@ -8,6 +8,7 @@ from functools import partial, reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.functions.dates import parse_date
 from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
 from starloom.operators.keys import ORDINAL, POSITION, with_position
@@ -66,12 +67,20 @@ class Warehouse:
         return aggregates.inventory({t: self.gold(t).drop(BATCH) for t in GOLD})
 
 
+def retype_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns that ``schema`` declares as dates, parsed from any known shape."""
+    declared = {f.name for f in schema.fields if isinstance(f.dataType, T.DateType)}
+    texts = [f.name for f in df.schema.fields if f.name in declared and isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: parse_date(F.col(c)) for c in texts}) if texts else df
+
+
 def insert_if_absent(
     spark: SparkSession, path: str, incoming: DataFrame, table: str, order_by: list[str] | None = None
 ) -> DataFrame:
     """Append the rows of ``incoming`` whose primary key the table at ``path`` lacks.
 
-    Missing-value texts become NULL, columns get their declared types and defaults. The
+    Missing-value texts become NULL, text dates of any known shape are parsed, columns get their
+    declared types and defaults. The
     first row per key wins (by ``order_by``; without it by the rows' place in their file where
     known, else as they come) and a key already there stays as it is, so loading the same
     rows twice adds nothing. Returns one row: table, rows_in, inserted, ignored.
@@ -90,7 +99,7 @@ def insert_if_absent(
         place = rows.schema[ORDINAL if ORDINAL in rows.columns else POSITION]
         wanted, order_by = T.StructType([*schema.fields, place]), [place.name]
     rows = stage(rows, "incoming")  # read twice: counted, and searched for new keys
-    clean = conform(load_values_all(rows), wanted, DEFAULTS.get(table))
+    clean = conform(retype_dates(load_values_all(rows), schema), wanted, DEFAULTS.get(table))
     merge.new_rows(existing, clean, key, order_by).select(*schema.names).write.mode("append").parquet(path)
     rows_in, inserted = rows.count(), spark.read.schema(schema).parquet(path).count() - before
     return spark.createDataFrame(
