@@ -5,14 +5,15 @@ other figures or other people in it has the same template. Windows of the templa
 documents and benchmark items meet in a hash join on them. Matches on one diagonal (document
 place minus item place) make up a passage. A passage counts if it covers ``MIN_COVERED`` words
 (an item that is shorter: all of it) and its slots are consistent: one value of the item always
-stands for one value in the document.
+stands for one value in the document. Windows with a slot are also hashed with their slot values, so
+a verbatim copy is found however many of its words are slots, and wherever its first word stands.
 
 Documents are read in one pass that sends on only windows which a bitmap of ``FILTER_BITS`` bits
 over the benchmark's hashes lets through, so what is shuffled follows the matches and not the
 corpus. The bitmap has one size whatever the benchmark's; the join behind it is exact.
 
 Nulls, empties and ties: a null or empty text has no window and is never contaminated; an item
-without a literal word cannot be told from others and matches nothing; items or documents that
+shorter than a window and without a literal word (bare figures) matches nothing; items or documents that
 repeat are reported each; an item shorter than a window is one window of its own length.
 """
 
@@ -46,13 +47,15 @@ NAMES = frozenset(
 )
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(?:[%°]|[A-Za-z]{1,3})?")
 _STRIP = string.punctuation + "“”„«»‘’…–—¿¡"
-_CAP, _END = 1, 2  # the low bits of a word's code: may be a name, ends a sentence
-_NUM, _UNIT, _NAME, _BREAK = (xxhash.xxh64_intdigest(x) & 0x7FFFFFFFFFFFFFFC for x in ("<num>", "<unit>", "<name>", "<break>"))
+# A word's code is the hash of its lower case, and in the low bits: may be a name, ends a sentence, its kind.
+_CAP, _END, _KIND, _LOW = 1, 2, 4, 31
+_NUM, _UNIT, _NAME, _BREAK = (xxhash.xxh64_intdigest(x) & 0x7FFFFFFFFFFFFFE0 for x in ("<num>", "<unit>", "<name>", "<break>"))
+_KINDS = np.array([0, _NUM, _UNIT, _NAME, _BREAK], dtype=np.int64)  # 0: a literal word
 _FACTORS = np.array([xxhash.xxh64_intdigest(f"factor {i}") | 1 for i in range(WINDOW)], dtype=np.uint64)
 
 
 class _Codes(dict):
-    """Code of a raw word: hash of its canonical form, and the two low bits. Forgets at a fixed size."""
+    """Code of a raw word. Forgets at a fixed size."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
@@ -60,18 +63,18 @@ class _Codes(dict):
         bare = word.strip(_STRIP)
         low = bare.lower()
         if word == "\x01":
-            code = _BREAK
+            code = 4 * _KIND
         elif not bare:
             code = 0
-        elif _NUMBER.fullmatch(bare):
-            code = _NUM
-        elif low in UNITS:
-            code = _UNIT
-        elif low in NAMES:
-            code = _NAME
         else:
-            code = xxhash.xxh64_intdigest(low) & 0x7FFFFFFFFFFFFFFC
-            if bare[0].isupper() and len(bare) > 1 and bare[1:].islower():
+            code = (xxhash.xxh64_intdigest(low) & 0x7FFFFFFFFFFFFFE0) or _LOW + 1
+            if _NUMBER.fullmatch(bare):
+                code |= _KIND
+            elif low in UNITS:
+                code |= 2 * _KIND
+            elif low in NAMES:
+                code |= 3 * _KIND
+            elif bare[0].isupper() and len(bare) > 1 and bare[1:].islower():
                 code |= _CAP
         if word[-1] in ".!?:":
             code |= _END
@@ -79,32 +82,40 @@ class _Codes(dict):
         return code
 
 
-def template(text: str, codes: _Codes) -> tuple[np.ndarray, list[str]]:
-    """Codes of the words of a text, without pure punctuation, and the words."""
+def template(text: str, codes: _Codes) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Codes by template and by value of the words of a text, without pure punctuation, and the words."""
     raw = text.replace("\n", " \x01 ").split()
     found = np.fromiter(map(codes.__getitem__, raw), dtype=np.int64, count=len(raw))
-    ends = (found & _END > 0) | (found & ~3 == _BREAK)
+    kinds = found // _KIND & 7
+    ends = (found & _END > 0) | (kinds == 4)
     opens = np.concatenate(([True], ends[:-1])) if len(raw) else ends
-    names = (found & _CAP > 0) & ~opens
-    found = np.where(names, _NAME, found & ~3)
-    real = (found != 0) & (found != _BREAK)
-    return found[real], [raw[i] for i in np.flatnonzero(real)]
+    kinds = np.where((found & _CAP > 0) & ~opens, 3, kinds)
+    values = found & ~_LOW
+    real = np.flatnonzero(values)
+    kinds, values = kinds[real], values[real]
+    return np.where(kinds > 0, _KINDS[kinds], values), values, [raw[i] for i in real.tolist()]
 
 
-def windows(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows in which literal words are at least half."""
+def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
     n = len(codes) - size + 1
-    if n < 1:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64)
     values = codes.view(np.uint64)
     total = np.full(n, size, dtype=np.uint64)
     for i in range(size):
         total += values[i:n + i] * _FACTORS[i]
-    slots = np.isin(codes, (_NUM, _UNIT, _NAME))
-    held = np.concatenate(([0], np.cumsum(slots)))
-    places = np.flatnonzero(2 * (held[size:] - held[:n]) <= size)
-    total = total[places]
-    return places, (total ^ (total >> np.uint64(31))).view(np.int64)
+    return (total ^ (total >> np.uint64(31))).view(np.int64)
+
+
+def windows(codes: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, hashes and marks of the windows: by template where literal words are at least half,
+    and, marked, by the words themselves where there is a slot (without one both are the same)."""
+    n = len(codes) - size + 1
+    if n < 1:
+        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=bool)
+    held = np.concatenate(([0], np.cumsum(np.isin(codes, (_NUM, _UNIT, _NAME)))))
+    held = held[size:] - held[:n]
+    light, slotted = np.flatnonzero(2 * held <= size), np.flatnonzero(held)
+    hashes = np.concatenate((_hashes(codes, size)[light], _hashes(values, size)[slotted]))
+    return np.concatenate((light, slotted)), hashes, np.arange(len(hashes)) >= len(light)
 
 
 def _slots(codes: np.ndarray, raw: list[str], place: int, size: int) -> list[str]:
@@ -112,7 +123,7 @@ def _slots(codes: np.ndarray, raw: list[str], place: int, size: int) -> list[str
     return [f"{kinds[c]}:{raw[place + i].strip(_STRIP).lower()}" for i, c in enumerate(codes[place:place + size].tolist()) if c in kinds]
 
 
-_ROWS = "place int, size int, hash long, slots array<string>, n int"
+_ROWS = "place int, size int, hash long, same boolean, slots array<string>, n int"
 
 
 def _window_rows(rows: DataFrame, sizes: list[int], bitmap: np.ndarray | None) -> DataFrame:
@@ -123,18 +134,20 @@ def _window_rows(rows: DataFrame, sizes: list[int], bitmap: np.ndarray | None) -
         for batch in batches:
             out = []
             for one, key, text in zip(batch["_id"], batch["_key"], batch["_text"]):
-                codes, raw = template(text, memo)
-                for size in sizes if bitmap is not None else [min(WINDOW, max(len(codes), 1))]:
-                    places, hashes = windows(codes, size)
+                codes, values, raw = template(text, memo)
+                if bitmap is None and len(codes) < WINDOW and np.isin(codes, _KINDS).all():
+                    continue
+                for size in sizes if bitmap is not None else [min(WINDOW, len(codes))]:
+                    places, hashes, same = windows(codes, values, size)
                     if bitmap is not None:
                         at = hashes & (FILTER_BITS - 1)
                         through = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                        places, hashes = places[through], hashes[through]
+                        places, hashes, same = places[through], hashes[through], same[through]
                     out += [
-                        (one, key, p, size, h, _slots(codes, raw, p, size), len(codes))
-                        for p, h in zip(places.tolist(), hashes.tolist())
+                        (one, key, p, size, h, e, _slots(codes, raw, p, size), len(codes))
+                        for p, h, e in zip(places.tolist(), hashes.tolist(), same.tolist())
                     ]
-            yield pd.DataFrame(out, columns=["_id", "_key", "place", "size", "hash", "slots", "n"])
+            yield pd.DataFrame(out, columns=["_id", "_key", "place", "size", "hash", "same", "slots", "n"])
 
     return rows.select("_id", "_key", "_text").mapInPandas(cut, f"_id long, _key long, {_ROWS}")
 
@@ -163,9 +176,12 @@ def contaminated(
     found = _window_rows(rows, sizes, _bitmap(items))
     other = items.select(
         F.col("_id").alias("item"), F.col("_key").alias("item_key"), F.col("place").alias("item_place"), "size", "hash",
-        F.col("slots").alias("item_slots"), F.col("n").alias("item_words"),
+        F.col("same").alias("item_same"), F.col("slots").alias("item_slots"), F.col("n").alias("item_words"),
     ).distinct()
-    pairs = stage(found.drop("n").join(other, ["hash", "size"]).where(F.size("slots") == F.size("item_slots")), "benchmark_matches")
+    # Equal words are equal slots, even if a word is a name on one side only (it opens a sentence on the other).
+    pairs = found.drop("n").join(other, ["hash", "size"])
+    pairs = pairs.withColumn("slots", F.when(F.col("same") | F.col("item_same"), F.col("item_slots")).otherwise(F.col("slots")))
+    pairs = stage(pairs.where(F.size("slots") == F.size("item_slots")), "benchmark_matches")
     passage = ["_id", "_key", "item", "item_key", "shift"]
     pairs = pairs.withColumn("shift", F.col("place") - F.col("item_place"))
     slots = pairs.select(*passage, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))

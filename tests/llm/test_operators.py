@@ -262,6 +262,19 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_copies_with_mostly_slots(spark):
+    items = ["Add 12, 15, 27, 31 and 44 then divide the total by 3", "Convert 5 km 300 m to cm", "Which Country Won The World Cup In France",
+             "Wie viele Äpfel hat Anna Schmidt am Montag", "1 2 3 5 8 13 21 34 55 89"]
+    fill = " ".join(f"filler{i}" for i in range(30))
+    rows = [(i, f"{fill} {t} {fill}") for i, t in enumerate(items)] + [(10 + i, f"{fill}. {t} {fill}") for i, t in enumerate(items)]
+    rows += [(20, f"{fill}. Convert 6 km 300 m to cm {fill}"), (21, f"{fill}. Add 12, 15, 27, 31 and 45 then {fill}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r._id, r.item_id): (r.covered, r.item_words, r.exact) for r in decontaminate.contaminated(docs, bench).collect()}
+    sizes = {i: len(t.split()) for i, t in enumerate(items)}
+    assert got == {(d + i, i): (n, n, True) for i, n in sizes.items() for d in (0, 10)}
+
+
 def test_decontamination_finds_planted_items(spark, docs):
     bench = table(spark, SF, "benchmark")
     squeeze = lambda t: " ".join((t or "").split())
