@@ -275,6 +275,24 @@ def test_decontamination_finds_copies_with_mostly_slots(spark):
     assert got == {(d + i, i): (n, n, True) for i, n in sizes.items() for d in (0, 10)}
 
 
+def test_decontamination_finds_items_with_more_or_fewer_words(spark):
+    fill = " ".join(f"filler{i}" for i in range(30)) + ". "
+    item = "Tom carries 12 baskets of pears over the bridge to Boston and sells every basket there for $5 before the market closes at noon."
+    words = item.split()
+    rows = [
+        (0, item.replace("Boston", "New York")), (1, item.replace("Tom", "Mary Ann")), (2, item.replace("$5", "5 dollars")),
+        (3, item.replace("Tom", "Mary Ann").replace("Boston", "New York").replace("$5", "7 dollars").replace("12", "30")),
+        (4, " ".join(words[:10] + ["nearby"] + words[10:])), (5, " ".join(words[:12] + words[13:])),
+        (10, " ".join(words[12:] + words[:12])), (11, " ".join(words[:12])),
+    ]
+    docs = spark.createDataFrame([(i, fill + t + " " + fill) for i, t in rows] + [(12, "ha " * 9)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "Tom walks from Boston to the lake for $5 today"), (3, "ha " * 20)], "item_id long, text string")
+    got = {(r._id, r.item_id): r.exact for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(0, 1): False, (1, 1): False, (2, 1): True, (3, 1): False, (4, 1): True, (5, 1): True}
+    short = spark.createDataFrame([(1, fill + "Mary Ann walks from New York to the lake for 9 dollars today")], "doc_id long, text string")
+    assert [r.item_id for r in decontaminate.contaminated(short, bench).collect()] == [2]
+
+
 def test_decontamination_finds_planted_items(spark, docs):
     bench = table(spark, SF, "benchmark")
     squeeze = lambda t: " ".join((t or "").split())
