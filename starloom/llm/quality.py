@@ -2,12 +2,15 @@
 
 A document's histogram of character classes and its histogram of common words are compared
 with references, one pair per language, by the Jensen-Shannon distance. References are the mean
-histograms of all documents of that language that pass the counting rules. A document far from
-every reference is rejected; a text below the minimum length is judged by the counting rules
+histograms of all documents of that language that pass the counting rules. How far is too far
+comes from the same documents, per language and without labels: the ``QUANTILE`` of their own
+distances plus a margin, and never more than the fixed limits. So up to a tenth of them may be junk
+before it moves the limit by more than that. Below ``MIN_REFERENCE`` documents the fixed limits
+hold. A document beyond the limits of every reference is rejected; a text below the minimum length is judged by the counting rules
 alone, because its histograms say little.
 
 Everything is DataFrame built-ins. Documents are read once: the counts of every document are
-written, the references are one small aggregate over that table, the verdict reads it again.
+written, the references and the limits are two small aggregates over that table, the verdict reads it again.
 
 Nulls, empties and ties: a null text counts as empty; an empty text has zero words and fails the
 base rule; a null or unknown language adds to no reference and is judged like any other row;
@@ -29,7 +32,11 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_CHARS = 400  # guard of the character histogram
 MIN_HISTOGRAM_WORDS = 150  # guard of the word histogram
-MAX_CHAR_DISTANCE = 0.27
+QUANTILE = 0.9
+CHAR_MARGIN, WORD_MARGIN = 0.08, 0.05
+MIN_REFERENCE = 100
+BINS = 1000  # of the distances, 0 to 1, for the quantile
+MAX_CHAR_DISTANCE = 0.27  # fixed limits
 MAX_WORD_DISTANCE = 0.32
 
 # Frequent words per language, most frequent first.
@@ -136,6 +143,47 @@ def references(shares: DataFrame, lang: str = "lang") -> dict[str, tuple[list[fl
     return {r[lang]: tuple([r[f"{c}{i}"] for i in range(n)] for c, n in sizes.items()) for r in rows}
 
 
+def _distance(column: str, reference: list[float]) -> Column:
+    return jensen_shannon(F.col(column), F.array(*map(F.lit, reference)))
+
+
+def quantile(bins: dict[int, int]) -> float:
+    """Upper edge of the bin that holds the ``QUANTILE`` of the counted distances (bin of 1 / ``BINS``: documents)."""
+    total, seen = sum(bins.values()), 0
+    for at in sorted(bins):
+        seen += bins[at]
+        if seen >= QUANTILE * total:
+            return (at + 1) / BINS
+    return 1.0
+
+
+def limits(shares: DataFrame, known: dict[str, tuple[list[float], list[float]]], lang: str = "lang") -> dict[str, list[float]]:
+    """Greatest character and word distance by language; the driver gets ``BINS`` + 1 rows of each at most."""
+    found = {language: [MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE] for language in known}
+    if not known:
+        return found
+
+    def own(column: str, which: int) -> Column:
+        chain = F
+        for language, reference in known.items():
+            chain = chain.when(F.col(lang) == language, _distance(column, reference[which]))
+        return F.floor(chain * BINS).cast("int")
+
+    # Each limit comes from the documents that it will judge: short ones are further off by chance.
+    judged = (F.col("_chars") >= MIN_CHARS, F.col("n_words") >= MIN_HISTOGRAM_WORDS)
+    each = F.array(*[F.when(judged[i], F.struct(F.lit(i).alias("which"), own(c, i).alias("bin"))) for i, c in enumerate(("_p", "_q"))])
+    serving = shares.where(~F.col("base_failed") & F.col(lang).isin(*known))
+    counted = serving.select(lang, F.explode(each).alias("d")).where("d is not null").groupBy(lang, "d.which", "d.bin").count().collect()
+    bins: dict = {}
+    for r in counted:
+        bins.setdefault((r[lang], r["which"]), {})[r["bin"]] = r["count"]
+    for (language, which), held in bins.items():
+        if sum(held.values()) >= MIN_REFERENCE:
+            margin = (CHAR_MARGIN, WORD_MARGIN)[which]
+            found[language][which] = min(found[language][which], quantile(held) + margin)
+    return found
+
+
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Sequence[str] | None = None) -> DataFrame:
     """The columns ``carry`` (default: all) plus base counts, distances, ``base_failed`` and ``kept``.
 
@@ -150,14 +198,19 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Seque
     shares = counted.withColumn("_p", _shares("_classes", "_chars")).withColumn("_q", _shares("_common", "n_words"))
     known = references(shares, "_lang")
 
-    def nearest(column: str, which: int) -> Column:
-        each = [jensen_shannon(F.col(column), F.array(*map(F.lit, r[which]))) for r in known.values()]
+    limit = limits(shares, known, "_lang")
+
+    def least(each: list[Column]) -> Column:
         return F.least(*each) if len(each) > 1 else (each[0] if each else F.lit(None).cast("double"))
 
-    judged = shares.withColumn("char_distance", nearest("_p", 0)).withColumn("word_distance", nearest("_q", 1))
-    far = ((F.col("_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)) | (
-        (F.col("n_words") >= MIN_HISTOGRAM_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
-    )
+    judged = shares
+    for which, column in enumerate(("_p", "_q")):
+        judged = judged.withColumn(f"_d{which}", F.array(*[_distance(column, r[which]) for r in known.values()]))
+    # How far the document is beyond the limit that it comes nearest to.
+    beyond = [least([F.get(f"_d{which}", F.lit(i)) - limit[x][which] for i, x in enumerate(known)]) for which in (0, 1)]
+    for which, name in enumerate(("char_distance", "word_distance")):
+        judged = judged.withColumn(name, least([F.get(f"_d{which}", F.lit(i)) for i in range(len(known))]))
+    far = ((F.col("_chars") >= MIN_CHARS) & (beyond[0] > 0)) | ((F.col("n_words") >= MIN_HISTOGRAM_WORDS) & (beyond[1] > 0))
     kept = ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     named = [F.col(f"_in{i}").alias(c) for i, c in enumerate(carry) if c not in added]

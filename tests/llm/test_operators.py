@@ -60,6 +60,17 @@ def test_quality_keeps_good_and_drops_junk(spark, docs):
     assert sum(d not in kept for d in junk) >= len(junk) / 2
 
 
+def test_quality_limits_follow_the_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    labels = {r.doc_id: r.quality for r in table(spark, "/root/testdata/sf0.1", "labels").collect()}
+    judged = [r for r in quality.assess(docs, carry=["doc_id"]).select("doc_id", "n_words", "base_failed", "kept").collect() if not r.base_failed and r.doc_id in labels]
+    junk, good = ([r for r in judged if labels[r.doc_id] == q] for q in (0, 1))
+    assert sum(r.kept for r in junk) <= len(junk) / 4
+    assert not any(r.kept for r in junk if r.n_words >= quality.MIN_HISTOGRAM_WORDS)
+    assert sum(not r.kept for r in good) <= len(good) / 500
+    assert quality.quantile({100: 90, 300: 10}) == 0.101 and quality.quantile({100: 89, 300: 11}) == 0.301
+
+
 def test_quality_stage_keeps_columns(odd):
     out = quality.keep_good(odd)
     assert out.columns == odd.columns
