@@ -1,9 +1,10 @@
 """Secret scans with a random forest that removes false positives.
 
 Candidates are long tokens with a digit in whole texts, and the values of assignments such as
-``password=``. Rules with a known answer label part of them: formats of providers and values of
-secret-like keys are true findings; identifiers, card numbers, version strings, addresses and
-placeholders are false ones. Labelled findings of the user's own (``labels``) are added. A
+``password=`` or ``"db_password":`` (``MIN_VALUE`` characters or more without white space, with or
+without a digit; a token that overlaps one is left out). Rules with a known answer label part of them: formats of providers and values of
+secret-like keys are true findings; identifiers, card numbers, version strings, addresses,
+placeholders and assigned values that are one short plain word or a reference in code are false ones. Labelled findings of the user's own (``labels``) are added. A
 random forest is trained on at most ``TRAIN_ROWS`` labelled candidates (the lowest hashes) and
 scores every candidate by length, character transitions, dictionary coverage, path and the words
 beside it. Findings keep candidates with a score of one half or more.
@@ -30,12 +31,19 @@ from starloom.session import stage
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
 NEAR = 32
+MIN_VALUE = 4
 FEATURES = ["length", "transitions", "digit_share", "upper_share", "distinct_share", "dictionary", "hex", "path_test", "path_code", "cue_before", "assigned", "quoted", "cue_false"]
 
 _TOKEN = r"(?:(?<![A-Za-z0-9_+/=.-])|\G)(?=[A-Za-z_+/=.-]{0,64}[0-9])[A-Za-z0-9_+/=.-]{16,}+"
 # Formats of providers, keys, placeholders, and words of a small dictionary.
 _PROVIDERS = r"^(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{16,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_.-]+)$"
 _KEYS = "password|passwd|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth"
+_NAME = rf"(?i:{_KEYS})(?:[0-9]{{1,4}}|[_.-][A-Za-z0-9_-]{{1,16}}|[A-Z][A-Za-z0-9]{{1,16}})?[\"'`]?[\x20\t]{{0,4}}(?::=|=>|[=:]{{1,2}})[\x20\t]{{0,4}}[\"'`]?"
+_ASSIGNED = (
+    rf"{_NAME}(?:(?<=\")[^\s\"]{{{MIN_VALUE},}}+|(?<=')[^\s']{{{MIN_VALUE},}}+|(?<=`)[^\s`]{{{MIN_VALUE},}}+"
+    rf"|(?<![\"'`])[^\s\"'`=:>][^\s\"'`<>]{{{MIN_VALUE - 1},}}+)"
+)
+_WORD_OR_CODE = r"^(?:(?:[A-Z]?[a-z]{1,11}|[A-Z]{1,11})[.,:;!?)]*|(?i:none|null|true|false|self\.|os\.|env|process\.|\$\{|\$\(|\{\{|%s).*)$"
 _PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000000|1234567890|abcdef0123"
 _UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 _DICTIONARY = "the|and|for|with|that|this|from|was|are|tion|ing|ment|der|die|und|ein|les|des|que|ent|con|los|para|test|user|name|page|file|data|image|index|html|http|www|com|org|net|version"
@@ -45,21 +53,28 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path
     """One row per candidate of each whole text: place, digest, features and the rules' label."""
     t = F.col("_text")
     source = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
-    found = matches(t, _TOKEN, "token", t.rlike("[0-9]"))
+    tokens = matches(t, _TOKEN, "token", t.rlike("[0-9]"))
+    assigned = matches(t, _ASSIGNED, "assigned", t.rlike(_NAME))
+    apart = F.filter("_tokens", lambda x: ~F.exists("_assigned", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
+    found = F.when(F.size("_assigned") == 0, F.col("_tokens")).otherwise(F.concat(apart, F.col("_assigned")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), source.alias("_path"), whole(text).alias("_text"))
-    rows = rows.withColumn("_found", found).where(F.size("_found") > 0)
+    rows = rows.withColumn("_tokens", tokens).withColumn("_assigned", assigned).withColumn("_found", found).where(F.size("_found") > 0)
 
     def around(c: Column) -> Column:
         before = F.substring(t, F.greatest(c["s"] - NEAR, F.lit(0)) + 1, F.least(c["s"], F.lit(NEAR)))
-        return F.struct(c["s"].alias("begin"), c["e"].alias("end"), c["m"].alias("raw"), before.alias("before"), F.substring(t, c["e"] + 1, NEAR).alias("after"))
+        return F.struct(c["s"].alias("begin"), c["e"].alias("end"), c["m"].alias("raw"), (c["kind"] == "assigned").alias("named"), before.alias("before"), F.substring(t, c["e"] + 1, NEAR).alias("after"))
 
     rows = rows.select("doc_id", "_path", F.explode(F.transform("_found", around)).alias("c")).select("doc_id", "_path", "c.*")
     # key=value in one token: the value is the candidate and the key a word beside it.
-    key = F.regexp_extract("raw", rf"^((?i:{_KEYS}))=+(?=.)", 0)
+    key = F.when(F.col("named"), F.regexp_extract("raw", rf"^{_NAME}", 0)).otherwise(F.regexp_extract("raw", rf"^((?i:{_KEYS}))=+(?=.)", 0))
     rows = rows.withColumn("key", key).withColumn("begin", F.col("begin") + F.length("key"))
-    rows = rows.withColumn("value", F.regexp_replace(F.expr("substring(raw, length(key) + 1)"), r"[.=]+$", ""))
+    rows = rows.withColumn("value", F.expr("substring(raw, length(key) + 1)"))
+    quoted = F.col("named") & F.col("key").rlike(r"[\"'`]$")
+    loose = F.when(F.col("named"), F.regexp_replace("value", r"[.,;)\]}]+$", "")).otherwise(F.regexp_replace("value", r"[.=]+$", ""))
+    rows = rows.withColumn("value", F.when(quoted, F.col("value")).otherwise(loose))
     rows = rows.withColumn("end", F.col("begin") + F.length("value")).withColumn("before", F.concat("before", "key"))
-    return rows.where("length(value) >= 12").select("doc_id", "begin", "end", F.sha2("value", 256).alias("digest"), *_features(), _label().alias("label"))
+    least = F.when(F.col("named"), MIN_VALUE).otherwise(12)
+    return rows.where(F.length("value") >= least).select("doc_id", "begin", "end", F.sha2("value", 256).alias("digest"), *_features(), _label().alias("label"), F.col("value").rlike(_PROVIDERS).alias("provider"))
 
 
 def _share(pattern: str) -> Column:
@@ -92,7 +107,7 @@ def _label() -> Column:
     value, before = F.col("value"), F.col("before")
     false = (
         value.rlike(_PLACEHOLDER) | value.rlike(_UUID) | value.rlike("^[0-9.+/=_-]+$") | value.rlike(r"(?i)\.(?:com|org|net)$|^www\.")
-        | F.col("after").startswith("@") | before.endswith("@") | F.concat("before", F.lit(" ")).rlike(r"(?i)(?:commit|sha1|sha256|md5|checksum)[\s:=]+$")
+        | (F.col("named") & value.rlike(_WORD_OR_CODE)) | F.col("after").startswith("@") | before.endswith("@") | F.concat("before", F.lit(" ")).rlike(r"(?i)(?:commit|sha1|sha256|md5|checksum)[\s:=]+$")
     )
     true = value.rlike(_PROVIDERS) | before.rlike(rf"(?i)(?:{_KEYS})[\"']?\s*[:=]+\s*[\"']?$")
     return F.when(false, 0.0).when(true, 1.0)

@@ -201,6 +201,15 @@ def test_secrets(spark, docs):
     assert planted <= {r.doc_id for r in secrets.findings(docs).collect()}
 
 
+def test_secrets_finds_short_assigned_values(spark):
+    values = ["hunter2secret", "correcthorsebatterystaple", "Tr0ub4dor&3", "S3cr3tP4ss", "aB3dE5fG7hI9", "QwErTyUiOpAsDfGhJkLzXcVbNm"]
+    texts = ["password: {}", "password={}", 'db_password = "{}"', "pwd=S3cr3tP4ss", "api_key: {}.", "secret: {}"]
+    rows = [(i, "see " + t.format(v) + " and so on") for i, (t, v) in enumerate(zip(texts, values))]
+    rows += [(10, "password: please ask the author: William"), (11, "no key = at all"), (12, "x" * 5000)]
+    got = {(r.doc_id, dict(rows)[r.doc_id][r.begin:r.end]) for r in secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).where("label = 1 or label is null").collect()}
+    assert got == set(enumerate(values))
+
+
 def test_secrets_held_out(spark):
     """Forest trained without the labels of a part: that part is still told apart."""
     rng = random.Random(2)
