@@ -5,15 +5,16 @@ Candidates are long tokens with a digit in whole texts, and the values of assign
 without a digit; a token that overlaps one is left out). Rules with a known answer label part of them: formats of providers and values of
 secret-like keys are true findings; identifiers, card numbers, version strings, addresses,
 placeholders and assigned values that are one short plain word or a reference in code are false ones. Labelled findings of the user's own (``labels``) are added. A
-random forest is trained on at most ``TRAIN_ROWS`` labelled candidates (the lowest hashes) and
-scores every candidate by length, character transitions, dictionary coverage, path and the words
-beside it. Findings keep candidates with a score of one half or more.
+random forest is trained on at most ``TRAIN_ROWS`` labelled candidates, half of them of each class
+(reviewed ones first, then the lowest hashes), and scores every candidate by length, character
+transitions, dictionary coverage, path and the words beside it. Findings keep candidates with a
+score of one half or more. A reviewed label is the score, and so is a provider's format.
 
 Everything is DataFrame built-ins and the JVM's own random forest; no Python runs on executors.
 Texts are read once; candidates are written.
 
 Nulls, empties and ties: a null or empty text has no candidate; a null path is an empty one; when
-labels of one class only exist, no forest can be trained and rules alone decide (a candidate
+labels of one class only exist in the whole table, no forest can be trained and rules alone decide (a candidate
 without a label is then kept for review with score one half); repeated rows are scanned each.
 """
 
@@ -117,22 +118,28 @@ def scan(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str = "source", labels: DataFrame | None = None
 ) -> DataFrame:
     """All candidates with ``score`` and ``kept``. ``labels``: digest, label (0 or 1) of reviewed findings."""
-    found = candidates(docs, text, doc_id, path)
+    found = candidates(docs, text, doc_id, path).withColumn("known", F.lit(None).cast("double"))
     if labels is not None:
-        known = labels.groupBy("digest").agg(F.max(F.col("label").cast("double")).alias("known"))
-        found = found.join(known, "digest", "left").withColumn("label", F.coalesce("known", "label")).drop("known")
+        known = labels.groupBy("digest").agg(F.max(F.col("label").cast("double")).alias("_known"))
+        found = found.join(known, "digest", "left").withColumn("known", F.col("_known")).drop("_known")
+    # A provider's format is certain unless the rules know it as a placeholder or the like.
+    sure = F.coalesce("known", F.when(F.col("provider") & (F.col("label") == 1), 1.0))
+    found = found.withColumn("label", F.coalesce("known", "label")).withColumn("sure", sure).drop("provider")
     found = stage(found, "secret_candidates")
-    unique = found.where("label is not null").groupBy(*FEATURES, "label").agg(F.min("digest").alias("digest"))
-    sample = stage(unique.orderBy(F.xxhash64("digest"), *FEATURES).limit(TRAIN_ROWS), "secret_labels")
+    unique = found.where("label is not null").groupBy(*FEATURES, "label").agg(F.min("digest").alias("digest"), F.max(F.col("known").isNotNull()).alias("reviewed"))
+    order = [F.col("reviewed").desc(), F.xxhash64("digest"), *FEATURES]
+    halves = [unique.where(F.col("label") == y).orderBy(*order).limit(TRAIN_ROWS // 2) for y in (0.0, 1.0)]
+    sample = stage(halves[0].unionByName(halves[1]), "secret_labels")
     classes = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(classes) < 2:
-        return found.withColumn("score", F.coalesce("label", F.lit(0.5))).withColumn("kept", F.col("score") >= 0.5)
+        score = F.coalesce("label", F.lit(0.5))
+        return found.withColumn("score", score).withColumn("kept", F.col("score") >= 0.5).drop("known", "sure")
     inputs = VectorAssembler(inputCols=FEATURES, outputCol="_v")
     forest = RandomForestClassifier(featuresCol="_v", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, probabilityCol="_p", rawPredictionCol="_r", predictionCol="_y")
     model = forest.fit(inputs.transform(sample))
     scored = model.transform(inputs.transform(found))
-    score = F.get(vector_to_array("_p"), F.lit(1))
-    return scored.withColumn("score", score).withColumn("kept", F.col("score") >= 0.5).drop("_v", "_p", "_r", "_y")
+    score = F.coalesce("sure", F.get(vector_to_array("_p"), F.lit(1)))
+    return scored.withColumn("score", score).withColumn("kept", F.col("score") >= 0.5).drop("_v", "_p", "_r", "_y", "known", "sure")
 
 
 def findings(docs: DataFrame, **columns) -> DataFrame:

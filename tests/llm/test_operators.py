@@ -210,6 +210,24 @@ def test_secrets_finds_short_assigned_values(spark):
     assert got == set(enumerate(values))
 
 
+def test_secrets_trains_on_both_classes_and_honours_labels(spark, monkeypatch):
+    rng = random.Random(6)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"commit {hexes(40)} {'x' * (i % 30)}", "a") for i in range(300)] + [(1000 + i, f"password={hexes(20 + i)} end", "a") for i in range(3)]
+    # Like the false ones but for a reviewed label, and a provider's format beside a word that speaks against it.
+    rows += [(2000, f"build {'0f' * 20} x", "a"), (2001, f"version AKIA{'Q7' * 8} build", "a"), (2002, "password=abc123def456abc123 end", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sha = lambda v: hashlib.sha256(v.encode()).hexdigest()
+    labels = spark.createDataFrame([(sha("0f" * 20), 1), (sha("abc123def456abc123"), 0)], "digest string, label int")
+    monkeypatch.setattr(secrets, "TRAIN_ROWS", 20)
+    seen = secrets.scan(frame, labels=labels)
+    assert "known" not in seen.columns and "sure" not in seen.columns
+    got = {r.doc_id: (r.kept, r.score) for r in seen.collect()}
+    assert all(not got[i][0] for i in range(300)) and all(got[1000 + i][0] for i in range(3))
+    assert got[2000] == (True, 1.0) and got[2001] == (True, 1.0) and got[2002] == (False, 0.0)
+    assert any(s not in (0.0, 0.5, 1.0) for _, s in got.values())  # the forest ran
+
+
 def test_secrets_held_out(spark):
     """Forest trained without the labels of a part: that part is still told apart."""
     rng = random.Random(2)
