@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -130,3 +131,80 @@ def cut_lines(docs, min_words=50):
             d = lines[j][0]
             gone.update((d, i) for i in range(lines[j][1], lines[j + depth - 1][1] + 1))
     return [None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in enumerate(docs)]
+
+
+def plant_run(doc_id, text):
+    """Words of a text, in every tenth document with a run."""
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str("" if doc_id is None else doc_id).encode())
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def periodic_runs(words):
+    """(start, length, period) by comparing all words at all distances."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(6, 4 * q) and not any(
+                all(words[x] == words[x + p] for x in range(i, i + length - p)) for p in range(1, q)
+            ):
+                found.append((i, length, q))
+            i = j + 1
+    return sorted(found)
+
+
+def collapsed(words, runs):
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def spelled_words(docs):
+    """Counts of the words of (doc_id, text) rows, slips put in."""
+    seen = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            seen[run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run] += 1
+    return {w: n for w, n in seen.items() if len(w) >= 7 and n >= 2}
+
+
+def spelling(seen):
+    """(word, form, root, n, n_near, form_n) by deleted letters."""
+    holes, cut = defaultdict(set), defaultdict(set)
+    for w in seen:
+        for i in range(len(w)):
+            holes[w[:i], w[i + 1:]].add(w)
+            cut[w[:i] + w[i + 1:]].add(w)
+    near = {w: set() for w in seen}
+    for w in seen:
+        for i in range(len(w)):
+            near[w] |= holes[w[:i], w[i + 1:]]
+            if (short := w[:i] + w[i + 1:]) in seen:
+                near[w].add(short)
+                near[short].add(w)
+        near[w].discard(w)
+    form = {}
+    for w, others in near.items():
+        if others and seen[best := min(others, key=lambda o: (-seen[o], o))] >= 10 * seen[w]:
+            form[w] = best
+    rows = []
+    for w, n in seen.items():
+        root = w
+        while root in form:
+            root = form[root]
+        rows.append((w, form.get(w), root, n, len(near[w]), seen.get(form.get(w))))
+    return sorted(rows, key=lambda r: r[0])
