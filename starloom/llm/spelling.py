@@ -159,7 +159,7 @@ def near_pairs(words: DataFrame, shortest: int = MIN_LENGTH) -> DataFrame:
         & (missing("_bits", "_other") <= F.col("_bound")) & (missing("_other", "_bits") <= F.col("_most"))
         & (F.levenshtein("word", "other", 1) == 1)
     )
-    pairs = joined.select("word", "other").distinct()
+    pairs = stage(joined.select("word", "other").distinct(), "near_pairs")  # read twice
     return pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("word").alias("other")))
 
 
@@ -184,7 +184,7 @@ def variants(counted: DataFrame, shortest: int = MIN_LENGTH, ratio: int = RATIO)
     """``word``, ``form``, ``root``, ``n``, ``n_near``, ``form_n`` for each word of ``counted``
     (``word``, ``n``; each word once, none shorter than ``shortest``)."""
     words = stage(counted.select("word", "n"), "words")
-    pairs = stage(near_pairs(words, shortest), "near_words")
+    pairs = near_pairs(words, shortest)
     largest = F.min(F.struct((-F.col("n")).alias("less"), F.col("other").alias("form")))
     near = (
         pairs.join(words.withColumnRenamed("word", "other"), "other").groupBy("word")
