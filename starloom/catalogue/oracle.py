@@ -320,6 +320,13 @@ def _counted() -> str:
 ORACLE["q_rule_counts"] = f"""{_counted()}
 SELECT "table", CAST(rule_no AS BIGINT) AS rule_no, rule, "column", n_rows FROM counted"""
 
+ORACLE["q_rejected_rows"] = _STEPS + " UNION ALL ".join(
+    f"""
+SELECT '{t}' AS "table", CAST({n} AS BIGINT) AS rule_no, '{rule}' AS rule, '{c}' AS "column", line_no, Region AS region
+FROM (SELECT line_no, Region FROM {a} EXCEPT ALL SELECT line_no, Region FROM {b})"""
+    for t, n, rule, c, a, b, _ in _RULES
+)
+
 _SIZES = {"customers": ("c0", "c7"), "policies": ("p0", "p8"), "address": ("a0", "a4"), "transactions": ("t0", "t5")}
 
 _REPORT = f"""{_counted()},
@@ -702,6 +709,13 @@ FROM ({clean('policies')})"""
 
 # ---- incremental load ---------------------------------------------------------------
 
+# Transactions with their place in the files: by line number, then by their texts.
+_TEXT_ORDER = ", ".join(f"raw.{c} NULLS FIRST" for c in ("line_no", *_columns("transactions")))
+_PLACED = validated("transactions").replace(
+    clean("transactions"),
+    clean("transactions").replace(", line_no FROM", f", line_no, row_number() OVER (ORDER BY {_TEXT_ORDER}) AS place FROM"),
+)
+
 _LOADED = f"""
 WITH dc AS (SELECT *, row_number() OVER (ORDER BY Customer_ID, Effective_Start_Dt NULLS LAST) AS Customer_SK
             FROM ({silver('customers')})),
@@ -709,6 +723,8 @@ da AS (SELECT *, row_number() OVER (ORDER BY line_no) AS Address_SK FROM ({silve
 dp AS (SELECT *, line_no % 3 AS batch, row_number() OVER (ORDER BY line_no % 3, line_no) AS Policy_SK
        FROM ({silver('policies', 'line_no % 3, ')})),
 t AS (SELECT *, line_no % 3 AS batch, row_number() OVER () AS tx FROM ({silver('transactions')})),
+o AS (SELECT Customer_ID, row_number() OVER (ORDER BY line_no % 3, place) AS Transaction_SK FROM ({_PLACED})),
+k AS (SELECT Customer_ID, sum(Transaction_SK) AS sks FROM o GROUP BY Customer_ID),
 p AS (SELECT t.tx, min(dp.Policy_SK) AS Policy_SK,
              list(dp.Next_Premium_Dt ORDER BY dp.Policy_SK DESC)[1] AS due
       FROM t JOIN dp ON dp.Policy_Id = t.Policy_Id AND dp.batch <= t.batch GROUP BY t.tx),
@@ -718,12 +734,17 @@ f AS (SELECT t.*, c.Customer_SK, p.Policy_SK, a.Address_SK, coalesce(t.Actual_Pr
       FROM t LEFT JOIN p ON p.tx = t.tx LEFT JOIN c ON c.Customer_ID = t.Customer_ID
       LEFT JOIN a ON a.Customer_ID = t.Customer_ID)
 SELECT Customer_ID, count(*) AS n, min(Customer_SK) AS customer_sk, CAST(sum(Policy_SK) AS BIGINT) AS policy_sks,
-       CAST(sum(Address_SK) AS BIGINT) AS address_sks, CAST(sum(Premium_Amt) AS DOUBLE) AS premium,
+       CAST(sum(Address_SK) AS BIGINT) AS address_sks,
+       CAST((SELECT sks FROM k WHERE k.Customer_ID = f.Customer_ID) AS BIGINT) AS transaction_sks, CAST(sum(Premium_Amt) AS DOUBLE) AS premium,
        count(*) FILTER (WHERE late) AS n_late,
        CAST(sum(CAST(CASE WHEN late THEN {_fee('Premium_Amt')} ELSE 0 END AS DECIMAL(15,2))) AS DOUBLE) AS late_fees
 FROM f GROUP BY Customer_ID"""
 ORACLE["q_incremental_load"] = _LOADED
 ORACLE["q_stream_increment"] = _LOADED
+ORACLE["q_load_versions"] = f"""
+WITH t AS ({silver('transactions')})
+SELECT CAST(v.version AS BIGINT) AS version, count(*) AS n_rows, count(*) AS last_key, CAST(sum(Premium_Amt) AS DOUBLE) AS premium
+FROM t, (VALUES (1), (2), (3)) v(version) WHERE t.line_no % 3 < v.version GROUP BY v.version"""
 
 ORACLE["q_incremental_policy_changes"] = f"""
 WITH dp AS (SELECT *, line_no % 3 AS batch FROM ({silver('policies', 'line_no % 3, ')})),

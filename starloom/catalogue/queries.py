@@ -19,7 +19,7 @@ from starloom.operators import (
 )
 from starloom.operators.columns import load_values_all, null_tokens_all
 from starloom.plans import batches, business, overview, views
-from starloom.schemas import SILVER, TABLES
+from starloom.schemas import BRONZE, SILVER, TABLES
 from starloom.session import staging_path
 from starloom.sources import extracts, raw as raw_files, warehouse as wh
 from starloom.streaming.arrivals import load_arrivals
@@ -337,6 +337,19 @@ def rule_counts(spark, sf):
     return result
 
 
+@query
+def rejected_rows(spark, sf):
+    """Every row that a rule drops, with the region text it came with."""
+    parts = []
+    for t in TABLES:
+        tagged = quality.quarantine(raw_clean(spark, sf, t), t, LINE)
+        parts.append(tagged.rejected(tagged.rows).select(
+            "table", "rule_no", "rule", "column", F.get_json_object("raw", "$.line_no").cast("bigint").alias("line_no"),
+            F.get_json_object("raw", "$.Region").alias("region"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def required_columns(spark, sf):
     short = raw_clean(spark, sf, "customers").drop("Gender", "DOB")
@@ -596,14 +609,16 @@ def write_batch_files(spark: SparkSession, sf: str) -> str:
     and transactions spread by their order key."""
     root = staging_path(spark, "batches")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = {name: ["line_no"] for name in TABLES}
+    # Line numbers of transactions repeat; whole rows that are alike may change places.
+    order["transactions"] = ["line_no", *[F.col(c).asc_nulls_first() for c in BRONZE["transactions"].names]]
     for name in TABLES:
         df = raw(spark, sf, name)
         spread = name in ("policies", "transactions")
         for batch in BATCHES if spread else BATCHES[:1]:
             rows = df.where(F.col("line_no") % len(BATCHES) == batch) if spread else df
-            # Dimension keys follow the file order; the totals below do not depend on the
-            # order of the transactions, so these are only spread over several files.
-            placed = rows.repartition(files) if name == "transactions" else rows.orderBy("line_no")
+            # Keys follow the order of files and rows; transactions are spread over several files.
+            placed = rows.repartitionByRange(files, *order[name]).sortWithinPartitions(*order[name])
             extracts.write_csv(placed.drop("line_no"), f"{root}/day{batch}_{name}.csv")
     return root
 
@@ -616,6 +631,7 @@ def loaded_totals(spark: SparkSession, root: str) -> DataFrame:
         F.min("Customer_SK").alias("customer_sk"),
         F.sum("Policy_SK").alias("policy_sks"),
         F.sum("Address_SK").alias("address_sks"),
+        F.sum("Transaction_SK").alias("transaction_sks"),
         F.sum("Premium_Amt").alias("premium"),
         F.count_if("Is_Late").alias("n_late"),
         F.sum("Late_Fee").alias("late_fees"),
@@ -629,6 +645,21 @@ def incremental_load(spark, sf):
     return loaded_totals(spark, target)
 
 
+@query
+def load_versions(spark, sf):
+    """Each published version of a three-batch load, read after all of them are there."""
+    source, target = write_batch_files(spark, sf), staging_path(spark, "versions")
+    batches.load_batches(spark, source, target, BATCHES)
+    warehouse = wh.Warehouse(spark, target)
+    parts = [
+        warehouse.at(number).gold("fact_transactions").agg(
+            F.count("*").alias("n_rows"), F.max("Transaction_SK").alias("last_key"), F.sum("Premium_Amt").alias("premium")
+        ).select(F.lit(number).cast("long").alias("version"), "*")
+        for number in warehouse.versions()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def stream_increment(spark, sf):
     source, target = write_batch_files(spark, sf), staging_path(spark, "stream")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from starloom.schemas import MONEY
 
+EXACT = T.DecimalType(38, 18)
+
 
 def to_amount(c: Column) -> Column:
     """Text to money; anything that is not a finite number becomes NULL."""
@@ -14,7 +16,7 @@ def to_amount(c: Column) -> Column:
 
 def to_exact(c: Column) -> Column:
     """Text that :func:`to_amount` accepts, before rounding: what decides whether it is positive."""
-    return F.when(to_amount(c).isNotNull(), c.try_cast("decimal(38,18)"))
+    return F.when(to_amount(c).isNotNull(), c.try_cast(EXACT))
 
 
 def to_id(c: Column) -> Column:

@@ -104,6 +104,41 @@ def number_in_file_order(rows: DataFrame, key: str, start: int = 0) -> DataFrame
     return key_first(numbered.drop("_path", "_block", "_shift", POSITION), key)
 
 
+def number_as_written(rows: DataFrame, key: str, start: int = 0) -> DataFrame:
+    """Dense keys in source order for rows read back from Parquet, without moving them.
+
+    ``rows`` scans written files (filters on partition columns only) and carries the source ordinal. A
+    task writes the rows of one source block together and in order, so a row's number is its place
+    in the written file, less the block's first place, plus the rows of the blocks before. Unlike
+    positions counted by a task, places in a file stay the same however the files are
+    read. Blocks whose rows are not together in their file, or interleaved over files, are
+    detected, and the rows sorted instead. The table of pieces has no broadcast hint.
+    """
+    placed = rows.select(
+        "*", F.xxhash64(F.col("_metadata.file_path")).alias("_written"), F.col("_metadata.row_index").alias("_at")
+    )
+    file, block, row = (F.col(f"{ORDINAL}.{c}") for c in ("file", "block", "row"))
+    pieces = stage(
+        placed.groupBy(file.alias("_file"), block.alias("_block"), "_written").agg(
+            F.count("*").alias("_n"), F.min("_at").alias("_low"), F.max("_at").alias("_high"),
+            F.min(row).alias("_first"), F.max(row).alias("_last"),
+        ),
+        "pieces",
+    ).withColumn("_path", F.xxhash64("_file"))
+    in_block = Window.partitionBy("_file", "_block").orderBy("_first")
+    mixed = pieces.select("_n", "_low", "_high", "_first", F.lag("_last").over(in_block).alias("_before"))
+    broken = mixed.where((F.col("_high") - F.col("_low") + 1 != F.col("_n")) | (F.col("_before") >= F.col("_first")))
+    one_name = pieces.groupBy("_path", "_block", "_written").count().where("count > 1")
+    if not (broken.isEmpty() and one_name.isEmpty()):
+        return assign_keys(rows, key, [ORDINAL], start)
+    earlier = Window.orderBy("_file", "_block", "_first").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_low")
+    shifts = pieces.select("_path", "_block", F.col("_written").alias("_in"), shift.alias("_shift"))
+    here = (F.xxhash64(file) == F.col("_path")) & (block == F.col("_block")) & (F.col("_written") == F.col("_in"))
+    numbered = placed.join(shifts, here).withColumn(key, F.lit(start) + F.col("_shift") + F.col("_at") + 1)
+    return key_first(numbered.drop("_path", "_block", "_shift", "_in", "_at", "_written"), key)
+
+
 def assign_keys(
     df: DataFrame, key: str, order_by: Sequence[str | Column], start: int = 0
 ) -> DataFrame:

@@ -12,13 +12,16 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions import dates, numbers, text
 from starloom.operators.columns import missing_columns
+from starloom.operators.joins import as_lookup
 from starloom.operators.keys import keep_first
 
 ALL_PASSED = "All checks passed."
+REJECTED_BY = "rejected_by"  # 0 for a good row, else the number of the rule that drops it
+RAW = "raw"  # a rejected row's columns as they came, as JSON
 _FAILED = "_failed"
 
 
@@ -203,6 +206,34 @@ def _stages(
     return stages
 
 
+def _report(table: str, absent: Sequence[str], rules: Sequence[tuple[int, Rule]], verdict: DataFrame) -> DataFrame:
+    """One row: table, status, issues, rows_in, rows_out."""
+    found = [text.sql_text(f"Missing columns: {list(absent)}")] if absent else []
+    for number, rule in rules:
+        if rule.message:
+            head, tail = map(text.sql_text, rule.message.split("{n}"))
+            found.append(f"CASE WHEN rule_{number} > 0 THEN concat({head}, rule_{number}, {tail}) END")
+    issues = F.expr(f"array_compact(CAST(array({', '.join(found)}) AS array<string>))")
+    passed = F.size(issues) == 0
+    return verdict.select(
+        F.lit(table).alias("table"),
+        F.when(passed, "passed").otherwise("issues").alias("status"),
+        F.when(passed, F.array(F.lit(ALL_PASSED))).otherwise(issues).alias("issues"),
+        "rows_in",
+        "rows_out",
+    )
+
+
+def _counts(table: str, rules: Sequence[tuple[int, Rule]], verdict: DataFrame) -> DataFrame:
+    """One row per dropping rule: table, rule_no, rule, column, n_rows."""
+    entries = ", ".join(
+        f"struct({number} AS rule_no, '{rule.name}' AS rule, '{rule.column}' AS column, rule_{number} AS n_rows)"
+        for number, rule in rules
+        if rule.unique or rule.bad is not None
+    )
+    return verdict.select(F.lit(table).alias("table"), F.expr(f"inline(array({entries}))"))
+
+
 def _verdict(rules: Sequence[tuple[int, Rule]], stages: Sequence[DataFrame]) -> DataFrame:
     """One row: rows in, rows out and the number of rows each rule dropped."""
     tallies = [
@@ -244,31 +275,26 @@ class Checked:
     @property
     def report(self) -> DataFrame:
         """One row: table, status, issues, rows_in, rows_out."""
-        found = [text.sql_text(f"Missing columns: {list(self.absent)}")] if self.absent else []
-        for number, rule in self.rules:
-            if rule.message:
-                head, tail = map(text.sql_text, rule.message.split("{n}"))
-                found.append(f"CASE WHEN rule_{number} > 0 THEN concat({head}, rule_{number}, {tail}) END")
-        issues = F.expr(f"array_compact(CAST(array({', '.join(found)}) AS array<string>))")
-        passed = F.size(issues) == 0
-        return _verdict(self.rules, self.stages).select(
-            F.lit(self.table).alias("table"),
-            F.when(passed, "passed").otherwise("issues").alias("status"),
-            F.when(passed, F.array(F.lit(ALL_PASSED))).otherwise(issues).alias("issues"),
-            "rows_in",
-            "rows_out",
-        )
+        return _report(self.table, self.absent, self.rules, _verdict(self.rules, self.stages))
 
     @property
     def counts(self) -> DataFrame:
         """One row per dropping rule: table, rule_no, rule, column, n_rows."""
-        entries = ", ".join(
-            f"struct({number} AS rule_no, '{rule.name}' AS rule, '{rule.column}' AS column, rule_{number} AS n_rows)"
-            for number, rule in self.rules
-            if rule.unique or rule.bad is not None
-        )
-        verdict = _verdict(self.rules, self.stages)
-        return verdict.select(F.lit(self.table).alias("table"), F.expr(f"inline(array({entries}))"))
+        return _counts(self.table, self.rules, _verdict(self.rules, self.stages))
+
+
+def _chosen(
+    df: DataFrame, table: str, rules: Iterable[Rule] | None, required: Sequence[str] | None
+) -> tuple[list[str], list[tuple[int, Rule]]]:
+    """Absent required columns, and the numbered rules whose columns are there."""
+    absent = missing_columns(df, REQUIRED[table] if required is None else required)
+    chosen = rules_for(table) if rules is None else rules
+    numbered = [
+        (i, rule)
+        for i, rule in enumerate(chosen, start=1)
+        if not missing_columns(df, (rule.column, *rule.needs))
+    ]
+    return absent, numbered
 
 
 def validate(
@@ -282,17 +308,100 @@ def validate(
 
     A rule on a column the input lacks is skipped; absent required columns are reported.
     """
-    absent = missing_columns(df, REQUIRED[table] if required is None else required)
-    chosen = rules_for(table) if rules is None else rules
-    numbered = [
-        (i, rule)
-        for i, rule in enumerate(chosen, start=1)
-        if not missing_columns(df, (rule.column, *rule.needs))
-    ]
+    absent, numbered = _chosen(df, table, rules, required)
     stages = _stages(df, numbered, order_by)
     return Checked(table, tuple(absent), tuple(numbered), tuple(stages))
 
 
+@dataclass(frozen=True)
+class Tagged:
+    """A table's rows, good and rejected, in one frame that can be written in one pass.
+
+    ``rows`` has the columns the rules coerced, ``rejected_by`` and, for rejected rows, ``raw``. The
+    report and the counts read the tag column of the written frame only.
+    """
+
+    table: str
+    absent: tuple[str, ...]
+    rules: tuple[tuple[int, Rule], ...]
+    rows: DataFrame
+
+    def _verdict(self, written: DataFrame) -> DataFrame:
+        tally = written.groupBy(REJECTED_BY).agg(F.count("*").alias("n"))
+
+        def total(condition: str) -> Column:
+            return F.expr(f"coalesce(sum(n) FILTER (WHERE {condition}), 0)")
+
+        return tally.agg(
+            total("TRUE").alias("rows_in"), total(f"{REJECTED_BY} = 0").alias("rows_out"),
+            *[total(f"{REJECTED_BY} = {i}").alias(f"rule_{i}") for i, _ in self.rules],
+        )
+
+    def report(self, written: DataFrame) -> DataFrame:
+        """One row: table, status, issues, rows_in, rows_out."""
+        return _report(self.table, self.absent, self.rules, self._verdict(written))
+
+    def counts(self, written: DataFrame) -> DataFrame:
+        """One row per dropping rule: table, rule_no, rule, column, n_rows."""
+        return _counts(self.table, self.rules, self._verdict(written))
+
+    def rejected(self, written: DataFrame) -> DataFrame:
+        """The rejected rows with the rule that dropped them: table, rule_no, rule, column, raw."""
+        names = ", ".join(f"struct({i} AS no, '{r.name}' AS rule, '{r.column}' AS column)" for i, r in self.rules)
+        told = written.where(F.col(REJECTED_BY) > 0).withColumn(
+            "_rule", F.expr(f"filter(array({names}), r -> r.no = {REJECTED_BY})[0]")
+        )
+        return told.select(
+            F.lit(self.table).alias("table"), F.col(REJECTED_BY).alias("rule_no"), "_rule.rule", "_rule.column", RAW
+        )
+
+
+def _tag_repeats(df: DataFrame, number: int, key: str, order_by: Sequence[str]) -> DataFrame:
+    """Mark all but the first of the rows without a mark that share a key. The firsts are found by a
+    pre-aggregated minimum and joined back as a written lookup, so that a hot key can be split."""
+    place = F.struct(*order_by)
+    alive = df.where(F.col(_FAILED).isNull())
+    first = as_lookup(alive.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first")), "first-of-key")
+    joined = df.join(first, F.col(_FAILED).isNull() & F.col(key).eqNullSafe(F.col("_key")), "left")
+    repeat = F.when(F.col("_first").isNotNull() & (place != F.col("_first")), F.lit(number))
+    return joined.withColumn(_FAILED, F.coalesce(_FAILED, repeat)).drop("_key", "_first")
+
+
+def quarantine(
+    df: DataFrame,
+    table: str,
+    order_by: Sequence[str],
+    rules: Iterable[Rule] | None = None,
+    required: Sequence[str] | None = None,
+) -> Tagged:
+    """Run a table's rules and keep the rejected rows. The verdicts are those of :func:`validate`;
+    ``order_by`` must be a total order. A table without a uniqueness rule is read once, by whatever
+    writes the rows."""
+    absent, numbered = _chosen(df, table, rules, required)
+    given = [c for c in df.columns if c not in order_by or not isinstance(df.schema[c].dataType, T.StructType)]
+    tagged = df.withColumn("_given", F.struct(*given)).withColumn(_FAILED, F.lit(None).cast("int"))
+    chunk: list[tuple[int, Rule]] = []
+
+    def flush(tagged: DataFrame) -> DataFrame:
+        marked = _tag(tagged.withColumnRenamed(_FAILED, "_earlier"), chunk)
+        return marked.withColumn(_FAILED, F.coalesce("_earlier", _FAILED)).drop("_earlier")
+
+    for number, rule in numbered:
+        if rule.unique:
+            tagged = _tag_repeats(flush(tagged), number, rule.column, order_by)
+            chunk = []
+        else:
+            chunk.append((number, rule))
+    tagged = flush(tagged)
+    raw = F.when(F.col(_FAILED).isNotNull(), F.to_json("_given"))
+    rows = tagged.withColumn(RAW, raw).withColumn(REJECTED_BY, F.coalesce(_FAILED, F.lit(0)))
+    return Tagged(table, tuple(absent), tuple(numbered), rows.drop("_given", _FAILED))
+
+
+def quarantine_all(raw: Mapping[str, DataFrame], order_by: Sequence[str], strict: bool = False) -> dict[str, Tagged]:
+    return {table: quarantine(df, table, order_by, rules_for(table, strict)) for table, df in raw.items()}
+
+
 def validate_all(raw: Mapping[str, DataFrame], order_by: Sequence[str], strict: bool = False) -> dict[str, Checked]:
     return {
         table: validate(df, table, order_by, rules_for(table, strict))

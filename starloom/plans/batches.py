@@ -3,62 +3,80 @@
 Per batch: land the raw files, validate, standardize, extend the dimensions, build the
 fact, detect changes, report. Every table is partitioned by batch and a batch only ever
 replaces its own partition, so loading it again changes nothing and the cost follows the
-increment. Surrogate keys go on from the largest key of the earlier batches.
+increment. All tables of a load are written aside and published as one version: a load that
+is refused or lost leaves every table, silver and report included, as it was. Surrogate keys go
+on from the largest key of the earlier batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.operators import keys, model
 from starloom.operators.changes import multi_value_history, snapshot_changes
 from starloom.operators.joins import as_lookup, keep_keys
 from starloom.operators.keys import ORDINAL
-from starloom.operators.quality import combined_report, validate_all
-from starloom.operators.standardize import standardize_all
+from starloom.operators.quality import RAW, REJECTED_BY, quarantine_all
+from starloom.operators.standardize import standardize
 from starloom.schemas import DEFAULTS, GOLD, conform
 from starloom.session import staging, together
 from starloom.sources.raw import read_batch
-from starloom.sources.warehouse import BATCH, Warehouse
+from starloom.sources.warehouse import Load, Warehouse
 
-LAST_KEY = T.StructType([T.StructField("last_key", T.LongType())])
 
-
-def land(warehouse: Warehouse, raw: Mapping[str, DataFrame], batch_id: int) -> dict[str, DataFrame]:
+def land(load: Load, raw: Mapping[str, DataFrame], batch_id: int) -> dict[str, DataFrame]:
     """Write raw rows once, with their place in the file, and read them from there.
 
     Only for the tables with a uniqueness rule, which are read several times. Transactions
     are by far the largest and have none; they go from the file straight to silver.
     """
     landed = {t: df for t, df in raw.items() if t != "transactions"}
-    together(*[partial(warehouse.write, df, "bronze", t, batch_id) for t, df in landed.items()])
-    return {t: warehouse.read_batch("bronze", t, batch_id) if t in landed else raw[t] for t in raw}
+    bronze = dict(raw)
 
+    def write(table: str) -> None:
+        bronze[table] = load.write(landed[table], "bronze", table, batch_id)
+
+    together(*[partial(write, t) for t in landed])
+    return bronze
 
-def clean(
-    warehouse: Warehouse, bronze: Mapping[str, DataFrame], batch_id: int, strict: bool = False
-) -> dict[str, DataFrame]:
-    """Validate and standardize; write silver and the validation report."""
-    checked = validate_all(bronze, [ORDINAL], strict)
-    silver = standardize_all({table: result.rows for table, result in checked.items()})
-    silver["transactions"] = keys.with_position(silver["transactions"])
-    report = combined_report(checked).coalesce(1)
-    together(
-        *[partial(warehouse.write, df, "silver", t, batch_id) for t, df in silver.items()],
-        partial(warehouse.write, report, "gold", "validation_report", batch_id),
-    )
-    return {table: warehouse.read_batch("silver", table, batch_id) for table in silver}
 
+@contextmanager
+def _a_writer_per_rule(spark: SparkSession) -> Iterator[None]:
+    """Tasks keep the files of all rules open, instead of sorting their rows by rule first: rows
+    stay in file order, which the numbering of transactions uses."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "64")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
-def _before(warehouse: Warehouse, table: str, batch_id: int) -> DataFrame:
-    return warehouse.gold(table).where(F.col(BATCH) < batch_id)
 
+def clean(
+    load: Load, bronze: Mapping[str, DataFrame], batch_id: int, strict: bool = False
+) -> dict[str, DataFrame]:
+    """Validate and standardize; write silver, the rejected rows beside the good ones under the
+    number of their rule, and the validation report, which is counted from these numbers."""
+    checked = quarantine_all(bronze, [ORDINAL], strict)
+    written: dict[str, DataFrame] = {}
 
-def _up_to(warehouse: Warehouse, table: str, batch_id: int) -> DataFrame:
-    return warehouse.gold(table).where(F.col(BATCH) <= batch_id)
+    def write(table: str) -> None:
+        rows = standardize(checked[table].rows, table)
+        written[table] = load.write(rows, "silver", table, batch_id, [REJECTED_BY])
+
+    with _a_writer_per_rule(load.spark):
+        together(*[partial(write, t) for t in checked])
+    report = None
+    for table, tagged in checked.items():
+        one = tagged.report(written[table])
+        report = one if report is None else report.unionByName(one)
+    load.write(report.coalesce(1), "gold", "validation_report", batch_id)
+    return {t: df.where(F.col(REJECTED_BY) == 0).drop(REJECTED_BY, RAW) for t, df in written.items()}
 
 
 def _differ(one: DataFrame, other: DataFrame) -> bool:
@@ -67,50 +85,24 @@ def _differ(one: DataFrame, other: DataFrame) -> bool:
 
 
 def _extend(
-    warehouse: Warehouse,
-    batch_id: int,
-    loaded: list[int],
-    fixed: bool,
-    table: str,
-    key: str,
-    build: Callable[[int], DataFrame],
+    load: Load, batch_id: int, fixed: bool, table: str, key: str, build: Callable[[int], DataFrame]
 ) -> None:
     """Write a batch of a keyed table; ``build`` gets the largest earlier key. ``fixed``: later
-    batches refer to this one, so it may only be written as it is."""
-    start = _last_key(warehouse, table, key, batch_id, loaded)
-    rows = build(start)
-    own = warehouse.gold(table).where(F.col(BATCH) == batch_id)
-    if fixed and _differ(own.select(*rows.columns), rows):
-        raise ValueError(
-            f"{table}: the rows or keys of batch {batch_id} changed, and later batches refer to "
-            "them; load it and all later batches with reload=True"
-        )
-    warehouse.write(rows, "gold", table, batch_id)
-    last = F.coalesce(F.max(key), F.lit(start)).cast("long").alias("last_key")
-    warehouse.write(warehouse.read_batch("gold", table, batch_id).agg(last), "keys", table, batch_id)
-
-
-def _last_key(warehouse: Warehouse, table: str, key: str, batch_id: int, loaded: list[int]) -> int:
-    """Largest key of the earlier batches, from the one row that each of them wrote beside its
-    table; the table itself is only searched when a row is missing.
-
-    The batch's own row from a former load is taken back first: until it is written again,
-    whatever happens, the table counts.
-    """
-    earlier, known = F.col(BATCH) < batch_id, F.col("last_key").isNotNull()
-    told = warehouse.read("keys", table, LAST_KEY)
-    last, n, own = told.agg(
-        F.max(F.when(earlier, F.col("last_key"))), F.count_if(earlier & known), F.count_if(F.col(BATCH) == batch_id)
-    ).first()
-    if own:
-        warehouse.write(warehouse.spark.createDataFrame([], LAST_KEY), "keys", table, batch_id)
-    if n < sum(b < batch_id for b in loaded):
-        return keys.max_key(_before(warehouse, table, batch_id), key)
-    return last or 0
+    batches refer to this one, so it may only be published as it is."""
+    start = load.last_key(table, batch_id)
+    rows = load.write(build(start), "gold", table, batch_id)
+    if fixed:
+        published = load.published().gold(table, lambda b: b == batch_id)
+        if _differ(published.select(*rows.columns), rows):
+            raise ValueError(
+                f"{table}: the rows or keys of batch {batch_id} changed, and later batches refer to "
+                "them; load it and all later batches with reload=True"
+            )
+    load.note_last_key(table, batch_id, rows.agg(F.max(key)).first()[0] or start)
 
 
 def transform(
-    warehouse: Warehouse,
+    load: Load,
     silver: Mapping[str, DataFrame],
     batch_id: int,
     same_batch_only: bool = False,
@@ -121,9 +113,8 @@ def transform(
     Keys and due dates are looked up in all dimension rows up to this batch, or in this
     batch's rows only with ``same_batch_only``.
     """
-    loaded = warehouse.loaded()
-    fixed = not reload and any(b > batch_id for b in loaded)
-    extend = partial(_extend, warehouse, batch_id, loaded, fixed)
+    fixed = not reload and any(b > batch_id for b in load.loaded())
+    extend = partial(_extend, load, batch_id, fixed)
     together(
         partial(extend, "dim_customer", "Customer_SK",
                 lambda start: model.dim_customer(silver["customers"], [ORDINAL], start)),
@@ -132,30 +123,28 @@ def transform(
         partial(extend, "dim_address", "Address_SK",
                 lambda start: model.dim_address(silver["address"], [ORDINAL], start)),
     )
-    known = {t: _up_to(warehouse, t, batch_id) for t in ("dim_customer", "dim_policy", "dim_address")}
-    if same_batch_only:
-        known = {t: df.where(F.col(BATCH) == batch_id) for t, df in known.items()}
 
     def arrived(table: str, key: str) -> DataFrame:
         # Only the keys that the batch pays for are looked up; a written list has a known size.
+        known = load.gold(table, lambda b: b == batch_id if same_batch_only else b <= batch_id)
         ids = silver["transactions"].select(key).where(F.col(key).isNotNull()).distinct()
-        return keep_keys(known[table], as_lookup(ids, "arrived-keys"), key)
+        return keep_keys(known, as_lookup(ids, "arrived-keys"), key)
 
     def fact(start: int) -> DataFrame:
-        numbered = keys.number_in_file_order(silver["transactions"], "Transaction_SK", start)
+        numbered = keys.number_as_written(silver["transactions"], "Transaction_SK", start)
         rows = model.fact_rows(
             numbered, arrived("dim_customer", "Customer_ID"), arrived("dim_policy", "Policy_Id"),
             arrived("dim_address", "Customer_ID"),
         )
         return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
 
-    policies = policy_changes(warehouse, silver["policies"], batch_id)
+    def changes(table: str, find: Callable[[], DataFrame]) -> None:
+        load.write(find(), "gold", table, batch_id)
+
     together(
         partial(extend, "fact_transactions", "Transaction_SK", fact),
-        partial(warehouse.write, policies, "gold", "policy_changes", batch_id),
-        lambda: warehouse.write(
-            marital_changes(warehouse, silver["customers"], batch_id), "gold", "marital_changes", batch_id
-        ),
+        partial(changes, "policy_changes", lambda: policy_changes(load, silver["policies"], batch_id)),
+        partial(changes, "marital_changes", lambda: marital_changes(load, silver["customers"], batch_id)),
     )
 
 
@@ -165,11 +154,12 @@ def marital_changes(warehouse: Warehouse, customers: DataFrame, batch_id: int) -
     The first change of a customer brings all versions so far, later batches the new ones only.
     """
     arrived = customers.select("Customer_ID")
-    versions = keep_keys(_up_to(warehouse, "dim_customer", batch_id), arrived, "Customer_ID")
+    known = warehouse.gold("dim_customer", lambda b: b <= batch_id)
+    versions = keep_keys(known, arrived, "Customer_ID")
     history = conform(
         multi_value_history(versions, "Customer_ID", "Marital_Status"), GOLD["marital_changes"]
     )
-    told = keep_keys(_before(warehouse, "marital_changes", batch_id), arrived, "Customer_ID")
+    told = keep_keys(warehouse.gold("marital_changes", lambda b: b < batch_id), arrived, "Customer_ID")
     return history.exceptAll(told.select(*history.columns))
 
 
@@ -177,7 +167,7 @@ def policy_changes(warehouse: Warehouse, policies: DataFrame, batch_id: int) ->
     """Policies of a batch whose type differs from their latest earlier version."""
     attributes = ["Policy_Type_Id", "Policy_Type"]
     arrived = policies.select("Policy_Id")
-    earlier = keep_keys(_before(warehouse, "dim_policy", batch_id), arrived, "Policy_Id")
+    earlier = keep_keys(warehouse.gold("dim_policy", lambda b: b < batch_id), arrived, "Policy_Id")
     latest = earlier.groupBy("Policy_Id").agg(
         *[F.max_by(a, "Policy_SK").alias(a) for a in attributes]
     )
@@ -185,26 +175,32 @@ def policy_changes(warehouse: Warehouse, policies: DataFrame, batch_id: int) ->
     return conform(changed, GOLD["policy_changes"])
 
 
-def load_batch(
-    warehouse: Warehouse,
+def add_batch(
+    load: Load,
     raw: Mapping[str, DataFrame],
     batch_id: int,
     strict: bool = False,
     same_batch_only: bool = False,
     reload: bool = False,
 ) -> bool:
-    """Load one batch; False when all its tables are empty and it was skipped.
+    """Add one batch to a load that is not yet published; False when all its tables are empty."""
+    if all(df.isEmpty() for df in raw.values()):
+        return False
+    with staging(load.spark):
+        bronze = land(load, raw, batch_id)
+        silver = clean(load, bronze, batch_id, strict)
+        transform(load, silver, batch_id, same_batch_only, reload)
+    return True
+
+
+def load_batch(warehouse: Warehouse, raw: Mapping[str, DataFrame], batch_id: int, **options: bool) -> bool:
+    """Load and publish one batch; False when all its tables are empty and it was skipped.
 
     A batch may be loaded again at any time. If its content changed, that and every later
     batch has to be loaded with ``reload``, because their keys move or what they looked up does.
     """
-    if all(df.isEmpty() for df in raw.values()):
-        return False
-    with staging(warehouse.spark):
-        bronze = land(warehouse, raw, batch_id)
-        silver = clean(warehouse, bronze, batch_id, strict)
-        transform(warehouse, silver, batch_id, same_batch_only, reload)
-    return True
+    with warehouse.begin() as load:
+        return add_batch(load, raw, batch_id, **options)
 
 
 def load_batches(
@@ -213,12 +209,20 @@ def load_batches(
     warehouse_root: str,
     batch_ids: Iterable[int],
     multiline: bool = True,
+    reload: bool = False,
     **options: bool,
 ) -> list[int]:
-    """Load batches of raw CSV files in order; returns the ids that held data."""
-    warehouse = Warehouse(spark, warehouse_root)
-    return [
-        batch_id
-        for batch_id in sorted(batch_ids)
-        if load_batch(warehouse, read_batch(spark, source_root, batch_id, multiline=multiline), batch_id, **options)
-    ]
+    """Load batches of raw CSV files in order; returns the ids that held data.
+
+    Each batch is published by itself. With ``reload`` all of them are published at once, as the
+    later ones do not fit the earlier ones until they are loaded again.
+    """
+    warehouse, ids = Warehouse(spark, warehouse_root), sorted(batch_ids)
+
+    def raw(batch_id: int) -> dict[str, DataFrame]:
+        return read_batch(spark, source_root, batch_id, multiline=multiline)
+
+    if not reload:
+        return [b for b in ids if load_batch(warehouse, raw(b), b, **options)]
+    with warehouse.begin() as load:
+        return [b for b in ids if add_batch(load, raw(b), b, reload=True, **options)]

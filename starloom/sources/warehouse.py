@@ -1,70 +1,222 @@
-"""The warehouse: Parquet tables partitioned by batch, one folder per table."""
+"""The warehouse: Parquet tables in one folder per batch and load, published as whole versions."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.functions import numbers
 from starloom.functions.dates import parse_date
 from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
 from starloom.operators.keys import ORDINAL, POSITION, with_position
-from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, conform
+from starloom.operators.quality import RAW, REJECTED_BY, rules_for
+from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, SILVER, conform
 from starloom.session import stage, together
+from starloom.sources import versions
 from starloom.sources.raw import empty
+from starloom.sources.versions import Entry, Version
 
-BATCH = "batch_id"
+BATCH, LOAD = "batch_id", "load"
+_STAMP = "%Y%m%dT%H%M%S"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables below one root folder. ``layer`` is bronze, silver or gold."""
+    """Tables below one root folder. ``layer`` is bronze, silver or gold.
+
+    What is read is the newest published version, or version ``number``. Nothing that is
+    published is ever written over: a load (:meth:`begin`) writes into folders of its own and is
+    published as a whole, so whatever becomes of it, readers see all of it or nothing.
+    """
 
     spark: SparkSession
     root: str
+    number: int | None = None
+
+    @property
+    def _files(self) -> versions.Files:
+        return versions.Files(self.spark)
+
+    @property
+    def _root(self) -> str:
+        return self.root.rstrip("/")
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+        return f"{self._root}/{layer}/{table}"
 
-    def write(self, df: DataFrame, layer: str, table: str, batch_id: int) -> None:
-        """Replace one batch of a table; loading a batch again leaves no second copy.
+    def versions(self) -> list[int]:
+        """Numbers of the versions that can be read, oldest first."""
+        return versions.published(self._files, self._root)
 
-        Only the batch's own folder is written, so the cost follows the increment and
-        not the warehouse. An empty result also replaces an earlier one.
-        """
-        df.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{BATCH}={batch_id}")
+    def version(self) -> Version:
+        """The version that this warehouse reads."""
+        number = max(self.versions(), default=0) if self.number is None else self.number
+        return versions.read_version(self._files, self._root, number)
 
-    def read(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
-        """A table with its declared schema plus ``batch_id``; no rows if never written."""
+    def at(self, number: int) -> Warehouse:
+        """The warehouse as published under ``number``, whatever is published later."""
+        return Warehouse(self.spark, self.root, number)
+
+    def _folder(self, layer: str, table: str, batch_id: int, load: str) -> str:
+        return f"{self.path(layer, table)}/{BATCH}={batch_id}/{LOAD}={load}"
+
+    def read(
+        self, layer: str, table: str, schema: T.StructType, batches: Callable[[int], bool] | None = None
+    ) -> DataFrame:
+        """A table with its declared schema plus ``batch_id``, of all batches or those that
+        ``batches`` takes (the folders of others are not opened); no rows if never written."""
         full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        try:
-            return self.spark.read.schema(full).parquet(self.path(layer, table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        found = [
+            self._folder(layer, table, b, e.load) for b, e in sorted(self.version().batches.items())
+            if f"{layer}/{table}" in e.tables and (batches is None or batches(b))
+        ]
+        if not found:
             return empty(self.spark, full)
+        return self.spark.read.schema(full).option("basePath", self.path(layer, table)).parquet(*found).select(*full.names)
 
     def read_batch(self, layer: str, table: str, batch_id: int) -> DataFrame:
         """One batch exactly as written, with helper columns."""
-        return self.spark.read.parquet(f"{self.path(layer, table)}/{BATCH}={batch_id}")
+        return self.spark.read.parquet(self._folder(layer, table, batch_id, self.version().batches[batch_id].load))
 
     def loaded(self) -> list[int]:
-        """Batches that the warehouse holds, from the report every batch writes; one number each."""
-        rows = self.gold("validation_report").select(BATCH).distinct().collect()
-        return sorted(r[BATCH] for r in rows)
+        """Batches that the warehouse holds."""
+        return sorted(self.version().batches)
 
-    def gold(self, table: str) -> DataFrame:
-        return self.read("gold", table, GOLD[table])
+    def last_key(self, table: str, before: int) -> int:
+        """Largest key of the batches before one, from the number that each load notes beside its
+        tables; the table itself is only searched when one is missing."""
+        earlier = [e.last_keys.get(table) for b, e in self.version().batches.items() if b < before]
+        if any(k is None for k in earlier):
+            found = self.gold(table, lambda b: b < before).agg(F.max(PRIMARY_KEYS[table])).first()[0]
+            return found or 0
+        return max(earlier, default=0)
+
+    def gold(self, table: str, batches: Callable[[int], bool] | None = None) -> DataFrame:
+        return self.read("gold", table, GOLD[table], batches)
+
+    def silver(self, table: str) -> DataFrame:
+        """The standardized rows that passed all rules, in declared types (amounts that a rule reads
+        are stored unrounded)."""
+        exact = {r.column for r in rules_for(table) if r.coerce is numbers.to_exact}
+        kept = [T.StructField(f.name, numbers.EXACT if f.name in exact else f.dataType) for f in SILVER[table].fields]
+        rows = self.read("silver", table, T.StructType([*kept, T.StructField(REJECTED_BY, T.IntegerType())]))
+        return rows.where(F.col(REJECTED_BY) == 0).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields], BATCH
+        )
 
     def tables(self) -> dict[str, DataFrame]:
-        """The star schema without partition columns."""
-        return {t: self.gold(t).drop(BATCH) for t in LOAD_ORDER}
+        """The star schema of one version, without partition columns."""
+        pinned = self.at(self.version().number)
+        return {t: pinned.gold(t).drop(BATCH) for t in LOAD_ORDER}
 
     def inventory(self) -> DataFrame:
-        return aggregates.inventory({t: self.gold(t).drop(BATCH) for t in GOLD})
+        pinned = self.at(self.version().number)
+        return aggregates.inventory({t: pinned.gold(t).drop(BATCH) for t in GOLD})
+
+    def rejected(self, table: str, strict: bool = False) -> DataFrame:
+        """Rows that the rules dropped: batch_id, rule_no, rule, column, raw (their texts as JSON).
+        Good rows stand in a folder of their own and are not opened."""
+        kept = T.StructType([T.StructField(RAW, T.StringType()), T.StructField(REJECTED_BY, T.IntegerType())])
+        rows = self.read("silver", table, kept).where(F.col(REJECTED_BY) > 0)
+        names = ", ".join(
+            f"struct({i} AS {REJECTED_BY}, '{r.name}' AS rule, '{r.column}' AS column)"
+            for i, r in enumerate(rules_for(table, strict), start=1)
+        )
+        rules = F.expr(f"filter(array({names}), r -> r.{REJECTED_BY} = {REJECTED_BY})[0]")
+        told = rows.withColumn("_rule", rules)
+        return told.select(BATCH, F.col(REJECTED_BY).alias("rule_no"), "_rule.rule", "_rule.column", RAW)
+
+    @contextmanager
+    def begin(self) -> Iterator[Load]:
+        """A load: published when the block ends, taken back when it fails."""
+        stamp = dt.datetime.now(dt.timezone.utc).strftime(_STAMP)
+        load = Load(self.spark, self.root, base=self.version(), load_id=f"{stamp}-{uuid.uuid4().hex[:12]}")
+        try:
+            yield load
+            load.publish()
+        except BaseException:
+            load.discard()
+            raise
+
+    def expire(self, keep: int = 10, abandoned_hours: float = 48) -> list[str]:
+        """Forget all but the newest ``keep`` versions, then delete the folders that no kept version
+        names and that are older than ``abandoned_hours`` (left by killed loads or named by the
+        forgotten versions only). Returns the deleted folders. Readers of forgotten versions fail."""
+        files, kept = self._files, self.versions()
+        for number in kept[: max(0, len(kept) - max(1, keep))]:
+            versions.forget(files, self._root, number)
+        named = {
+            (b, e.load)
+            for number in self.versions()
+            for b, e in versions.read_version(files, self._root, number).batches.items()
+        }
+        limit = (dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=abandoned_hours)).strftime(_STAMP)
+        gone = []
+        for folder in files.find(f"{self._root}/*/*/{BATCH}=*/{LOAD}=*"):
+            batch, load = (part.partition("=")[2] for part in folder.rsplit("/", 2)[1:])
+            if (int(batch), load) not in named and load.partition("-")[0] <= limit:
+                files.delete(folder)
+                gone.append(folder)
+        return gone
+
+
+@dataclass(frozen=True)
+class Load(Warehouse):
+    """Writes aside; reads the version it began with, its own batches in place of the published ones.
+
+    A batch that a load writes replaces the published batch as a whole.
+    """
+
+    base: Version = field(default_factory=Version)
+    load_id: str = ""
+    own: dict[int, Entry] = field(default_factory=dict)
+
+    def version(self) -> Version:
+        return Version(self.base.number, {**self.base.batches, **self.own})
+
+    def at(self, number: int) -> Warehouse:
+        return self if number == self.base.number else super().at(number)
+
+    def published(self) -> Warehouse:
+        """The warehouse without this load."""
+        return Warehouse(self.spark, self.root, self.base.number)
+
+    def _note(self, batch_id: int, change: Callable[[Entry], Entry]) -> None:
+        self.own[batch_id] = change(self.own.get(batch_id, Entry(self.load_id)))
+
+    def write(
+        self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write one batch of a table aside; returns what was written, all columns."""
+        folder, name = self._folder(layer, table, batch_id, self.load_id), f"{layer}/{table}"
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        self._note(batch_id, lambda e: replace(e, tables=tuple({*e.tables, name})))
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def note_last_key(self, table: str, batch_id: int, key: int) -> None:
+        self._note(batch_id, lambda e: replace(e, last_keys={**e.last_keys, table: key}))
+
+    def publish(self) -> Version:
+        """Make all batches of this load the current ones, by one rename."""
+        if not self.own:
+            return self.base
+        version = Version(self.base.number + 1, {**self.base.batches, **self.own})
+        versions.publish(self._files, self._root, version)
+        return version
+
+    def discard(self) -> None:
+        """Delete what an unpublished load wrote."""
+        for batch_id, entry in self.own.items():
+            for name in entry.tables:
+                self._files.delete(self._folder(*name.split("/"), batch_id, self.load_id))
 
 
 def retype_dates(df: DataFrame, schema: T.StructType) -> DataFrame:

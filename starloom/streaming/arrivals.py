@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.plans.batches import load_batch
+from starloom.plans.batches import add_batch
 from starloom.schemas import TABLES
 from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import Warehouse
@@ -47,10 +47,11 @@ def load_arrivals(
         arrived = {row["batch_id"] for row in files.distinct().collect()}
         if not arrived:
             return
-        after = [b for b in warehouse.loaded() if b > min(arrived)]
-        for batch_id in sorted(arrived.union(after)):
-            raw = read_batch(spark, source_root, batch_id, multiline=multiline)
-            load_batch(warehouse, raw, batch_id, **{**options, "reload": True})
+        with warehouse.begin() as load_all:  # one version for all of them: a lost trigger leaves nothing
+            after = [b for b in load_all.loaded() if b > min(arrived)]
+            for batch_id in sorted(arrived.union(after)):
+                raw = read_batch(spark, source_root, batch_id, multiline=multiline)
+                add_batch(load_all, raw, batch_id, **{**options, "reload": True})
 
     query = (
         arrivals.writeStream.foreachBatch(load)
