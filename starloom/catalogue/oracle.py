@@ -611,6 +611,13 @@ SELECT line_no AS Customer_SK, CASE WHEN line_no % 2 = 0 THEN 'FIRST' ELSE Regio
 FROM ({clean('customers')})"""
 ORACLE["q_csv_source"] = f"SELECT * REPLACE (CAST(line_no AS VARCHAR) AS line_no) FROM ({clean('customers')})"
 
+_KNOWN = _list(NULL_TOKENS)
+ORACLE["q_csv_breaks"] = f"""
+SELECT CAST(line_no AS VARCHAR) AS line_no, CASE WHEN Customer_ID NOT IN ({_KNOWN}) THEN Customer_ID END AS Customer_ID,
+       Customer_Last_Name || chr(10) || '"x",' || chr(10) || ' y' AS Customer_Last_Name,
+       CASE WHEN Region NOT IN ({_KNOWN}) THEN Region END AS Region
+FROM ({sql(RAW['customers'])}) raw"""
+
 # ---- combining and loading ----------------------------------------------------------
 
 ORACLE["q_union_align"] = """

@@ -21,7 +21,7 @@ from starloom.operators.columns import load_values_all, null_tokens_all
 from starloom.plans import batches, business, overview, views
 from starloom.schemas import BRONZE, SILVER, TABLES
 from starloom.session import staging_path
-from starloom.sources import extracts, raw as raw_files, warehouse as wh
+from starloom.sources import extracts, raw as raw_files, split_csv, warehouse as wh
 from starloom.streaming.arrivals import load_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,6 +457,18 @@ def csv_source(spark, sf):
     return raw_files.read_raw_table(spark, path, "customers").drop(raw_files.ORDINAL)
 
 
+@query
+def csv_breaks(spark, sf):
+    """Quoted line breaks, quotes and commas in every row, read line by line and put together."""
+    name = F.concat("Customer_Last_Name", F.lit('\n"x",\n y'))
+    rows = raw(spark, sf, "customers").select(
+        F.col("line_no").cast("string").alias("line_no"), "Customer_ID", name.alias("Customer_Last_Name"), "Region"
+    )
+    path = staging_path(spark, "breaks")
+    extracts.write_csv(rows, path)
+    return null_tokens_all(split_csv.read_records(spark, path, whole_below=0).drop(raw_files.ORDINAL))
+
+
 # ---- combining and loading ----------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starloom.operators.columns import null_tokens_all, select_present
 from starloom.operators.keys import ORDINAL
 from starloom.schemas import BRONZE, TABLES
+from starloom.sources.split_csv import read_records
 
 _ORDINAL_TYPE = T.StructType([
     T.StructField("file", T.StringType()),
@@ -27,9 +28,12 @@ def read_csv(
 
     Columns follow the header names. ``ordinal`` adds the place of a row in its file
     (path, split start, row), which orders rows the same way however the file is split.
+    ``multiline``: quoted texts may hold line breaks; large files are split all the same.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    df = reader.option("enforceSchema", False).option("multiLine", multiline).csv(path)
+    if multiline:
+        df = read_records(spark, path)
+        return null_tokens_all(df if ordinal else df.drop(ORDINAL))
+    df = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
     columns = df.columns
     if not ordinal:
         return null_tokens_all(df)
@@ -41,9 +45,9 @@ def read_csv(
     return null_tokens_all(df.select(*columns, place.alias(ORDINAL)))
 
 
-def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_columns(spark: SparkSession, path: str, columns: list[str], multiline: bool = True) -> DataFrame:
     """The listed columns of a raw CSV file; the others are not parsed."""
-    return select_present(read_csv(spark, path), columns)
+    return select_present(read_csv(spark, path, multiline=multiline), columns)
 
 
 def _not_found(error: AnalysisException) -> bool:
@@ -53,8 +57,8 @@ def _not_found(error: AnalysisException) -> bool:
 def read_raw_table(spark: SparkSession, path: str, table: str, multiline: bool = True) -> DataFrame:
     """One raw table with its ordinal; an absent file gives an empty table with the declared columns.
 
-    Quoted texts may hold line breaks, so a file is read by one task. Declare ``multiline=False``
-    for sources without such breaks: their files are split.
+    Quoted texts may hold line breaks (see :mod:`starloom.sources.split_csv`). Declare
+    ``multiline=False`` for sources without such breaks: their lines are not searched for quotes.
     """
     try:
         return read_csv(spark, path, ordinal=True, multiline=multiline)
@@ -79,7 +83,7 @@ def read_batch(
 def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored CSV result with its declared schema, or no rows if it was never written."""
     try:
-        return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+        return read_records(spark, path, schema).drop(ORDINAL)
     except AnalysisException as error:
         if not _not_found(error):
             raise

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -58,6 +58,14 @@ class Files:
         where, files = self._at(pattern)
         return [f.getPath().toString() for f in files.globStatus(where) or []]
 
+    def larger_than(self, paths: Iterable[str], size: int) -> list[str]:
+        found = []
+        for path in paths:
+            where, files = self._at(path)
+            if files.getFileStatus(where).getLen() > size:
+                found.append(path)
+        return found
+
     def read(self, path: str) -> str:
         where, files = self._at(path)
         stream = files.open(where)
