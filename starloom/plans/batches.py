@@ -24,6 +24,8 @@ from starloom.operators.quality import RAW, REJECTED_BY, quarantine_all
 from starloom.operators.standardize import standardize
 from starloom.schemas import DEFAULTS, GOLD, conform
 from starloom.session import staging, together
+from starloom.sources import key_index
+from starloom.sources.key_index import CUSTOMER_KEYS, POLICY_KEYS, KeyIndex
 from starloom.sources.raw import read_batch
 from starloom.sources.warehouse import Load, Warehouse
 
@@ -110,8 +112,9 @@ def transform(
 ) -> None:
     """Extend dimensions, fact and change tables by one batch.
 
-    Keys and due dates are looked up in all dimension rows up to this batch, or in this
-    batch's rows only with ``same_batch_only``.
+    Keys, due dates and former types are looked up in the index of current keys after this batch
+    (in all dimension rows where batches were loaded without one), or in this batch's rows only
+    with ``same_batch_only``.
     """
     fixed = not reload and any(b > batch_id for b in load.loaded())
     extend = partial(_extend, load, batch_id, fixed)
@@ -124,18 +127,28 @@ def transform(
                 lambda start: model.dim_address(silver["address"], [ORDINAL], start)),
     )
 
-    def arrived(table: str, key: str) -> DataFrame:
+    own = partial(load.gold, batches=lambda b: b == batch_id)
+    customers = own("dim_customer").select("Customer_ID", "Customer_SK").unionByName(
+        own("dim_address").select("Customer_ID", "Address_SK"), allowMissingColumns=True
+    )
+    together(
+        partial(key_index.extend, load, POLICY_KEYS, own("dim_policy"), batch_id),
+        partial(key_index.extend, load, CUSTOMER_KEYS, customers, batch_id),
+    )
+
+    def arrived(key: str, index: KeyIndex, *tables: str) -> list[DataFrame]:
         # Only the keys that the batch pays for are looked up; a written list has a known size.
-        known = load.gold(table, lambda b: b == batch_id if same_batch_only else b <= batch_id)
-        ids = silver["transactions"].select(key).where(F.col(key).isNotNull()).distinct()
-        return keep_keys(known, as_lookup(ids, "arrived-keys"), key)
+        ids = as_lookup(silver["transactions"].select(key).where(F.col(key).isNotNull()).distinct(), "arrived-keys")
+        current = None if same_batch_only else _current(load, index, ids, lambda b: b <= batch_id)
+        if current is not None:
+            return [current] * len(tables)
+        known = [load.gold(t, lambda b: b == batch_id if same_batch_only else b <= batch_id) for t in tables]
+        return [keep_keys(df, ids, key) for df in known]
 
     def fact(start: int) -> DataFrame:
         numbered = keys.number_as_written(silver["transactions"], "Transaction_SK", start)
-        rows = model.fact_rows(
-            numbered, arrived("dim_customer", "Customer_ID"), arrived("dim_policy", "Policy_Id"),
-            arrived("dim_address", "Customer_ID"),
-        )
+        by_customer = arrived("Customer_ID", CUSTOMER_KEYS, "dim_customer", "dim_address")
+        rows = model.fact_rows(numbered, by_customer[0], *arrived("Policy_Id", POLICY_KEYS, "dim_policy"), by_customer[1])
         return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
 
     def changes(table: str, find: Callable[[], DataFrame]) -> None:
@@ -148,29 +161,36 @@ def transform(
     )
 
 
-def marital_changes(warehouse: Warehouse, customers: DataFrame, batch_id: int) -> DataFrame:
+def _current(load: Load, index: KeyIndex, ids: DataFrame, batches: Callable[[int], bool]) -> DataFrame | None:
+    """One row for each of the keys that the index holds after some batches; None without an index."""
+    found = key_index.state(load, index, key_index.buckets_of(ids, index.key), batches)
+    return None if found is None else keep_keys(found, ids, index.key)
+
+
+def marital_changes(load: Load, customers: DataFrame, batch_id: int) -> DataFrame:
     """Versions of a batch's customers with several marital statuses that no earlier batch has told.
 
     The first change of a customer brings all versions so far, later batches the new ones only.
     """
     arrived = customers.select("Customer_ID")
-    known = warehouse.gold("dim_customer", lambda b: b <= batch_id)
+    known = load.gold("dim_customer", lambda b: b <= batch_id)
     versions = keep_keys(known, arrived, "Customer_ID")
     history = conform(
         multi_value_history(versions, "Customer_ID", "Marital_Status"), GOLD["marital_changes"]
     )
-    told = keep_keys(warehouse.gold("marital_changes", lambda b: b < batch_id), arrived, "Customer_ID")
+    told = keep_keys(load.gold("marital_changes", lambda b: b < batch_id), arrived, "Customer_ID")
     return history.exceptAll(told.select(*history.columns))
 
 
-def policy_changes(warehouse: Warehouse, policies: DataFrame, batch_id: int) -> DataFrame:
+def policy_changes(load: Load, policies: DataFrame, batch_id: int) -> DataFrame:
     """Policies of a batch whose type differs from their latest earlier version."""
     attributes = ["Policy_Type_Id", "Policy_Type"]
     arrived = policies.select("Policy_Id")
-    earlier = keep_keys(warehouse.gold("dim_policy", lambda b: b < batch_id), arrived, "Policy_Id")
-    latest = earlier.groupBy("Policy_Id").agg(
-        *[F.max_by(a, "Policy_SK").alias(a) for a in attributes]
-    )
+    latest = _current(load, POLICY_KEYS, arrived, lambda b: b < batch_id)
+    if latest is None:
+        earlier = keep_keys(load.gold("dim_policy", lambda b: b < batch_id), arrived, "Policy_Id")
+        latest = earlier.groupBy("Policy_Id").agg(*[F.max_by(a, "Policy_SK").alias(a) for a in attributes])
+    latest = latest.select("Policy_Id", *attributes)
     changed = snapshot_changes(latest, policies, "Policy_Id", attributes)
     return conform(changed, GOLD["policy_changes"])
 

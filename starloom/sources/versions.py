@@ -28,6 +28,7 @@ class Entry:
     load: str
     tables: tuple[str, ...] = ()
     last_keys: Mapping[str, int] = field(default_factory=dict)
+    buckets: Mapping[str, tuple[int, ...]] = field(default_factory=dict)  # of an index, that the load wrote
 
 
 @dataclass(frozen=True)
@@ -115,7 +116,10 @@ def read_version(files: Files, root: str, number: int) -> Version:
     if number == 0:
         return Version()
     told = json.loads(files.read(_path(root, number)))
-    entries = {int(b): Entry(e["load"], tuple(e["tables"]), e["last_keys"]) for b, e in told["batches"].items()}
+    entries = {
+        int(b): Entry(e["load"], tuple(e["tables"]), e["last_keys"], {t: tuple(n) for t, n in e["buckets"].items()})
+        for b, e in told["batches"].items()
+    }
     return Version(number, entries)
 
 
@@ -123,7 +127,7 @@ def publish(files: Files, root: str, version: Version) -> None:
     told = {
         "version": version.number,
         "batches": {
-            str(b): {"load": e.load, "tables": sorted(e.tables), "last_keys": dict(e.last_keys)}
+            str(b): {"load": e.load, "tables": sorted(e.tables), "last_keys": dict(e.last_keys), "buckets": dict(e.buckets)}
             for b, e in sorted(version.batches.items())
         },
     }

@@ -65,7 +65,7 @@ class Warehouse:
         """The warehouse as published under ``number``, whatever is published later."""
         return Warehouse(self.spark, self.root, number)
 
-    def _folder(self, layer: str, table: str, batch_id: int, load: str) -> str:
+    def folder(self, layer: str, table: str, batch_id: int, load: str) -> str:
         return f"{self.path(layer, table)}/{BATCH}={batch_id}/{LOAD}={load}"
 
     def read(
@@ -75,7 +75,7 @@ class Warehouse:
         ``batches`` takes (the folders of others are not opened); no rows if never written."""
         full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
         found = [
-            self._folder(layer, table, b, e.load) for b, e in sorted(self.version().batches.items())
+            self.folder(layer, table, b, e.load) for b, e in sorted(self.version().batches.items())
             if f"{layer}/{table}" in e.tables and (batches is None or batches(b))
         ]
         if not found:
@@ -84,7 +84,7 @@ class Warehouse:
 
     def read_batch(self, layer: str, table: str, batch_id: int) -> DataFrame:
         """One batch exactly as written, with helper columns."""
-        return self.spark.read.parquet(self._folder(layer, table, batch_id, self.version().batches[batch_id].load))
+        return self.spark.read.parquet(self.folder(layer, table, batch_id, self.version().batches[batch_id].load))
 
     def loaded(self) -> list[int]:
         """Batches that the warehouse holds."""
@@ -196,7 +196,7 @@ class Load(Warehouse):
         self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = ()
     ) -> DataFrame:
         """Write one batch of a table aside; returns what was written, all columns."""
-        folder, name = self._folder(layer, table, batch_id, self.load_id), f"{layer}/{table}"
+        folder, name = self.folder(layer, table, batch_id, self.load_id), f"{layer}/{table}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
         self._note(batch_id, lambda e: replace(e, tables=tuple({*e.tables, name})))
         return self.spark.read.schema(df.schema).parquet(folder)
@@ -204,6 +204,9 @@ class Load(Warehouse):
     def note_last_key(self, table: str, batch_id: int, key: int) -> None:
         self._note(batch_id, lambda e: replace(e, last_keys={**e.last_keys, table: key}))
 
+    def note_buckets(self, index: str, batch_id: int, buckets: Sequence[int]) -> None:
+        self._note(batch_id, lambda e: replace(e, buckets={**e.buckets, index: tuple(buckets)}))
+
     def publish(self) -> Version:
         """Make all batches of this load the current ones, by one rename."""
         if not self.own:
@@ -216,7 +219,7 @@ class Load(Warehouse):
         """Delete what an unpublished load wrote."""
         for batch_id, entry in self.own.items():
             for name in entry.tables:
-                self._files.delete(self._folder(*name.split("/"), batch_id, self.load_id))
+                self._files.delete(self.folder(*name.split("/"), batch_id, self.load_id))
 
 
 def retype_dates(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -17,7 +17,7 @@ from starloom.plans import batches as plan
 from starloom.plans.batches import load_batches
 from starloom.schemas import BRONZE, FOREIGN_KEYS, GOLD, PRIMARY_KEYS, SILVER
 from starloom.session import staging_root
-from starloom.sources import extracts
+from starloom.sources import extracts, key_index
 from starloom.sources.raw import read_batch, read_columns, read_csv, read_csv_or_empty, read_raw_table
 from starloom.sources.versions import ConcurrentLoad
 from starloom.sources.warehouse import Load, Warehouse, insert_if_absent, load_warehouse
@@ -379,9 +379,9 @@ def test_a_load_that_is_lost_after_any_write_changes_nothing(spark, tmp_path, mo
     # The same load again writes every table of a batch once; lose it after each of them.
     monkeypatch.setattr(Load, "write", told)
     load_batches(spark, source, target, [0])
-    assert len(set(tables)) == len(tables) == 14 and everything(warehouse) == before
+    assert len(set(tables)) == len(tables) == 16 and everything(warehouse) == before
     for lost in [("bronze", "customers"), ("silver", "transactions"), ("gold", "validation_report"),
-                 ("gold", "dim_customer"), ("gold", "fact_transactions"), ("gold", "marital_changes")]:
+                 ("index", "customer_keys"), ("gold", "fact_transactions"), ("gold", "marital_changes")]:
         def fails(self, df, layer, table, *more, lost=lost):
             out = write(self, df, layer, table, *more)
             if (layer, table) == lost:
@@ -446,6 +446,29 @@ def test_rejected_rows_are_kept_under_their_rule(spark, loaded):
     assert json.loads(warehouse.rejected("transactions").first()["raw"])["Policy_Id"] == "x"
 
 
+def test_a_late_batch_opens_no_more_files_after_many_batches(spark, tmp_path, monkeypatch):
+    days = {b: {"customers": [customer(1, f"20{10 + b}-01-01"), customer(b + 50)], "policies": [policy(1, due=f"2012-0{b + 1}-01"), policy(b + 50)],
+                "address": [address(b + 50)], "transactions": [payment(1, 1, "2012-03-05"), payment(52, 51, "2012-03-05")]} for b in range(5)}
+    days[5] = {"transactions": [payment(1, 1, "2012-03-05"), payment(52, 51, "2012-12-05"), payment(54, 54)]}
+    source, opened, state = write_sources(tmp_path_of(tmp_path, "in"), days), {}, key_index.state
+
+    def noted(warehouse, index, buckets, batches):
+        found = state(warehouse, index, buckets, batches)
+        opened.setdefault(index.table, []).append((len(buckets), len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(key_index, "state", noted)
+    load_batches(spark, source, str(tmp_path / "w"), [0, 1, 2, 3, 4])
+    opened.clear()
+    load_batches(spark, source, str(tmp_path / "w"), [5])
+    assert {t: max(n) for t, n in opened.items()} == {"policy_keys": (3, 3), "customer_keys": (3, 3)}
+    # Without an index the dimensions of all batches are searched, with the same result.
+    monkeypatch.setattr(key_index, "state", lambda *a: None)
+    load_batches(spark, source, str(tmp_path / "scan"), range(6))
+    assert not list((tmp_path / "scan").glob("index/*"))
+    assert content(Warehouse(spark, str(tmp_path / "w"))) == content(Warehouse(spark, str(tmp_path / "scan")))
+
+
 def test_transactions_are_parsed_once(spark, tmp_path, monkeypatch):
     source, target = write_sources(tmp_path_of(tmp_path, "in")), str(tmp_path / "w")
     scans, write = [], Load.write
