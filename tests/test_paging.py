@@ -1,0 +1,55 @@
+"""Pages of an ordered table against a sorted list."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators.paging import page, page_after, page_token
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    chance = random.Random(4)
+    rows = [(i, chance.choice([None, 1.5, float("nan"), -2.0, chance.random()]), chance.choice([None, "", "a", "b" * chance.randrange(4)])) for i in range(700)]
+    return spark.createDataFrame(rows, "id int, price double, name string").repartition(5)
+
+
+def orders():
+    return [
+        [F.desc("price"), "name", "id"], [F.asc_nulls_first("name"), F.desc_nulls_first("price"), F.col("id")],
+        [F.desc_nulls_last("name"), F.desc("id")],
+    ]
+
+
+@pytest.mark.parametrize("number", range(3))
+def test_every_page_is_a_cut_of_the_sorted_rows(table, number):
+    order = orders()[number]
+    sorted_ids = [r["id"] for r in table.orderBy(*[F.asc_nulls_last(c) if isinstance(c, str) else c for c in order]).collect()]
+    for at in (0, 3, 21, 34, 35, 400):
+        found = [r["id"] for r in page(table, order, at, 20, most=30).collect()]
+        assert found == sorted_ids[20 * at:20 * at + 20], at
+    assert [r["id"] for r in page(table, order, 1, 200, most=10).collect()] == sorted_ids[200:400]
+
+
+def test_the_next_page_follows_its_token(table):
+    order = orders()[0]
+    rows = page(table, order, 4, 30, most=50).collect()
+    following = page_after(table, order, page_token(rows[-1], order), 30).collect()
+    assert [r["id"] for r in following] == [r["id"] for r in page(table, order, 5, 30).collect()]
+
+
+def test_nothing_is_written_and_only_the_page_range_is_sorted(table):
+    found = page(table, orders()[0], 30, 20, most=30)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "FileScan" not in plan
+
+
+def test_rows_that_are_all_alike_and_no_rows(spark, table):
+    same = spark.createDataFrame([(1, 2.0, "a")] * 90, table.schema)
+    assert page(same, ["id"], 2, 20, most=5).count() == 20 and page(same, ["id"], 4, 20, most=5).count() == 10
+    assert page(same.limit(0), ["id"], 0).count() == 0
+    with pytest.raises(ValueError, match="ordered by columns"):
+        page(same, [F.col("id") + 1], 0)
