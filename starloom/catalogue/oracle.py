@@ -642,6 +642,11 @@ UNION ALL SELECT 'dim_address', count(*), count(*), 0 FROM dim_address
 UNION ALL SELECT 'fact_transactions', count(*), count(DISTINCT Transaction_SK), count(*) - count(DISTINCT Transaction_SK)
 FROM fact_transactions"""
 
+ORACLE["q_load_warehouse_rows"] = f"""{_ctes('dim_customer')}
+SELECT Customer_SK, Customer_ID, Customer_Title, Customer_First_Name, Customer_Last_Name, Customer_Name, Customer_Segment,
+       Marital_Status, Gender, {_text('DOB')} AS DOB, {_text('Effective_Start_Dt')} AS Effective_Start_Dt,
+       {_text('Effective_End_Dt')} AS Effective_End_Dt, Region FROM dim_customer"""
+
 _FIRST_COLUMNS = {
     "customer": "c_custkey, c_name, c_nationkey, c_acctbal",
     "orders": "o_orderkey, o_custkey, o_orderstatus, o_totalprice",
