@@ -668,16 +668,20 @@ def incremental_load(spark, sf):
 
 @query
 def load_versions(spark, sf):
-    """Each published version of a three-batch load, read after all of them are there."""
+    """Each published version of a three-batch load, read after all of them are there: the fact
+    itself, and the sums that each batch adds."""
     source, target = write_batch_files(spark, sf), staging_path(spark, "versions")
     batches.load_batches(spark, source, target, BATCHES)
-    warehouse = wh.Warehouse(spark, target)
-    parts = [
-        warehouse.at(number).gold("fact_transactions").agg(
-            F.count("*").alias("n_rows"), F.max("Transaction_SK").alias("last_key"), F.sum("Premium_Amt").alias("premium")
-        ).select(F.lit(number).cast("long").alias("version"), "*")
-        for number in warehouse.versions()
-    ]
+    warehouse, parts = wh.Warehouse(spark, target), []
+    for number in warehouse.versions():
+        version, then = F.lit(number).cast("long").alias("version"), warehouse.at(number)
+        premium = F.sum("Premium_Amt").alias("premium")
+        parts.append(then.gold("fact_transactions").agg(
+            F.count("*").alias("n_rows"), F.max("Transaction_SK").alias("last_key"), premium
+        ).select(version, F.lit("fact").alias("source"), "*"))
+        parts.append(then.fact_totals().agg(F.sum("n_rows").alias("n_rows"), premium).select(
+            version, F.lit("totals").alias("source"), "n_rows", F.lit(None).cast("long").alias("last_key"), "premium"
+        ))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -22,7 +22,7 @@ from starloom.operators.joins import as_lookup, keep_keys
 from starloom.operators.keys import ORDINAL
 from starloom.operators.quality import RAW, REJECTED_BY, quarantine_all
 from starloom.operators.standardize import standardize
-from starloom.schemas import DEFAULTS, GOLD, conform
+from starloom.schemas import DEFAULTS, FACT_TOTALS, GOLD, conform
 from starloom.session import staging, together
 from starloom.sources import key_index
 from starloom.sources.key_index import CUSTOMER_KEYS, POLICY_KEYS, KeyIndex
@@ -151,11 +151,19 @@ def transform(
         rows = model.fact_rows(numbered, by_customer[0], *arrived("Policy_Id", POLICY_KEYS, "dim_policy"), by_customer[1])
         return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
 
+    def fact_and_totals() -> None:
+        extend("fact_transactions", "Transaction_SK", fact)
+        summed = ["Premium_Amt", "Total_Policy_Amt", "Late_Fee"]
+        totals = own("fact_transactions").groupBy("Customer_ID", "Customer_SK", "Policy_SK").agg(
+            F.count("*").alias("n_rows"), *[F.sum(c).alias(c) for c in summed]
+        )
+        load.write(conform(totals, FACT_TOTALS), "gold", "fact_totals", batch_id)
+
     def changes(table: str, find: Callable[[], DataFrame]) -> None:
         load.write(find(), "gold", table, batch_id)
 
     together(
-        partial(extend, "fact_transactions", "Transaction_SK", fact),
+        fact_and_totals,
         partial(changes, "policy_changes", lambda: policy_changes(load, silver["policies"], batch_id)),
         partial(changes, "marital_changes", lambda: marital_changes(load, silver["customers"], batch_id)),
     )

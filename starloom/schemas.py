@@ -90,6 +90,13 @@ GOLD: dict[str, T.StructType] = {
     ),
 }
 
+# Sums of the fact per batch; they take the fact's place where only totals are asked for.
+_SUM = T.DecimalType(25, 2)
+FACT_TOTALS = _struct(
+    ("Customer_ID", _L), ("Customer_SK", _L), ("Policy_SK", _L), ("n_rows", _L), ("Premium_Amt", _SUM),
+    ("Total_Policy_Amt", _SUM), ("Late_Fee", _SUM),
+)
+
 # Dimensions load before the fact that refers to them.
 LOAD_ORDER = ("dim_customer", "dim_policy", "dim_address", "fact_transactions")
 

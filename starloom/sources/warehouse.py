@@ -18,7 +18,7 @@ from starloom.operators import aggregates, merge
 from starloom.operators.columns import load_values_all
 from starloom.operators.keys import ORDINAL, POSITION, with_position
 from starloom.operators.quality import RAW, REJECTED_BY, rules_for
-from starloom.schemas import DEFAULTS, GOLD, LOAD_ORDER, PRIMARY_KEYS, SILVER, conform
+from starloom.schemas import DEFAULTS, FACT_TOTALS, GOLD, LOAD_ORDER, PRIMARY_KEYS, SILVER, conform
 from starloom.session import stage, together
 from starloom.sources import versions
 from starloom.sources.raw import empty
@@ -112,6 +112,14 @@ class Warehouse:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields], BATCH
         )
 
+    def fact_totals(self) -> DataFrame:
+        """The fact summed per customer, customer version and policy, one row for each in a batch.
+
+        Sums of these sums are those of the fact, so the frame can stand for it wherever totals by
+        customer or policy are asked for; its size follows the keys of each batch, not its rows, and a
+        batch that is loaded again replaces its own sums."""
+        return self.read("gold", "fact_totals", FACT_TOTALS).drop(BATCH)
+
     def tables(self) -> dict[str, DataFrame]:
         """The star schema of one version, without partition columns."""
         pinned = self.at(self.version().number)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import ORDINAL
-from starloom.plans import batches as plan
+from starloom.plans import batches as plan, business
 from starloom.plans.batches import load_batches
 from starloom.schemas import BRONZE, FOREIGN_KEYS, GOLD, PRIMARY_KEYS, SILVER
 from starloom.session import staging_root
@@ -379,7 +379,7 @@ def test_a_load_that_is_lost_after_any_write_changes_nothing(spark, tmp_path, mo
     # The same load again writes every table of a batch once; lose it after each of them.
     monkeypatch.setattr(Load, "write", told)
     load_batches(spark, source, target, [0])
-    assert len(set(tables)) == len(tables) == 16 and everything(warehouse) == before
+    assert len(set(tables)) == len(tables) == 17 and everything(warehouse) == before
     for lost in [("bronze", "customers"), ("silver", "transactions"), ("gold", "validation_report"),
                  ("index", "customer_keys"), ("gold", "fact_transactions"), ("gold", "marital_changes")]:
         def fails(self, df, layer, table, *more, lost=lost):
@@ -469,6 +469,32 @@ def test_a_late_batch_opens_no_more_files_after_many_batches(spark, tmp_path, mo
     assert content(Warehouse(spark, str(tmp_path / "w"))) == content(Warehouse(spark, str(tmp_path / "scan")))
 
 
+def test_totals_follow_a_late_and_a_changed_batch(spark, tmp_path):
+    source, target = write_sources(tmp_path_of(tmp_path, "in")), str(tmp_path / "w")
+    warehouse = Warehouse(spark, target)
+
+    def equal():
+        fact, customers, policies = (warehouse.gold(t) for t in ("fact_transactions", "dim_customer", "dim_policy"))
+        sums = warehouse.fact_totals()
+        assert not any("fact_transactions" in f for f in sums.inputFiles())
+        assert sums.agg(F.sum("n_rows"), F.sum("Late_Fee"), F.sum("Premium_Amt")).first() == fact.agg(
+            F.count("*"), F.sum("Late_Fee"), F.sum("Premium_Amt")).first()
+        for one, other in [(business.total_by_customer(sums, customers), business.total_by_customer(fact, customers)),
+                           (business.total_of_type_owners(sums, policies, customers), business.total_of_type_owners(fact, policies, customers))]:
+            assert list(map(tuple, one.collect())) == list(map(tuple, other.collect()))
+
+    load_batches(spark, source, target, [0, 3])
+    changed = {**BATCHES, 1: {**BATCHES[1], "transactions": [payment(1, 1, premium="50"), payment(2, 2)]}}
+    write_sources(tmp_path / "in", changed)
+    load_batches(spark, source, target, [1, 3], reload=True)  # late
+    equal()
+    before = warehouse.fact_totals().agg(F.sum("Premium_Amt")).first()[0]
+    write_sources(tmp_path / "in", {**changed, 3: {**BATCHES[3], "transactions": [payment(1, 1, premium="1000")]}})
+    load_batches(spark, source, target, [3])  # changed
+    equal()
+    assert warehouse.fact_totals().agg(F.sum("Premium_Amt")).first()[0] == before - 2 * Decimal("6.25") + 1000
+
+
 def test_transactions_are_parsed_once(spark, tmp_path, monkeypatch):
     source, target = write_sources(tmp_path_of(tmp_path, "in")), str(tmp_path / "w")
     scans, write = [], Load.write
