@@ -758,7 +758,7 @@ WITH t AS ({silver('transactions')})
 SELECT CAST(v.version AS BIGINT) AS version, s.source, count(*) AS n_rows,
        CASE s.source WHEN 'fact' THEN count(*) END AS last_key, CAST(sum(Premium_Amt) AS DOUBLE) AS premium
 FROM t, (VALUES (1), (2), (3)) v(version), (VALUES ('fact'), ('totals')) s(source)
-WHERE t.line_no % 3 < v.version GROUP BY ALL"""
+WHERE t.line_no % 3 < v.version GROUP BY v.version, s.source"""
 
 ORACLE["q_incremental_policy_changes"] = f"""
 WITH dp AS (SELECT *, line_no % 3 AS batch FROM ({silver('policies', 'line_no % 3, ')})),
