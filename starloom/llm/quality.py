@@ -1,28 +1,35 @@
 """Quality rules by distribution divergence.
 
 A document's histogram of character classes and its histogram of common words are compared
-with references, one pair per language, by the Jensen-Shannon distance. References are the mean
-histograms of all documents of that language that pass the counting rules. How far is too far
-comes from the same documents, per language and without labels: the ``QUANTILE`` of their own
-distances plus a margin, and never more than the fixed limits. So up to a tenth of them may be junk
-before it moves the limit by more than that. Below ``MIN_REFERENCE`` documents the fixed limits
-hold. A document beyond the limits of every reference is rejected; a text below the minimum length is judged by the counting rules
-alone, because its histograms say little.
-
-Everything is DataFrame built-ins. Documents are read once: the counts of every document are
-written, the references and the limits are two small aggregates over that table, the verdict reads it again.
+with references, one pair per language, by the Jensen-Shannon distance. Languages are the values of
+the language column (null: the empty value) that hold at least ``MIN_SHARE`` of the documents of
+``MIN_HISTOGRAM_WORDS`` words or more, so that there are 1 / ``MIN_SHARE`` at most. Nothing is known
+of them beforehand: a language's common words are the ``COMMON`` words with a letter that have the
+greatest mean share in its documents, its references are the medians of the shares in its documents
+that pass the counting rules.
+
+How far is too far comes from the same documents, without labels: the ``QUANTILE`` of the distances of
+a language, drawn towards that of all languages by the weight of ``PRIOR`` documents, plus the distance
+that a text of as many words has by chance (bins - 1 degrees of freedom). Each text counts once for
+medians and limits, however many copies it has. A document beyond the limits of every language is
+rejected. A text below the minimum length, and one whose language has no reference, is judged by the
+counting rules alone, because its histograms say little.
+
+Everything is DataFrame built-ins. Texts are read twice, once for the common words and once for the
+counts of every document, which are written; medians, limits and the verdict read that table.
 
 Nulls, empties and ties: a null text counts as empty; an empty text has zero words and fails the
-base rule; a null or unknown language adds to no reference and is judged like any other row;
-repeated rows are judged one by one. If no document can serve as a reference, nothing is
-rejected by divergence. Columns of the input other than those asked for are not touched.
+base rule; words of equal share are ordered by code point; repeated rows are judged one by one. If no
+document can serve as a reference, nothing is rejected by divergence. Columns of the input other than
+those asked for are not touched.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.common import WHITE, WORD, whole, words
 from starloom.session import stage
@@ -32,22 +39,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_CHARS = 400  # guard of the character histogram
 MIN_HISTOGRAM_WORDS = 150  # guard of the word histogram
+MIN_SHARE = 0.01  # of the long documents, for a language to have references
+COMMON = 16  # words per language
 QUANTILE = 0.9
-CHAR_MARGIN, WORD_MARGIN = 0.08, 0.05
-MIN_REFERENCE = 100
+PRIOR = 100  # documents that the limits of all languages weigh against a language's own
 BINS = 1000  # of the distances, 0 to 1, for the quantile
-MAX_CHAR_DISTANCE = 0.27  # fixed limits
-MAX_WORD_DISTANCE = 0.32
-
-# Frequent words per language, most frequent first.
-COMMON_WORDS = {
-    "en": ["the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on", "with", "be", "as", "by"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "für", "ist", "im", "nicht"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "au"],
-    "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una", "para"],
-}
-ALPHABET = sorted({w for group in COMMON_WORDS.values() for w in group})
-_CODE = {w: chr(0x4E00 + i) for i, w in enumerate(ALPHABET)}  # one character per common word
+SHARE_BINS = 10_000  # of the shares, for the medians
+WEIGHT = 1_000_000  # of one document among the common words, a whole number so that sums agree
+
 # What is not in one of these classes counts as a letter without case.
 CHAR_CLASSES = {"upper": r"\p{Lu}", "lower": r"\p{Ll}", "digit": "0-9", "white": r"\x20\x09-\x0D", "stop": r".,;:'\"()?\-", "symbol": r"#*$%&|<>!=+~^_@/\\{}\[\]"}
 
@@ -81,11 +80,35 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(total).cast("long")
 
 
-def count_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the base counts, ``base_failed``, and the two histograms as counts."""
+def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
+    """The ``COMMON`` most frequent words, lower-cased, of each language that holds ``MIN_SHARE`` of the long documents.
+
+    Every document has the same weight. The driver gets ``COMMON`` / ``MIN_SHARE`` rows at most.
+    """
+    long = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), words(whole(text)).alias("words"))
+    long = long.where(F.size("words") >= MIN_HISTOGRAM_WORDS)
+    # The empty word stands for the document itself.
+    each = F.explode(F.concat("words", F.array(F.lit(""))))
+    weight = F.when(F.col("word") == "", F.lit(WEIGHT)).otherwise(F.floor(F.lit(WEIGHT) / F.col("n"))).cast("long")
+    counted = long.select("lang", F.size("words").alias("n"), each.alias("word")).groupBy("lang", "word").agg(F.sum(weight).alias("weight"))
+    counted = counted.groupBy("lang", F.lower("word").alias("word")).agg(F.sum("weight").alias("weight"))
+    counted = stage(counted.where((F.col("word") == "") | F.col("word").rlike(r"\p{L}")), "word_shares")
+    held = counted.where("word = ''")
+    total = held.agg(F.sum("weight")).first()[0] or 0
+    names = sorted(r["lang"] for r in held.where(F.col("weight") >= MIN_SHARE * total).select("lang").collect())
+    if not names:
+        return {}
+    best = Window.partitionBy("lang").orderBy(F.col("weight").desc(), "word")
+    ranked = counted.where(F.col("lang").isin(names) & (F.col("word") != "")).withColumn("rank", F.row_number().over(best))
+    rows = ranked.where(F.col("rank") <= COMMON).orderBy("lang", "rank").collect()
+    return {name: [r["word"] for r in rows if r["lang"] == name] for name in names}
+
+
+def count_features(docs: DataFrame, text: str = "text", alphabet: Sequence[str] = ()) -> DataFrame:
+    """``docs`` plus the base counts, ``base_failed``, and the counts of character classes and of the words of ``alphabet``."""
     value = whole(text)
-    common = [form for w in ALPHABET for form in (w, w[:1].upper() + w[1:])]
-    code = F.create_map(*[F.lit(x) for w in ALPHABET for form in sorted({w, w[:1].upper() + w[1:]}) for x in (form, _CODE[w])])
+    code = {w: chr(0x4E00 + i) for i, w in enumerate(alphabet)}  # one character per word
+    forms = {form: code[w] for w in alphabet for form in (w[:1].upper() + w[1:], w)} | code
     lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(WORD))
     out = docs.withColumn("_text", value)
     out = out.withColumn("_words", words(F.col("_text"))).withColumn("_lines", lines)
@@ -95,7 +118,12 @@ def count_features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.slice(hashed, 1, F.greatest(F.size(hashed) - (WINDOW - 1), F.lit(0))),
         lambda h, i: F.xxhash64(h, *[F.get(hashed, i + k) for k in range(1, WINDOW)]),
     )
-    codes = F.array_join(F.transform(F.filter("_words", lambda w: w.isin(common)), lambda w: code[w]), "")
+    codes, common = F.lit(""), F.array().cast("array<bigint>")
+    if alphabet:
+        named = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair])
+        codes = F.array_join(F.transform(F.filter("_words", lambda w: w.isin(list(forms))), lambda w: named[w]), "")
+        counted = lambda c: (F.length("_codes") - F.length(F.replace(F.col("_codes"), c, F.lit("")))).cast("long")
+        common = F.transform(F.array(*map(F.lit, code.values())), counted)
     out = out.withColumn("_windows", windows).withColumn("_codes", codes)
     counts = [
         F.size("_words").cast("long").alias("n_words"),
@@ -105,22 +133,26 @@ def count_features(docs: DataFrame, text: str = "text") -> DataFrame:
         repeated_words(F.col("_windows")).alias("n_repeat_words"),
     ]
     classes = [_count_class(F.col("_text"), members) for members in CHAR_CLASSES.values()]
-    per_word = [F.length("_codes") - F.length(F.replace(F.col("_codes"), F.lit(_CODE[w]), F.lit(""))) for w in ALPHABET]
     out = out.select(
-        *docs.columns, *counts, F.length("_text").cast("long").alias("_chars"),
-        F.array(*classes).alias("_classes"), F.array(*[c.cast("long") for c in per_word]).alias("_common"),
+        *docs.columns, *counts, F.length("_text").cast("long").alias("_chars"), F.xxhash64("_text").alias("_key"),
+        F.array(*classes).alias("_classes"), common.alias("_common"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
-def _shares(counts: str, total: str) -> Column:
+def _shares(counts: Column, total: str) -> Column:
     """Shares of the counted classes, then the share of the rest."""
     n = F.greatest(F.col(total), F.lit(1)).cast("double")
     counted = F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
     return F.concat(F.transform(counts, lambda x: x / n), F.array((F.col(total) - counted) / n))
 
 
+def _histograms(places: Column) -> tuple[Column, Column]:
+    """Character and word histogram of a document; ``places`` are a language's words in the alphabet."""
+    return _shares(F.col("_classes"), "_chars"), _shares(F.transform(places, lambda i: F.get("_common", i)), "n_words")
+
+
 def jensen_shannon(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms: square root of the divergence to base 2, 0 to 1."""
 
@@ -131,20 +163,43 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
-def references(shares: DataFrame, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Mean histograms by language of :data:`COMMON_WORDS`, over all documents that may serve.
+def _by_language(known: dict, value) -> Column:
+    """``value`` of the document's own language, null if that has no reference."""
+    chain = F
+    for name, held in known.items():
+        chain = chain.when(F.col("_lang") == name, value(held))
+    return chain if known else F.lit(None)
 
-    The result is one row per listed language, whatever the corpus holds.
-    """
-    sizes = {"_p": len(CHAR_CLASSES) + 1, "_q": len(ALPHABET) + 1}
-    means = [F.avg(F.get(c, F.lit(i))).alias(f"{c}{i}") for c, n in sizes.items() for i in range(n)]
-    usable = shares.where(~F.col("base_failed") & (F.col("_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_HISTOGRAM_WORDS))
-    rows = usable.where(F.col(lang).isin(*COMMON_WORDS)).groupBy(lang).agg(*means).orderBy(lang).collect()
-    return {r[lang]: tuple([r[f"{c}{i}"] for i in range(n)] for c, n in sizes.items()) for r in rows}
+
+def _literal(values) -> Column:
+    return F.array(*map(F.lit, values))
 
 
-def _distance(column: str, reference: list[float]) -> Column:
-    return jensen_shannon(F.col(column), F.array(*map(F.lit, reference)))
+def references(counted: DataFrame, places: dict[str, list[int]]) -> dict[str, tuple[list[int], list[float], list[float]]]:
+    """Per language the places of its words and its median histograms, over all distinct texts that may serve.
+
+    Medians come from exact counts per bin; the driver gets one row per language and bin of a histogram.
+    """
+    if not places:
+        return {}
+    usable = counted.where(~F.col("base_failed") & (F.col("_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_HISTOGRAM_WORDS))
+    both = F.concat(*_histograms(_by_language(places, _literal)))
+    binned = usable.where(F.col("_lang").isin(list(places))).select("_lang", "_key", F.transform(both, lambda x: F.round(x * SHARE_BINS).cast("int")).alias("bins"))
+    held = binned.distinct().select("_lang", F.posexplode("bins").alias("at", "bin")).groupBy("_lang", "at", "bin").count()
+    one = Window.partitionBy("_lang", "at")
+    upto = F.sum("count").over(one.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    half = held.withColumn("upto", upto).withColumn("all", F.sum("count").over(one)).where(2 * F.col("upto") >= F.col("all"))
+    found: dict = {}
+    for r in half.groupBy("_lang", "at").agg(F.min("bin").alias("bin")).orderBy("_lang", "at").collect():
+        found.setdefault(r["_lang"], []).append(r["bin"])
+    classes = len(CHAR_CLASSES) + 1
+    scaled = lambda bins: [x / (sum(bins) or 1) for x in bins]
+    return {name: (places[name], scaled(bins[:classes]), scaled(bins[classes:])) for name, bins in found.items()}
+
+
+def _distances(reference: tuple[list[int], list[float], list[float]]) -> list[Column]:
+    at, *medians = reference
+    return [jensen_shannon(h, _literal(m)) for h, m in zip(_histograms(_literal(at).cast("array<int>")), medians)]
 
 
 def quantile(bins: dict[int, int]) -> float:
@@ -157,31 +212,34 @@ def quantile(bins: dict[int, int]) -> float:
     return 1.0
 
 
-def limits(shares: DataFrame, known: dict[str, tuple[list[float], list[float]]], lang: str = "lang") -> dict[str, list[float]]:
-    """Greatest character and word distance by language; the driver gets ``BINS`` + 1 rows of each at most."""
-    found = {language: [MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE] for language in known}
+def _judged() -> tuple[Column, Column]:
+    """Whether the character histogram, and the word histogram, of a document says enough."""
+    return F.col("_chars") >= MIN_CHARS, F.col("n_words") >= MIN_HISTOGRAM_WORDS
+
+
+def limits(counted: DataFrame, known: dict[str, tuple[list[int], list[float], list[float]]]) -> dict[str, list[float]]:
+    """Quantile of the character and of the word distances by language; the driver gets ``BINS`` + 1 rows of each at most."""
     if not known:
-        return found
-
-    def own(column: str, which: int) -> Column:
-        chain = F
-        for language, reference in known.items():
-            chain = chain.when(F.col(lang) == language, _distance(column, reference[which]))
-        return F.floor(chain * BINS).cast("int")
-
-    # Each limit comes from the documents that it will judge: short ones are further off by chance.
-    judged = (F.col("_chars") >= MIN_CHARS, F.col("n_words") >= MIN_HISTOGRAM_WORDS)
-    each = F.array(*[F.when(judged[i], F.struct(F.lit(i).alias("which"), own(c, i).alias("bin"))) for i, c in enumerate(("_p", "_q"))])
-    serving = shares.where(~F.col("base_failed") & F.col(lang).isin(*known))
-    counted = serving.select(lang, F.explode(each).alias("d")).where("d is not null").groupBy(lang, "d.which", "d.bin").count().collect()
-    bins: dict = {}
-    for r in counted:
-        bins.setdefault((r[lang], r["which"]), {})[r["bin"]] = r["count"]
-    for (language, which), held in bins.items():
-        if sum(held.values()) >= MIN_REFERENCE:
-            margin = (CHAR_MARGIN, WORD_MARGIN)[which]
-            found[language][which] = min(found[language][which], quantile(held) + margin)
-    return found
+        return {}
+    # Each limit comes from the texts that it will judge: short ones are further off by chance.
+    bins = [F.when(fit, F.floor(_by_language(known, lambda r, i=i: _distances(r)[i]) * BINS)).cast("int") for i, fit in enumerate(_judged())]
+    own = counted.where(~F.col("base_failed") & F.col("_lang").isin(list(known))).select("_lang", "_key", F.array(*bins).alias("bins")).distinct()
+    rows = own.select("_lang", F.posexplode("bins").alias("which", "bin")).where("bin is not null").groupBy("_lang", "which", "bin").count().collect()
+    held, pooled = {(name, i): {} for name in known for i in (0, 1)}, ({}, {})
+    for r in rows:
+        held[r["_lang"], r["which"]][r["bin"]] = r["count"]
+        pooled[r["which"]][r["bin"]] = pooled[r["which"]].get(r["bin"], 0) + r["count"]
+
+    def drawn(name: str, which: int) -> float:
+        n = sum(held[name, which].values())
+        return (n * quantile(held[name, which]) + PRIOR * quantile(pooled[which])) / (n + PRIOR)
+
+    return {name: [drawn(name, i) for i in (0, 1)] for name in known}
+
+
+def by_chance(bins: int) -> Column:
+    """Distance that a text of ``n_words`` independent draws from a histogram has to that histogram."""
+    return F.sqrt(F.lit((bins - 1) / (8 * math.log(2))) / F.greatest(F.col("n_words"), F.lit(1)))
 
 
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Sequence[str] | None = None) -> DataFrame:
@@ -193,25 +251,23 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Seque
     carry = list(docs.columns if carry is None else carry)
     inner = [F.col(c).alias(f"_in{i}") for i, c in enumerate(carry)]  # own names: the input's may clash
     language = F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
-    counted = count_features(docs.select(*inner, F.col(text).alias("_body"), language.alias("_lang")), "_body")
-    counted = stage(counted.drop("_body"), "quality")
-    shares = counted.withColumn("_p", _shares("_classes", "_chars")).withColumn("_q", _shares("_common", "n_words"))
-    known = references(shares, "_lang")
-
-    limit = limits(shares, known, "_lang")
-
-    def least(each: list[Column]) -> Column:
-        return F.least(*each) if len(each) > 1 else (each[0] if each else F.lit(None).cast("double"))
-
-    judged = shares
-    for which, column in enumerate(("_p", "_q")):
-        judged = judged.withColumn(f"_d{which}", F.array(*[_distance(column, r[which]) for r in known.values()]))
-    # How far the document is beyond the limit that it comes nearest to.
-    beyond = [least([F.get(f"_d{which}", F.lit(i)) - limit[x][which] for i, x in enumerate(known)]) for which in (0, 1)]
+    rows = docs.select(*inner, F.col(text).alias("_body"), F.coalesce(language, F.lit("")).alias("_lang"))
+    common = common_words(rows, "_body", "_lang")
+    alphabet = sorted({w for listed in common.values() for w in listed})
+    counted = stage(count_features(rows, "_body", alphabet).drop("_body"), "quality")
+    known = references(counted, {name: [alphabet.index(w) for w in listed] for name, listed in common.items()})
+    limit = limits(counted, known)
+
+    judged = counted.withColumn("_far", F.array(*[F.array(*_distances(r)) for r in known.values()]).cast("array<array<double>>"))
+    beyond = []
     for which, name in enumerate(("char_distance", "word_distance")):
-        judged = judged.withColumn(name, least([F.get(f"_d{which}", F.lit(i)) for i in range(len(known))]))
-    far = ((F.col("_chars") >= MIN_CHARS) & (beyond[0] > 0)) | ((F.col("n_words") >= MIN_HISTOGRAM_WORDS) & (beyond[1] > 0))
-    kept = ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))
+        bins = (len(CHAR_CLASSES) if which == 0 else COMMON) + 1
+        most = _literal([limit[x][which] for x in known]).cast("array<double>")
+        judged = judged.withColumn(name, F.array_min(F.transform("_far", lambda d: d[which])))
+        # How far the document is beyond the limit that it comes nearest to.
+        beyond.append(F.array_min(F.zip_with("_far", most, lambda d, x: d[which] - x)) > by_chance(bins))
+    far = (_judged()[0] & beyond[0]) | (_judged()[1] & beyond[1])
+    kept = ~F.col("base_failed") & ~F.coalesce(far & F.col("_lang").isin(list(known)), F.lit(False))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     named = [F.col(f"_in{i}").alias(c) for i, c in enumerate(carry) if c not in added]
     return judged.withColumn("kept", kept).select(*named, *added)

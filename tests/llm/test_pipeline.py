@@ -72,4 +72,4 @@ def test_all_are_registered():
 
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) <= set(names)
-    assert sum(n.startswith("op") for n in queries.QUERIES) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") for n in queries.QUERIES) == 13 and "pipeline" in names
