@@ -1,9 +1,12 @@
 """Main text of web pages by consensus paths per host.
 
-Each page's containers are scored by the text that stands in them; a page votes for the
-generalised tag-class paths of its best containers. Spark adds the votes up per host, and each
-page is extracted again with the winning path of its host. A page on which no winning path
-leads to text falls back on its own best container, a page without a container on all its text.
+Each page's containers are scored by the text that stands in them. A page's own container is the best
+one if that is an article, else the lowest one around it and all whose own text reaches ``HIGH`` of the
+longest, so that an article in several siblings stays whole. The page votes for the generalised tag-class
+paths of its own and its best containers, none around its own, by the share of its text that they hold. Spark adds the votes up
+per host, and each page is extracted again with the winning path of its host that comes first and holds
+``MIN_HELD`` of the text of the page's own container; where none does, its own container is
+taken, and a page without a container gives all its text.
 
 Menus, headers, footers, asides, adverts, notices, forms, comments, scripts and styles are left
 out by tag, role, hidden state and the words of class and id. A block is the text between two
@@ -12,7 +15,8 @@ space, blocks are joined by one line feed.
 
 Nulls, empties and ties: a null or empty page has an empty text; a null address is a host of its
 own; unclosed tags, comments and quotes are read as far as they go; equal votes are ordered by
-path; repeated rows are extracted each.
+path; repeated rows are extracted each. Elements hold their parent and a number for their path, so that
+time and memory grow with the page also where it is nested very deeply.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from starloom.session import stage
 
 VOTES_PER_PAGE = 3
 PATHS_PER_HOST = 3
+HIGH = 0.2  # of the longest own text, for a container to belong to the article
+MIN_HELD = 0.8  # of the text of the page's own container, for a path of the host
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -65,7 +71,11 @@ class Page:
     """Elements and text pieces of a page; an element is an index into the lists."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.path, self.skip, self.link, self.good = ["#"], [-1], [""], [False], [False], [0]
+        self.tag, self.parent, self.skip, self.link, self.good = ["#"], [-1], [False], [False], [0]
+        self.path, self.article, self.holder = [0], [0], [0]  # number of the path, nearest article, nearest container
+        self._paths: dict[tuple[int, str], int] = {}  # path around, step: path
+        self._steps: list[tuple[int, str]] = [(0, "")]
+        self._held: dict[str, int] = {}  # open elements by tag
         self.pieces: list[tuple[int, int, str]] = []  # block number, element, raw text
         self._block, self._open = 0, [0]
         self._read(source)
@@ -103,7 +113,9 @@ class Page:
 
     def _pop_to(self, depth: int) -> None:
         while len(self._open) > depth:
-            if self.tag[self._open.pop()] in _BLOCK:
+            tag = self.tag[self._open.pop()]
+            self._held[tag] -= 1
+            if tag in _BLOCK:
                 self._block += 1
 
     def _start(self, name: str, raw: str) -> None:
@@ -130,12 +142,38 @@ class Page:
         self.skip.append(self.skip[parent] or self._junk(name, attributes, classes))
         self.link.append(self.link[parent] or name == "a")
         step = name + "".join("." + c for c in sorted({re.sub(r"\d+", "#", c) for c in classes})[:2])
-        self.path.append(f"{self.path[parent]}>{step}" if name in _BLOCK else self.path[parent])
+        self.path.append(self._step(self.path[parent], step.replace(">", "#")) if name in _BLOCK else self.path[parent])
+        this = len(self.tag) - 1
+        self.article.append(this if name == "article" else self.article[parent])
+        self.holder.append(this if name in _BLOCK and name not in _LEAF else self.holder[parent])
         names = set(classes) | {attributes.get("id", ""), attributes.get("itemprop", "")}
         found = any(w.lower() in _GOOD for n in names for w in _WORDS.findall(n))
         self.good.append(2 if name in ("article", "main") or attributes.get("role") in ("main", "article") else int(found))
         if not raw.endswith("/") or name in _BLOCK or name in _RAW:
-            self._open.append(len(self.tag) - 1)
+            self._open.append(this)
+            self._held[name] = self._held.get(name, 0) + 1
+
+    def _step(self, around: int, step: str) -> int:
+        found = self._paths.setdefault((around, step), len(self._steps))
+        if found == len(self._steps):
+            self._steps.append((around, step))
+        return found
+
+    def path_name(self, number: int) -> str:
+        steps = []
+        while number:
+            number, step = self._steps[number]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
+    def path_number(self, name: str) -> int:
+        """Number of a path, -1 if the page has none such."""
+        number = 0
+        for step in name.split(">"):
+            number = self._paths.get((number, step), -1)
+            if number < 0:
+                break
+        return number
 
     @staticmethod
     def _junk(name: str, attributes: dict, classes: list[str]) -> bool:
@@ -154,6 +192,8 @@ class Page:
         return False
 
     def _end_open(self, ends: set, limit) -> None:
+        if not any(self._held.get(e) for e in ends):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             tag = self.tag[self._open[depth]]
             if tag in ends:
@@ -165,7 +205,7 @@ class Page:
     def _close(self, name: str) -> None:
         if name in _BLOCK:
             self._block += 1
-        for depth in range(len(self._open) - 1, 0, -1):
+        for depth in range(len(self._open) - 1 if self._held.get(name) else 0, 0, -1):
             tag = self.tag[self._open[depth]]
             if tag == name:
                 if name not in ("body", "html"):
@@ -174,12 +214,6 @@ class Page:
             if tag in _BLOCK and name not in _BLOCK:
                 return
 
-    def container(self, element: int) -> int:
-        """Nearest element around a piece that holds blocks rather than one block's text."""
-        while element > 0 and (self.tag[element] in _LEAF or self.tag[element] not in _BLOCK):
-            element = self.parent[element]
-        return element
-
     def scores(self) -> dict[int, float]:
         """Score of each container: its text outside links, half of that for the container around it."""
         found: dict[int, float] = {}
@@ -187,32 +221,69 @@ class Page:
             n = len(text.strip())
             if not n or self.link[element]:
                 continue
-            holder = self.container(element)
+            holder = self.holder[element]
             for share in (1.0, 0.5):
                 if holder <= 0:
                     break
                 found[holder] = found.get(holder, 0.0) + share * n
-                holder = self.container(self.parent[holder])
-        best = {}
+                holder = self.holder[self.parent[holder]]
+        best: dict[int, float] = {}
         for element, score in found.items():
-            up = element
-            while up > 0 and self.tag[up] != "article":
-                up = self.parent[up]
-            target = up if up > 0 else element
+            target = self.article[element] or element
             best[target] = max(best.get(target, 0.0), score * (1 + 0.5 * self.good[target]))
         return best
 
-    def ranked(self) -> list[tuple[str, float]]:
-        by_path: dict[str, float] = {}
-        for element, score in self.scores().items():
-            by_path[self.path[element]] = by_path.get(self.path[element], 0.0) + score
-        return sorted(by_path.items(), key=lambda x: (-x[1], x[0]))
+    def own(self, scores: dict[int, float]) -> int:
+        """The page's own container, 0 if none."""
+        if not scores:
+            return 0
+        first = min(scores, key=lambda e: (-scores[e], e))
+        if self.article[first]:
+            return first
+        direct: dict[int, int] = {}
+        for _, element, text in self.pieces:
+            holder = self.holder[element]
+            if holder and not self.link[element] and not self.article[holder]:
+                direct[holder] = direct.get(holder, 0) + len(text.strip())
+        longest = max(direct.values(), default=0)
+        high = {first} | {e for e, n in direct.items() if n and n >= HIGH * longest}
+        inside = [int(e in high) for e in range(len(self.tag))]
+        for e in range(len(self.tag) - 1, 0, -1):  # an element comes after the one around it
+            if inside[e] == len(high):
+                return self.holder[e]
+            inside[self.parent[e]] += inside[e]
+        return 0
 
-    def text(self, path: str | None) -> str:
-        """Blocks inside the elements of a path, or of the whole page."""
-        inside = [path is None] * len(self.tag)
+    def _inside(self, path: int) -> list[bool]:
+        """Whether each element is inside one of the path; 0 is the whole page."""
+        inside = [path == 0] * len(self.tag)
         for e in range(1, len(self.tag)):
             inside[e] = inside[e] or inside[self.parent[e]] or (self.path[e] == path and self.tag[e] in _BLOCK)
+        return inside
+
+    def held(self, path: int) -> int:
+        """Characters outside links inside the elements of a path."""
+        inside = self._inside(path)
+        return sum(len(text.strip()) for _, e, text in self.pieces if inside[e] and not self.link[e])
+
+    def votes(self) -> list[tuple[str, float]]:
+        """The paths of the page's own and its best containers, with the share of its text that they hold."""
+        scores = self.scores()
+        own = self.own(scores)
+        paths, around = [self.path[own]] if own else [], set()
+        up = self.parent[own]
+        while up > 0:
+            around.add(up)
+            up = self.parent[up]
+        for e in sorted(scores, key=lambda e: (-scores[e], e)):
+            if e not in around and self.path[e] not in paths and len(paths) < VOTES_PER_PAGE:
+                paths.append(self.path[e])
+        total = self.held(0) or 1
+        return [(self.path_name(p), self.held(p) / total) for p in paths]
+
+    def text(self, path: int) -> str:
+        """Blocks inside the elements of a path, or of the whole page."""
+        inside = self._inside(path)
         blocks: dict[int, list[str]] = {}
         for block, element, text in self.pieces:
             if inside[element]:
@@ -224,13 +295,13 @@ class Page:
 def extract(source: str, paths) -> str:
     """Main text of one page, given its host's winning paths."""
     page = Page(source)
-    for path in paths if paths is not None else ():
-        if text := page.text(path):
-            return text
-    for path, _ in page.ranked():
-        if text := page.text(path):
+    own = page.path[page.own(page.scores())]
+    least = MIN_HELD * page.held(own)
+    for name in paths if paths is not None else ():
+        path = page.path_number(name)
+        if path > 0 and page.held(path) >= least and (text := page.text(path)):
             return text
-    return page.text(None)
+    return page.text(own) or page.text(0)
 
 
 def main_text(pages: DataFrame, page_html: str = "html", url: str = "url", to: str = "main_text") -> DataFrame:
@@ -238,12 +309,7 @@ def main_text(pages: DataFrame, page_html: str = "html", url: str = "url", to: s
 
     @F.pandas_udf("array<struct<path:string,share:double>>")
     def votes(sources: pd.Series) -> pd.Series:
-        out = []
-        for s in sources:
-            ranked = Page(s).ranked()[:VOTES_PER_PAGE]
-            total = sum(score for _, score in ranked) or 1.0
-            out.append([{"path": p, "share": score / total} for p, score in ranked])
-        return pd.Series(out)
+        return pd.Series([[{"path": p, "share": share} for p, share in Page(s).votes()] for s in sources])
 
     @F.pandas_udf("string")
     def again(sources: pd.Series, paths: pd.Series) -> pd.Series:
