@@ -85,12 +85,12 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
 
     Every document has the same weight. The driver gets ``COMMON`` / ``MIN_SHARE`` rows at most.
     """
-    long = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), words(whole(text)).alias("words"))
-    long = long.where(F.size("words") >= MIN_HISTOGRAM_WORDS)
-    # The empty word stands for the document itself.
-    each = F.explode(F.concat("words", F.array(F.lit(""))))
+    split = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), words(whole(text)).alias("words"))
+    # Not a filter, which would split every text a second time. The empty word stands for the document itself.
+    listed = F.when(F.size("words") >= MIN_HISTOGRAM_WORDS, F.concat("words", F.array(F.lit(""))))
+    each = split.select("lang", F.size("words").alias("n"), listed.alias("listed")).select("lang", "n", F.explode("listed").alias("word"))
     weight = F.when(F.col("word") == "", F.lit(WEIGHT)).otherwise(F.floor(F.lit(WEIGHT) / F.col("n"))).cast("long")
-    counted = long.select("lang", F.size("words").alias("n"), each.alias("word")).groupBy("lang", "word").agg(F.sum(weight).alias("weight"))
+    counted = each.groupBy("lang", "word").agg(F.sum(weight).alias("weight"))
     counted = counted.groupBy("lang", F.lower("word").alias("word")).agg(F.sum("weight").alias("weight"))
     counted = stage(counted.where((F.col("word") == "") | F.col("word").rlike(r"\p{L}")), "word_shares")
     held = counted.where("word = ''")
@@ -108,7 +108,8 @@ def count_features(docs: DataFrame, text: str = "text", alphabet: Sequence[str]
     """``docs`` plus the base counts, ``base_failed``, and the counts of character classes and of the words of ``alphabet``."""
     value = whole(text)
     code = {w: chr(0x4E00 + i) for i, w in enumerate(alphabet)}  # one character per word
-    forms = {form: code[w] for w in alphabet for form in (w[:1].upper() + w[1:], w)} | code
+    # A map is searched from its start: frequent words first, then the forms with a capital.
+    forms = code | {form: c for w, c in code.items() for form in [w[:1].upper() + w[1:]] if form not in code}
     lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(WORD))
     out = docs.withColumn("_text", value)
     out = out.withColumn("_words", words(F.col("_text"))).withColumn("_lines", lines)
@@ -253,7 +254,11 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Seque
     language = F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
     rows = docs.select(*inner, F.col(text).alias("_body"), F.coalesce(language, F.lit("")).alias("_lang"))
     common = common_words(rows, "_body", "_lang")
-    alphabet = sorted({w for listed in common.values() for w in listed})
+    rank: dict[str, int] = {}
+    for listed in common.values():
+        for i, w in enumerate(listed):
+            rank[w] = min(rank.get(w, i), i)
+    alphabet = sorted(rank, key=lambda w: (rank[w], w))  # the most frequent first
     counted = stage(count_features(rows, "_body", alphabet).drop("_body"), "quality")
     known = references(counted, {name: [alphabet.index(w) for w in listed] for name, listed in common.items()})
     limit = limits(counted, known)
