@@ -125,15 +125,22 @@ def count_features(docs: DataFrame, text: str = "text", alphabet: Sequence[str]
         codes = F.array_join(F.transform(F.filter("_words", lambda w: w.isin(list(forms))), lambda w: named[w]), "")
         counted = lambda c: (F.length("_codes") - F.length(F.replace(F.col("_codes"), c, F.lit("")))).cast("long")
         common = F.transform(F.array(*map(F.lit, code.values())), counted)
+    # Most of a text is white or lower case: the other classes are counted in what is left without both.
+    out = out.withColumn("_inked", F.regexp_replace("_text", WHITE, ""))
+    out = out.withColumn("_marks", F.regexp_replace("_inked", f"[{CHAR_CLASSES['lower']}]+", ""))
     out = out.withColumn("_windows", windows).withColumn("_codes", codes)
     counts = [
         F.size("_words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("_text", WHITE, "")).cast("long").alias("word_chars"),
-        _count_class(F.col("_text"), "#*$%&|<>").alias("n_symbols"),
+        F.length("_inked").cast("long").alias("word_chars"),
+        _count_class(F.col("_marks"), "#*$%&|<>").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_windows")).alias("n_repeat_words"),
     ]
-    classes = [_count_class(F.col("_text"), members) for members in CHAR_CLASSES.values()]
+    gone = {"white": ("_text", "_inked"), "lower": ("_inked", "_marks")}
+    classes = [
+        (F.length(gone[name][0]) - F.length(gone[name][1])).cast("long") if name in gone else _count_class(F.col("_marks"), members)
+        for name, members in CHAR_CLASSES.items()
+    ]
     out = out.select(
         *docs.columns, *counts, F.length("_text").cast("long").alias("_chars"), F.xxhash64("_text").alias("_key"),
         F.array(*classes).alias("_classes"), common.alias("_common"),
