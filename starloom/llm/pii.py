@@ -11,7 +11,9 @@ from the table of vote patterns, without labels. Its posteriors then train the f
 Texts are read once: each document's spans and candidates are written. What is learned is read
 from aggregates with a fixed number of rows (kinds x 3^labelers, kinds x feature values), so the
 driver holds the same amount for any corpus. Everything is DataFrame built-ins; patterns
-never backtrack over a run of characters, so a text of any length takes linear time.
+never backtrack over a run of characters. Matches are gathered in blocks and what stands before one is cut
+from a piece of the text, so that neither the length of a text nor its matches cost more than in proportion;
+only candidates against base spans of one text meet block by block.
 
 Nulls, empties and ties: a null or empty text has no span; spans that start together are
 ordered by kind; an added span never overlaps a base span or an earlier added one; repeated rows
@@ -21,6 +23,7 @@ are searched each.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,6 +35,7 @@ KINDS = (*BASE, "ssn", "iban", "name", "address")
 LABELERS = 4
 ROUNDS = 50
 NEAR = 48  # characters before a candidate that the context labeler reads
+BLOCK, PIECE = 256, 1024  # matches and code points handled together; they change the work, not the result
 
 # Possessive forms of the base patterns. A look-behind (or the end of the match before) keeps
 # the engine from trying every place of a long run: a run that fails once fails from all places.
@@ -59,24 +63,70 @@ _CUES = {
 _AGAINST = r"version|isbn|order|invoice|serial|part no|ticket|build|release|\bv\.?\s*$"
 
 
+def in_blocks(items: Column) -> Column:
+    """The array cut into arrays of ``BLOCK``, so that no array grows element by element to its full length."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(items, i, BLOCK))
+
+
+def gather(items: Column, kept: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """What an ordered pass keeps: ``step`` takes the last place and an item and returns the next place and 0 or 1 kept elements."""
+    none = F.array().cast(f"array<{kept}>")
+
+    def one(done: Column, item: Column) -> Column:
+        at, more = step(done["at"], item)
+        return F.struct(at.alias("at"), F.concat(done["all"], more).alias("all"))
+
+    def block(done: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(done["at"].alias("at"), none.alias("all")), one)
+        bound = F.transform(F.array(inner), lambda x: F.struct(x["at"].alias("at"), F.concat(done["all"], F.array(x["all"])).alias("all")))
+        return F.get(bound, 0)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kept}>>").alias("all"))
+    return F.aggregate(in_blocks(items), start, block, lambda d: F.flatten(d["all"]))
+
+
 def matches(text: Column, pattern: str, kind: str, when: Column, base: bool = True) -> Column:
     """Array of (kind, base, s, e, m): all matches with their code-point offsets, empty unless ``when``.
 
     The text between matches comes from a split and the matches from an extraction; their lengths
     in turn give the offsets.
     """
-    none = F.array().cast("array<struct<kind:string,base:boolean,s:int,e:int,m:string>>")
+    span = "struct<kind:string,base:boolean,s:int,e:int,m:string>"
+    none = F.array().cast(f"array<{span}>")
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), none.alias("all"))
 
-    def step(done: Column, pair: Column) -> Column:
-        begin = done["at"] + F.length(pair["gap"])
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        begin = at + F.length(pair["gap"])
         end = begin + F.length(pair["hit"])
         one = F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), begin.alias("s"), end.alias("e"), pair["hit"].alias("m"))
-        grown = F.when(pair["hit"].isNull(), done["all"]).otherwise(F.concat(done["all"], F.array(one)))
-        return F.struct(F.coalesce(end, begin).alias("at"), grown.alias("all"))
+        return F.coalesce(end, begin), F.when(pair["hit"].isNull(), none).otherwise(F.array(one))
+
+    # An array of one element binds the pairs, so that the patterns run once and not once a block.
+    bound = F.get(F.transform(F.array(pairs), lambda p: gather(p, span, step)), 0)
+    return F.when(when, bound).otherwise(none)
 
-    return F.when(when, F.aggregate(pairs, start, step, lambda d: d["all"])).otherwise(none)
+
+def pieces(text: Column) -> Column:
+    """The text cut every ``PIECE`` code points, for :func:`cut`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, n: Column | int) -> Column:
+    """``n`` code points, ``PIECE`` at most, from ``start``: only two pieces are read, however far into the text."""
+    at = F.floor(start / PIECE).cast("int")
+    both = F.concat(F.coalesce(F.get(parts, at), F.lit("")), F.coalesce(F.get(parts, at + 1), F.lit("")))
+    return F.substring(both, start - at * PIECE + 1, F.lit(n) if isinstance(n, int) else n)
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The ``spans`` that overlap none of ``others``; both are ordered by place, so most blocks are passed over."""
+    held = F.transform(in_blocks(others), lambda b: F.struct(
+        F.array_min(F.transform(b, lambda x: x["s"])).alias("s"), F.array_max(F.transform(b, lambda x: x["e"])).alias("e"), b.alias("of"),
+    ))
+    meets = lambda x, y: (x["s"] < y["e"]) & (y["s"] < x["e"])
+    free = lambda h: F.filter(spans, lambda x: ~F.exists(h, lambda b: meets(x, b) & F.exists(b["of"], lambda y: meets(x, y))))
+    return F.get(F.transform(F.array(held), free), 0)
 
 
 def _digits(m: Column) -> Column:
@@ -118,11 +168,11 @@ def _cue(kind: Column, before: Column) -> Column:
     return out
 
 
-def described(text: Column, span: Column) -> Column:
-    """A candidate with its votes and the values of the classifier's features."""
+def described(parts: Column, span: Column) -> Column:
+    """A candidate with its votes and the values of the classifier's features; ``parts`` are the text's :func:`pieces`."""
     kind, m = span["kind"], span["m"]
     digits = _digits(m)
-    before = F.substring(text, F.greatest(span["s"] - NEAR, F.lit(0)) + 1, F.least(span["s"], F.lit(NEAR)))
+    before = cut(parts, F.greatest(span["s"] - NEAR, F.lit(0)), F.least(span["s"], F.lit(NEAR)))
     strict = valid(span)
     base = span["base"]
     gazetteer = (
@@ -166,7 +216,8 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         matches(t, _LOOSE["address"], "address", digit & t.rlike(r"[0-9][\x20]\p{Lu}\p{Ll}"), False),
     ]
     rows = docs.select(F.col(doc_id), whole(text).alias("_text")).withColumn("_all", F.concat(*found))
-    return rows.select(doc_id, F.transform("_all", lambda span: described(t, span)).alias("found"))
+    rows = rows.withColumn("_parts", F.when(F.size("_all") > 0, pieces(t)))
+    return rows.select(doc_id, F.transform("_all", lambda span: described(F.col("_parts"), span)).alias("found"))
 
 
 def reliabilities(patterns: list[tuple[str, tuple[int, ...], int]]) -> dict[tuple[str, tuple[int, ...]], float]:
@@ -249,13 +300,15 @@ def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
         key = lambda f: F.concat_ws("|", c["kind"], f)
         return F.aggregate(c["features"], _look_up(start, c["kind"], 0.0), lambda s, f: s + _look_up(parts, key(f), 0.0))
 
-    free = F.filter("rest", lambda c: (score(c) > 0) & ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-    kept = F.aggregate(  # leftmost first, none overlapping the one before
-        free, F.array().cast("array<struct<s:int,e:int,kind:string>>"),
-        lambda done, c: F.when(
-            (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["e"] > c["s"]), done
-        ).otherwise(F.concat(done, F.array(F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))))),
-    )
+    def step(at: Column, c: Column) -> tuple[Column, Column]:  # leftmost first, none overlapping the one before
+        one = F.array(F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind")))
+        late = c["s"] >= at
+        return F.when(late, c["e"]).otherwise(at), F.when(late, one).otherwise(F.slice(one, 1, 0))
+
+    rest = rest.withColumn("rest", F.filter("rest", lambda c: score(c) > 0))
+    ordered = F.array_sort(F.transform("base", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"))))
+    rest = rest.withColumn("free", apart(F.col("rest"), ordered))
+    kept = gather(F.col("free"), "struct<s:int,e:int,kind:string>", step)
     return rest.select(doc_id, "base", kept.alias("added"))
 
 

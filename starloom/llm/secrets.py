@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.common import whole
-from starloom.llm.pii import matches
+from starloom.llm.pii import apart, cut, matches, pieces
 from starloom.session import stage
 
 TRAIN_ROWS = 20_000
@@ -56,14 +56,16 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path
     source = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
     tokens = matches(t, _TOKEN, "token", t.rlike("[0-9]"))
     assigned = matches(t, _ASSIGNED, "assigned", t.rlike(_NAME))
-    apart = F.filter("_tokens", lambda x: ~F.exists("_assigned", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    found = F.when(F.size("_assigned") == 0, F.col("_tokens")).otherwise(F.concat(apart, F.col("_assigned")))
+    alone = apart(F.col("_tokens"), F.col("_assigned"))
+    found = F.when(F.size("_assigned") == 0, F.col("_tokens")).otherwise(F.concat(alone, F.col("_assigned")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), source.alias("_path"), whole(text).alias("_text"))
     rows = rows.withColumn("_tokens", tokens).withColumn("_assigned", assigned).withColumn("_found", found).where(F.size("_found") > 0)
+    rows = rows.withColumn("_parts", pieces(t))
+    parts = F.col("_parts")
 
     def around(c: Column) -> Column:
-        before = F.substring(t, F.greatest(c["s"] - NEAR, F.lit(0)) + 1, F.least(c["s"], F.lit(NEAR)))
-        return F.struct(c["s"].alias("begin"), c["e"].alias("end"), c["m"].alias("raw"), (c["kind"] == "assigned").alias("named"), before.alias("before"), F.substring(t, c["e"] + 1, NEAR).alias("after"))
+        before = cut(parts, F.greatest(c["s"] - NEAR, F.lit(0)), F.least(c["s"], F.lit(NEAR)))
+        return F.struct(c["s"].alias("begin"), c["e"].alias("end"), c["m"].alias("raw"), (c["kind"] == "assigned").alias("named"), before.alias("before"), cut(parts, c["e"], NEAR).alias("after"))
 
     rows = rows.select("doc_id", "_path", F.explode(F.transform("_found", around)).alias("c")).select("doc_id", "_path", "c.*")
     # key=value in one token: the value is the candidate and the key a word beside it.
