@@ -19,12 +19,15 @@ _NAME = "concat(c.Customer_Title, ' ', c.Customer_First_Name, ' ', c.Customer_La
 # versions themselves would grow with the square of a policy's history. A type is a code of a
 # fixed table. The name is free text and no part of the state: the first one in code-point
 # order stands for all. The directed change of each version is plans.batches.policy_changes.
+# Both sides of the pairing read one shuffle of the states: naming the partition keeps Spark from
+# copying the text of ``states`` into each, which had every task sort all versions twice.
 POLICY_CHANGES = f"""
 WITH states AS (
-  SELECT Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type, min(Policy_Name) AS Policy_Name,
-         count(*) AS versions
+  SELECT /*+ REBALANCE(Policy_Id) */ Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type,
+         min(Policy_Name) AS Policy_Name, count(*) AS versions
   FROM dim_policy
   GROUP BY Policy_Id, Customer_ID, Policy_Type_Id, Policy_Type
+  HAVING spark_partition_id() >= 0
 ),
 earlier AS (
   SELECT Policy_Id, Policy_Type_Id, Policy_Type, min(Policy_Name) AS Policy_Name,
