@@ -10,6 +10,7 @@ from starloom.functions import codes, dates, numbers, text
 from starloom.operators.joins import as_lookup
 from starloom.operators.keys import assign_keys, keep_last
 from starloom.schemas import DEFAULTS, GOLD, MONEY, conform
+from starloom.session import stage
 
 
 def with_installments(policies: DataFrame) -> DataFrame:
@@ -105,7 +106,11 @@ def fact_transactions(
     order_by: Sequence[str],
     start: int = 0,
 ) -> DataFrame:
-    """:func:`fact_rows` keyed densely in transaction order."""
-    keyed = assign_keys(transactions, "Transaction_SK", order_by, start)
+    """:func:`fact_rows` keyed densely in transaction order.
+
+    The transactions are written first: a global sort reads its input twice, to find its ranges
+    and to place the rows, and would work out the checked rows both times.
+    """
+    keyed = assign_keys(stage(transactions, "transactions"), "Transaction_SK", order_by, start)
     rows = fact_rows(keyed, customers, policies, addresses)
     return conform(rows, GOLD["fact_transactions"], DEFAULTS["fact_transactions"])
