@@ -7,7 +7,7 @@ that they compare with the SQL side column by column.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,7 +20,7 @@ from starloom.operators import (
 from starloom.operators.columns import load_values_all, null_tokens_all
 from starloom.plans import batches, business, overview, views
 from starloom.schemas import BRONZE, SILVER, TABLES
-from starloom.session import staging_path
+from starloom.session import stage, staging_path, together
 from starloom.sources import extracts, raw as raw_files, split_csv, warehouse as wh
 from starloom.streaming.arrivals import load_arrivals
 
@@ -633,14 +633,21 @@ def write_batch_files(spark: SparkSession, sf: str) -> str:
     order = {name: ["line_no"] for name in TABLES}
     # Line numbers of transactions repeat; whole rows that are alike may change places.
     order["transactions"] = ["line_no", *[F.col(c).asc_nulls_first() for c in BRONZE["transactions"].names]]
-    for name in TABLES:
-        df = raw(spark, sf, name)
-        spread = name in ("policies", "transactions")
-        for batch in BATCHES if spread else BATCHES[:1]:
-            rows = df.where(F.col("line_no") % len(BATCHES) == batch) if spread else df
-            # Keys follow the order of files and rows; transactions are spread over several files.
-            placed = rows.repartitionByRange(files, *order[name]).sortWithinPartitions(*order[name])
-            extracts.write_csv(placed.drop("line_no"), f"{root}/day{batch}_{name}.csv")
+
+    def write(name: str, rows: DataFrame, batch: int) -> None:
+        # Keys follow the order of files and rows; transactions are spread over several files.
+        placed = rows.repartitionByRange(files, *order[name]).sortWithinPartitions(*order[name])
+        extracts.write_csv(placed.drop("line_no"), f"{root}/day{batch}_{name}.csv")
+
+    def write_spread(name: str) -> None:
+        # Written once: each batch reads its rows twice, to find the ranges and to place them.
+        df = stage(raw(spark, sf, name), f"raw-{name}")
+        together(*[partial(write, name, df.where(F.col("line_no") % len(BATCHES) == b), b) for b in BATCHES])
+
+    together(
+        *[partial(write_spread, name) for name in ("policies", "transactions")],
+        *[partial(write, name, raw(spark, sf, name), BATCHES[0]) for name in ("customers", "address")],
+    )
     return root
 
 
