@@ -20,7 +20,7 @@ from starloom.operators import (
 from starloom.operators.columns import load_values_all, null_tokens_all
 from starloom.plans import batches, business, overview, views
 from starloom.schemas import BRONZE, SILVER, TABLES
-from starloom.session import stage, staging_path, together
+from starloom.session import sized_for, stage, staging_path, together
 from starloom.sources import extracts, raw as raw_files, split_csv, warehouse as wh
 from starloom.streaming.arrivals import load_arrivals
 
@@ -170,7 +170,11 @@ def view_multi_status(spark, sf):
 
 @query
 def view_full(spark, sf):
-    return _view(spark, sf, "vw_all_regions_full")
+    fact = star(spark, sf, "fact_transactions").select(*views.FULL_FACT)
+    with sized_for(spark, table(spark, sf, "lineitem").count()):
+        fact = stage(fact, "fact")
+    dims = {t: star(spark, sf, t) for t in ("dim_customer", "dim_policy", "dim_address")}
+    return views.all_regions_full(spark, {**dims, "fact_transactions": fact})
 
 
 # ---- derivations and the star schema ------------------------------------------------

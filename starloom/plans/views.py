@@ -11,6 +11,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.session import sized_for, stage, tasks_for
+
 # Fixed values throughout the views: table and column names, output aliases, type and region codes.
 _NAME = "concat(c.Customer_Title, ' ', c.Customer_First_Name, ' ', c.Customer_Last_Name)"
 
@@ -128,30 +130,66 @@ ORDER BY c.Customer_ID, Start_Dt_Marital_Status, c.Customer_SK
 """
 
 # customer LEFT JOIN fact, written as the inner join plus the customers without a
-# transaction: a left join cannot split a customer with very many transactions. The sort
-# ends on the transaction key so that such a customer's rows can go to several ranges.
-ALL_REGIONS_FULL = """
+# transaction: a left join cannot split a customer with very many transactions. Those customers
+# have no policy or address either and are added last. A transaction without a policy or address
+# key meets no partner (the second condition says so, whatever the keys are), and would meet all
+# others like it in one task; a hash of the row in place of the missing key deals them out.
+_FULL_ROWS = """
 WITH paired AS (
   SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
          c.Region, f.Transaction_SK, f.Policy_SK, f.Address_SK, f.Is_Late, f.Late_Fee
   FROM dim_customer c JOIN fact_transactions f ON c.Customer_SK = f.Customer_SK
+),
+full_rows AS (
+  SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
+         c.Region, p.Policy_Id, p.Policy_Type_Id, p.Policy_Type, p.Policy_Type_Desc,
+         p.Policy_Name, p.Policy_Term, p.Policy_Start_Dt, p.Policy_End_Dt, p.Premium_Amt,
+         p.Total_Policy_Amt, a.Country, a.State, a.City, a.Postal_Code, c.Is_Late, c.Late_Fee,
+         c.Transaction_SK
+  FROM paired c
+  LEFT JOIN dim_policy  p ON coalesce(c.Policy_SK, xxhash64(c.Transaction_SK, c.Customer_ID)) = p.Policy_SK
+                         AND c.Policy_SK IS NOT NULL
+  LEFT JOIN dim_address a ON coalesce(c.Address_SK, xxhash64(c.Transaction_SK, c.Customer_ID)) = a.Address_SK
+                         AND c.Address_SK IS NOT NULL
   UNION ALL
   SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
-         c.Region, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-         CAST(NULL AS BOOLEAN), CAST(NULL AS DECIMAL(15,2))
+         c.Region, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+         NULL, NULL, NULL, NULL
   FROM dim_customer c
   LEFT ANTI JOIN (SELECT DISTINCT Customer_SK FROM fact_transactions) f
     ON c.Customer_SK = f.Customer_SK
 )
-SELECT c.Customer_ID, c.Customer_Name, c.Customer_Segment, c.Marital_Status, c.Gender,
-       c.Region, p.Policy_Id, p.Policy_Type_Id, p.Policy_Type, p.Policy_Type_Desc,
-       p.Policy_Name, p.Policy_Term, p.Policy_Start_Dt, p.Policy_End_Dt, p.Premium_Amt,
-       p.Total_Policy_Amt, a.Country, a.State, a.City, a.Postal_Code, c.Is_Late, c.Late_Fee
-FROM paired c
-LEFT JOIN dim_policy  p ON c.Policy_SK  = p.Policy_SK
-LEFT JOIN dim_address a ON c.Address_SK = a.Address_SK
-ORDER BY c.Region, c.Customer_ID, c.Transaction_SK
 """
+_FULL_COLUMNS = """Customer_ID, Customer_Name, Customer_Segment, Marital_Status, Gender, Region,
+  Policy_Id, Policy_Type_Id, Policy_Type, Policy_Type_Desc, Policy_Name, Policy_Term,
+  Policy_Start_Dt, Policy_End_Dt, Premium_Amt, Total_Policy_Amt, Country, State, City, Postal_Code,
+  Is_Late, Late_Fee"""
+
+# The sort ends on the transaction key so that a hot customer's rows can go to several ranges.
+_FULL_ORDER = ("Region", "Customer_ID", "Transaction_SK")
+FULL_FACT = ("Transaction_SK", "Customer_SK", "Policy_SK", "Address_SK", "Is_Late", "Late_Fee")
+
+ALL_REGIONS_FULL = f"""{_FULL_ROWS}
+SELECT {_FULL_COLUMNS}
+FROM full_rows
+ORDER BY {", ".join(_FULL_ORDER)}
+"""
+
+
+def all_regions_full(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of ``vw_all_regions_full`` in their order, for tables of any size.
+
+    The view as registered is planned with the session's number of shuffle partitions, so its
+    tasks grow with the tables. Here the number follows from the rows: the joined rows are written
+    by as many tasks as that takes, then ranged and sorted by as many. The fact should be a
+    written table (it is counted and read more than once).
+    """
+    for name in ("dim_customer", "dim_policy", "dim_address", "fact_transactions"):
+        tables[name].createOrReplaceTempView(name)
+    with sized_for(spark, tables["fact_transactions"].count()):
+        rows = stage(spark.sql(f"{_FULL_ROWS} SELECT * FROM full_rows"), "full-view")
+    ranged = rows.repartitionByRange(tasks_for(spark, rows.count()), *_FULL_ORDER)
+    return ranged.sortWithinPartitions(*_FULL_ORDER).drop("Transaction_SK")
 
 
 def view_texts(year: int = 2012) -> dict[str, str]:

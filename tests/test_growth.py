@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from starloom.operators import model
 from starloom.plans import views
-from starloom.schemas import GOLD, SILVER
+from starloom.schemas import GOLD, SILVER, conform
 from starloom.streaming import arrivals
 from tests.test_load import BATCHES, write_sources
 
@@ -71,3 +71,62 @@ def test_batch_files_read_written_rows(spark, tmp_path, monkeypatch):
     assert sorted(staged) == ["raw-policies", "raw-transactions"]
     read = [spark.read.option("header", True).csv(f"{root}/day{b}_transactions.csv") for b in queries.BATCHES]
     assert [sorted(r["Policy_Id"] for r in df.collect()) for df in read] == [["3"], ["1", "1", "4"], ["5"]]
+
+
+def test_full_view_deals_out_transactions_without_policy_and_address(spark):
+    """Nearly all transactions lack both keys; dimension rows that carry the keys' stand-ins still don't match."""
+    facts = spark.range(2000).select(
+        F.col("id").alias("Transaction_SK"), (F.col("id") % 5).alias("Customer_SK"),
+        F.when(F.col("id") == 4, 4).cast("long").alias("Policy_SK"), F.when(F.col("id") == 4, 4).cast("long").alias("Address_SK"))
+    conform(facts, GOLD["fact_transactions"]).createOrReplaceTempView("fact_transactions")
+    customers = spark.range(7).select(F.col("id").alias("Customer_SK"), F.col("id").alias("Customer_ID"))
+    conform(customers, GOLD["dim_customer"]).createOrReplaceTempView("dim_customer")
+    stand_ins = facts.select(F.xxhash64("Transaction_SK", "Customer_SK").alias("key")).union(spark.range(9).toDF("key"))
+    conform(stand_ins.select(F.col("key").alias("Policy_SK"), F.col("key").alias("Policy_Id")), GOLD["dim_policy"]).createOrReplaceTempView("dim_policy")
+    conform(stand_ins.select(F.col("key").alias("Address_SK"), F.lit("X").alias("City")), GOLD["dim_address"]).createOrReplaceTempView("dim_address")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.sql(views.ALL_REGIONS_FULL.rsplit("ORDER BY", 1)[0])
+        largest = rows.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        found = rows.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 2002
+    assert [(r["Customer_ID"], r["Policy_Id"], r["City"]) for r in found if r["Policy_Id"] is not None or r["City"]] == [(4, 4, "X")]
+    assert sorted(r["Customer_ID"] for r in found)[-2:] == [5, 6]
+    assert largest < 1000
+
+
+def test_full_view_has_tasks_for_its_rows(spark, tmp_path, monkeypatch):
+    from starloom import session
+    from starloom.catalogue import queries
+
+    day = dt.datetime(2012, 3, 1)
+    tables = {
+        "region": ([(0, "EAST"), (1, "WEST")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "A", 0), (1, "B", 1), (2, None, None)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(i, f"c{i}", i % 3, "SEG") for i in range(1, 20)] + [(None, "c", 0, "SEG")],
+                     "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "orders": ([(i, 1 if i % 3 else i % 17, "F", 5.0, day, "1-URGENT") for i in range(400)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(i % 400, i // 400, 1.0, 2.0, 0.5, day) for i in range(1200)] + [(None, 1, 1.0, 2.0, 0.5, day)],
+                     "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_shipdate timestamp"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    lazy = queries.present(queries._view(spark, str(tmp_path), "vw_all_regions_full")).collect()
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100, raising=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    written, stage = [], views.stage
+    monkeypatch.setattr(views, "stage", lambda df, name: (written.append(spark.conf.get("spark.sql.shuffle.partitions")), stage(df, name))[1])
+    full = queries.QUERIES["q_view_full"](spark, str(tmp_path))
+    rows = full.collect()
+    n = len(rows)
+    assert n > 1000 and sorted(map(str, rows)) == sorted(map(str, lazy))
+    assert [(r["Region"], r["Customer_ID"]) for r in rows] == [(r["Region"], r["Customer_ID"]) for r in lazy]
+    assert n / 100 <= full.rdd.getNumPartitions() <= n / 100 + 1
+    assert int(written[0]) >= 10 and spark.conf.get("spark.sql.shuffle.partitions") == before == "4"
