@@ -31,7 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.llm.common import WHITE, WORD, whole, words
+from starloom.llm.common import WORD, whole, words
 from starloom.session import stage
 
 WINDOW = 5
@@ -61,7 +61,7 @@ def repeated_words(hashes: Column) -> Column:
     The usual text has no window twice, which a hash set finds out; only others are sorted to
     place the repeated windows and to add up the words they cover.
     """
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def covered(array: Column) -> Column:
         twice = F.filter(
@@ -86,20 +86,22 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
     Every document has the same weight. The driver gets ``COMMON`` / ``MIN_SHARE`` rows at most.
     """
     split = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), words(whole(text)).alias("words"))
-    # Not a filter, which would split every text a second time. The empty word stands for the document itself.
+    # Neither a filter nor a plain explode, for which Spark adds one: it would split every text again. The empty word stands for the document itself.
     listed = F.when(F.size("words") >= MIN_HISTOGRAM_WORDS, F.concat("words", F.array(F.lit(""))))
-    each = split.select("lang", F.size("words").alias("n"), listed.alias("listed")).select("lang", "n", F.explode("listed").alias("word"))
+    each = split.select("lang", F.size("words").alias("n"), listed.alias("listed")).select("lang", "n", F.explode_outer("listed").alias("word"))
+    each = each.where(F.col("word").isNotNull())
     weight = F.when(F.col("word") == "", F.lit(WEIGHT)).otherwise(F.floor(F.lit(WEIGHT) / F.col("n"))).cast("long")
     counted = each.groupBy("lang", "word").agg(F.sum(weight).alias("weight"))
     counted = counted.groupBy("lang", F.lower("word").alias("word")).agg(F.sum("weight").alias("weight"))
-    counted = stage(counted.where((F.col("word") == "") | F.col("word").rlike(r"\p{L}")), "word_shares")
+    counted = stage(counted, "word_shares")
     held = counted.where("word = ''")
     total = held.agg(F.sum("weight")).first()[0] or 0
     names = sorted(r["lang"] for r in held.where(F.col("weight") >= MIN_SHARE * total).select("lang").collect())
     if not names:
         return {}
     best = Window.partitionBy("lang").orderBy(F.col("weight").desc(), "word")
-    ranked = counted.where(F.col("lang").isin(names) & (F.col("word") != "")).withColumn("rank", F.row_number().over(best))
+    # Letters are looked for in the written table: before it, Spark would look in every word of every text.
+    ranked = counted.where(F.col("lang").isin(names) & F.col("word").rlike(r"\p{L}")).withColumn("rank", F.row_number().over(best))
     rows = ranked.where(F.col("rank") <= COMMON).orderBy("lang", "rank").collect()
     return {name: [r["word"] for r in rows if r["lang"] == name] for name in names}
 
@@ -107,7 +109,7 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
 def count_features(docs: DataFrame, text: str = "text", alphabet: Sequence[str] = ()) -> DataFrame:
     """``docs`` plus the base counts, ``base_failed``, and the counts of character classes and of the words of ``alphabet``."""
     value = whole(text)
-    code = {w: chr(0x4E00 + i) for i, w in enumerate(alphabet)}  # one character per word
+    code = {w: chr(0x21 + i + (0x5F if i >= 0x5E else 0)) for i, w in enumerate(alphabet)}  # one character per word, in UTF-8 one byte for the first 94
     # A map is searched from its start: frequent words first, then the forms with a capital.
     forms = code | {form: c for w, c in code.items() for form in [w[:1].upper() + w[1:]] if form not in code}
     lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(WORD))
@@ -123,10 +125,11 @@ def count_features(docs: DataFrame, text: str = "text", alphabet: Sequence[str]
     if alphabet:
         named = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair])
         codes = F.array_join(F.transform(F.filter("_words", lambda w: w.isin(list(forms))), lambda w: named[w]), "")
-        counted = lambda c: (F.length("_codes") - F.length(F.replace(F.col("_codes"), c, F.lit("")))).cast("long")
+        # Bytes, which a string knows of itself; characters would be counted anew for each word.
+        counted = lambda c: ((F.octet_length("_codes") - F.octet_length(F.replace(F.col("_codes"), c, F.lit("")))) / F.octet_length(c)).cast("long")
         common = F.transform(F.array(*map(F.lit, code.values())), counted)
     # Most of a text is white or lower case: the other classes are counted in what is left without both.
-    out = out.withColumn("_inked", F.regexp_replace("_text", WHITE, ""))
+    out = out.withColumn("_inked", F.array_join("_words", ""))
     out = out.withColumn("_marks", F.regexp_replace("_inked", f"[{CHAR_CLASSES['lower']}]+", ""))
     out = out.withColumn("_windows", windows).withColumn("_codes", codes)
     counts = [
@@ -270,14 +273,15 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", carry: Seque
     known = references(counted, {name: [alphabet.index(w) for w in listed] for name, listed in common.items()})
     limit = limits(counted, known)
 
-    judged = counted.withColumn("_far", F.array(*[F.array(*_distances(r)) for r in known.values()]).cast("array<array<double>>"))
+    # One column per distance: Spark would put an array of them in place of its name, and work out all of them at each use.
+    judged = counted.select("*", *[d.alias(f"_far{which}_{k}") for k, r in enumerate(known.values()) for which, d in enumerate(_distances(r))])
     beyond = []
     for which, name in enumerate(("char_distance", "word_distance")):
         bins = (len(CHAR_CLASSES) if which == 0 else COMMON) + 1
-        most = _literal([limit[x][which] for x in known]).cast("array<double>")
-        judged = judged.withColumn(name, F.array_min(F.transform("_far", lambda d: d[which])))
+        distances = [(F.col(f"_far{which}_{k}"), limit[x][which]) for k, x in enumerate(known)]
+        judged = judged.withColumn(name, F.array_min(F.array(*[d for d, _ in distances]).cast("array<double>")))
         # How far the document is beyond the limit that it comes nearest to.
-        beyond.append(F.array_min(F.zip_with("_far", most, lambda d, x: d[which] - x)) > by_chance(bins))
+        beyond.append(F.array_min(F.array(*[d - most for d, most in distances]).cast("array<double>")) > by_chance(bins))
     far = (_judged()[0] & beyond[0]) | (_judged()[1] & beyond[1])
     kept = ~F.col("base_failed") & ~F.coalesce(far & F.col("_lang").isin(list(known)), F.lit(False))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]

@@ -143,3 +143,34 @@ def test_copies_do_not_move_the_limits(spark):
     before = {r.doc_id for r in quality.assess(docs, carry=["doc_id"]).where("kept").collect()}
     after = {r.doc_id for r in quality.assess(docs.unionByName(copies), carry=["doc_id"]).where(f"kept and doc_id < {10**9}").collect()}
     assert len(before ^ after) <= len(before) / 50
+
+
+def test_texts_are_split_once_and_distances_worked_out_once(spark, monkeypatch):
+    """Spark repeats an expression that it moves below or into another; plans show how often."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    staged, write = {}, quality.stage
+
+    def noted(df, name):
+        staged[name] = plan(df)
+        return write(df, name)
+
+    monkeypatch.setattr(quality, "stage", noted)
+    rng = random.Random(9)
+    docs = spark.createDataFrame([(k, portuguese(rng), ("pt", "br")[k % 2]) for k in range(20)], SCHEMA)
+    judged = quality.assess(docs, carry=["doc_id"])
+    assert judged.count() == 20
+    assert staged["word_shares"].count("split(") == 1 and "RLIKE" not in staged["word_shares"]
+    # Two histograms of two languages, two logarithms each.
+    assert plan(judged).count("LOG2(") == 8
+    assert plan(quality.keep_good(docs)).count("LOG2(") == 8
+
+
+def test_words_beyond_the_one_byte_codes_are_counted(spark):
+    """Six languages or more can have more common words than there are codes of one byte."""
+    rng = random.Random(11)
+    alphabet = [f"w{i}ö" for i in range(200)]
+    rows = [(k, " ".join(rng.choice((w, w.capitalize(), w + ".")) for w in rng.choices(alphabet, k=300)), "") for k in range(5)] + [(5, None, ""), (6, "W199ö w199ö\tw93ö w94ö", "")]
+    got = {r.doc_id: list(r._common) for r in quality.count_features(spark.createDataFrame(rows, SCHEMA), "text", alphabet).collect()}
+    for i, t, _ in rows:
+        held = Counter((t or "").split())
+        assert got[i] == [held[w] + held[w.capitalize()] for w in alphabet]
