@@ -6,7 +6,7 @@ that they compare with the SQL side column by column.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -20,7 +20,7 @@ from starloom.operators import (
 from starloom.operators.columns import load_values_all, null_tokens_all
 from starloom.plans import batches, business, overview, views
 from starloom.schemas import BRONZE, SILVER, TABLES
-from starloom.session import sized_for, stage, staging_path, together
+from starloom.session import scratch, sized_for, stage, staging, staging_path, together
 from starloom.sources import extracts, raw as raw_files, split_csv, warehouse as wh
 from starloom.streaming.arrivals import load_arrivals
 
@@ -629,32 +629,42 @@ def hash_sample(spark, sf):
 BATCHES = (0, 1, 2)
 
 
-def write_batch_files(spark: SparkSession, sf: str) -> str:
-    """Raw CSV files of three batches: customers and addresses in the first one, policies
-    and transactions spread by their order key."""
-    root = staging_path(spark, "batches")
+def write_batch_files(spark: SparkSession, sf: str, root: str | None = None, only: Sequence[int] = BATCHES) -> str:
+    """Raw CSV files of three batches, or some of them: customers and addresses in the first one,
+    policies and transactions spread by their order key."""
+    root = root or staging_path(spark, "batches")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = {name: ["line_no"] for name in TABLES}
     # Line numbers of transactions repeat; whole rows that are alike may change places.
     order["transactions"] = ["line_no", *[F.col(c).asc_nulls_first() for c in BRONZE["transactions"].names]]
+    batch = F.col("line_no") % len(BATCHES)
 
-    def write(name: str, rows: DataFrame, batch: int) -> None:
+    def write(name: str, rows: DataFrame, number: int) -> None:
         # Keys follow the order of files and rows; transactions are spread over several files.
         placed = rows.repartitionByRange(files, *order[name]).sortWithinPartitions(*order[name])
-        extracts.write_csv(placed.drop("line_no"), f"{root}/day{batch}_{name}.csv")
+        extracts.write_csv(placed.drop("line_no"), f"{root}/day{number}_{name}.csv")
 
     def write_spread(name: str) -> None:
         # Written once: each batch reads its rows twice, to find the ranges and to place them.
-        df = stage(raw(spark, sf, name), f"raw-{name}")
-        together(*[partial(write, name, df.where(F.col("line_no") % len(BATCHES) == b), b) for b in BATCHES])
-
-    together(
-        *[partial(write_spread, name) for name in ("policies", "transactions")],
-        *[partial(write, name, raw(spark, sf, name), BATCHES[0]) for name in ("customers", "address")],
-    )
+        df = stage(raw(spark, sf, name).where(batch.isin(*only)), f"raw-{name}")
+        together(*[partial(write, name, df.where(batch == b), b) for b in only])
+
+    jobs = [partial(write_spread, name) for name in ("policies", "transactions")]
+    if BATCHES[0] in only:
+        jobs += [partial(write, name, raw(spark, sf, name), BATCHES[0]) for name in ("customers", "address")]
+    with staging(spark):
+        together(*jobs)
     return root
 
 
+def load_as_they_come(spark: SparkSession, sf: str, target: str) -> None:
+    """The three batches into a warehouse. The files of a batch are written before its load and
+    removed after it, so that no more than one batch of them is on disk."""
+    for batch in BATCHES:
+        with scratch(spark, "batches") as source:
+            batches.load_batches(spark, write_batch_files(spark, sf, source, [batch]), target, [batch])
+
+
 def loaded_totals(spark: SparkSession, root: str) -> DataFrame:
     """The loaded fact per customer, with enough keys to notice a wrong one."""
     fact = wh.Warehouse(spark, root).gold("fact_transactions")
@@ -672,8 +682,8 @@ def loaded_totals(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def incremental_load(spark, sf):
-    source, target = write_batch_files(spark, sf), staging_path(spark, "incremental")
-    batches.load_batches(spark, source, target, BATCHES)
+    target = staging_path(spark, "incremental")
+    load_as_they_come(spark, sf, target)
     return loaded_totals(spark, target)
 
 
@@ -681,8 +691,8 @@ def incremental_load(spark, sf):
 def load_versions(spark, sf):
     """Each published version of a three-batch load, read after all of them are there: the fact
     itself, and the sums that each batch adds."""
-    source, target = write_batch_files(spark, sf), staging_path(spark, "versions")
-    batches.load_batches(spark, source, target, BATCHES)
+    target = staging_path(spark, "versions")
+    load_as_they_come(spark, sf, target)
     warehouse, parts = wh.Warehouse(spark, target), []
     for number in warehouse.versions():
         version, then = F.lit(number).cast("long").alias("version"), warehouse.at(number)
@@ -705,6 +715,6 @@ def stream_increment(spark, sf):
 
 @query
 def incremental_policy_changes(spark, sf):
-    source, target = write_batch_files(spark, sf), staging_path(spark, "incremental")
-    batches.load_batches(spark, source, target, BATCHES)
+    target = staging_path(spark, "incremental")
+    load_as_they_come(spark, sf, target)
     return wh.Warehouse(spark, target).gold("policy_changes")

